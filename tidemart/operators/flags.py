@@ -80,12 +80,12 @@ def active_days(
 
 
 def new_and_active(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
-    """One row per key and day with flags: active (always 1) and new (the key's first day)."""
+    """One row per key and day with `is_active` (always 1) and `is_first_day` (of the key)."""
     days = active_days(df, keys, ts)
     # one row per day in each group, whatever the number of events
     first_day = F.min("day").over(Window.partitionBy(*keys))
     return days.withColumn("is_active", F.lit(1).cast("bigint")).withColumn(
-        "is_new", (F.col("day") == first_day).cast("bigint")
+        "is_first_day", (F.col("day") == first_day).cast("bigint")
     )
 
 

@@ -28,7 +28,7 @@ def _flat_pages(pages: DataFrame, *columns: str) -> DataFrame:
 
 
 def _active(df: DataFrame, keys: list[str]) -> DataFrame:
-    """First row per key and day with `is_active` and `is_new`."""
+    """First row per key and day with `is_active` and `is_first_day`."""
     if df.isStreaming:
         return state.active_days(df, keys)
     return flags.new_and_active(df, keys, "row_time")
@@ -125,7 +125,7 @@ def cart_user_window(carts: DataFrame, size: str = SIZE, cur_date: str = "proces
 def order_user_window(details: DataFrame, size: str = SIZE, cur_date: str = "processing") -> DataFrame:
     users = _active(details.where(F.col("user_id") != ""), ["user_id"])
     sums = A.window_sum_global(users, size, {
-        "order_unique_user_count": "is_active", "order_new_user_count": "is_new",
+        "order_unique_user_count": "is_active", "order_new_user_count": "is_first_day",
     })
     return A.stamp_window(sums, cur_date=cur_date)
 
@@ -133,7 +133,7 @@ def order_user_window(details: DataFrame, size: str = SIZE, cur_date: str = "pro
 def payment_user_window(payments: DataFrame, size: str = SIZE, cur_date: str = "processing") -> DataFrame:
     users = _active(payments.where(F.col("user_id") != ""), ["user_id"])
     sums = A.window_sum_global(users, size, {
-        "payment_suc_unique_user_count": "is_active", "payment_suc_new_user_count": "is_new",
+        "payment_suc_unique_user_count": "is_active", "payment_suc_new_user_count": "is_first_day",
     })
     return A.stamp_window(sums, cur_date=cur_date)
 

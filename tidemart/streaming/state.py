@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 MS, DAY = "_ms", "_day"
 FLAGS = T.StructType([
     T.StructField("is_active", T.LongType()),
-    T.StructField("is_new", T.LongType()),
+    T.StructField("is_first_day", T.LongType()),
     T.StructField("back", T.LongType()),
 ])
 
@@ -162,7 +162,7 @@ def active_days(
     df: DataFrame, keys: Sequence[str], ts: str = "row_time", keep: Sequence[str] = (),
     away_days: int = 7, ttl_seconds: int | None = None, salts: int = 4,
 ) -> DataFrame:
-    """First row per key and day with `is_active`, `is_new` and `back`.
+    """First row per key and day with `is_active`, `is_first_day` and `back`.
 
     With `salts` above 1 a first level keeps one row per key, salt and day, so a hot key is
     reduced in parallel before its single state sees it.
