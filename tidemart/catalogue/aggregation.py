@@ -49,6 +49,13 @@ def _(t):
     return A.stamp_window(counts, ("window_start", "window_end", "cur_date"), "yyyyMMdd", "window")
 
 
+@query("u2_reduce_with_window", f"""SELECT {stamped(HOUR)}, event_type, max(value) AS top, min(value) AS low, count(*) AS n
+FROM events GROUP BY ALL""")
+def _(t):
+    aggs = {"top": F.max("value"), "low": F.min("value"), "n": F.count(F.lit(1))}
+    return stamp(A.reduce_with_window(t.events, HOUR, ["event_type"], aggs, "ts"))
+
+
 @query("a6_salted_count", "SELECT l_returnflag, count(*) AS cnt FROM lineitem GROUP BY ALL")
 def _(t):
     return A.salted_count(t.lineitem, "l_returnflag", "l_orderkey")

@@ -120,7 +120,7 @@ def _(t):
 
 @query("p11_flatten_change", f"""WITH {CARTS}
 SELECT id || '_' || (ts * 1000) AS id, '{DB}' AS db_name, 'cart_info' AS t_name, CAST(ts * 1000 AS VARCHAR) AS ts,
-  CASE type WHEN 'insert' THEN 'c' WHEN 'update' THEN 'u' WHEN 'bootstrap-insert' THEN 'r' ELSE 'd' END AS op,
+  CASE type WHEN 'insert' THEN 'CREATE' WHEN 'update' THEN 'UPDATE' WHEN 'bootstrap-insert' THEN 'READ' ELSE 'DELETE' END AS op,
   CASE WHEN type = 'delete' THEN CAST(num AS VARCHAR) WHEN type = 'update' THEN CAST(old_num AS VARCHAR) END AS before_num,
   CASE WHEN type <> 'delete' THEN CAST(num AS VARCHAR) END AS after_num FROM carts""")
 def _(t):

@@ -200,7 +200,7 @@ def _(t):
 @query("k8_write_changelog_flat", f"""WITH {CARTS}
 SELECT id, op, db_name, t_name, ts, split_part(id, '_', 1) AS before_after_id FROM (
   SELECT id || '_' || (ts * 1000) AS id,
-    CASE type WHEN 'insert' THEN 'c' WHEN 'update' THEN 'u' WHEN 'bootstrap-insert' THEN 'r' ELSE 'd' END AS op,
+    CASE type WHEN 'insert' THEN 'CREATE' WHEN 'update' THEN 'UPDATE' WHEN 'bootstrap-insert' THEN 'READ' ELSE 'DELETE' END AS op,
     '{DB}' AS db_name, 'cart_info' AS t_name, CAST(ts * 1000 AS VARCHAR) AS ts FROM carts)
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY op DESC) = 1""")
 def _(t):

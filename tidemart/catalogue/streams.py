@@ -6,7 +6,7 @@ the SQL leaves them out as well.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemart.catalogue.registry import query
 from tidemart.catalogue.stand_ins import (
@@ -129,6 +129,34 @@ def _(t):
     return finish(t, deltas.select("event_id", "user_id", "delta"), "t8s")
 
 
+@query("u3_keyed_process_stream", """SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS visit,
+  max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS top FROM events""")
+def _(t):
+    """User code: number the visits of each user and keep the largest value so far."""
+    def step(state, row):
+        visits, top = state or (0, row["value"])
+        now = (visits + 1, max(top, row["value"]))
+        return now, list(now)
+    rows = events_stream(t).select("event_id", "user_id", "value", "row_time")
+    schema = T.StructType([T.StructField("visit", T.LongType()), T.StructField("top", T.DoubleType())])
+    out = state.keyed_process(rows, ["user_id"], step, schema, schema, tie=["event_id"])
+    return finish(t, out.select("event_id", "user_id", "visit", "top"), "u3s")
+
+
+@query("u4_job_skeleton_stream", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events WHERE event_type = 'click'
+  AND {ended(HOUR).replace("FROM events)", "FROM events WHERE event_type = 'click')")} GROUP BY ALL""")
+def _(t):
+    """Source, handlers and sink given to the job skeleton."""
+    job.stream_settings(t.spark)
+    out = scratch_dir(t.spark, "u4")
+    job.run_to_end(
+        t.stream("events").withColumn("row_time", F.col("ts").cast("timestamp")),
+        lambda df: df.where(F.col("event_type") == "click"), job.watermark,
+        lambda df: A.window_sum_global(df, HOUR, {"n": F.lit(1)}), stamp,
+        checkpoint=scratch_dir(t.spark, "u4-at"), path=out)
+    return t.spark.read.parquet(out)
+
+
 @query("j1_order_wide_inner_stream", f"""WITH {ORDER_CHANGES}
 SELECT a.id, a.user_id, b.order_status, a.ts FROM order_changes a JOIN order_changes b ON a.id = b.id AND abs(a.ts - b.ts) <= 90000
 WHERE a.type IN ('insert', 'bootstrap-insert') AND b.type = 'update'""")

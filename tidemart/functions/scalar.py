@@ -98,7 +98,7 @@ def or_zero(c: Column | str) -> Column:
 
 def in_csv(csv: Column | str, member: Column) -> Column:
     """Exact membership of `member` in a comma separated list."""
-    return F.array_contains(F.split(as_column(csv), ","), member)
+    return F.find_in_set(member, as_column(csv)) > 0
 
 
 def prefix(c: Column | str, n: int) -> Column:

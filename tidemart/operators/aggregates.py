@@ -40,11 +40,18 @@ def tumble(size: str, ts: str = "row_time") -> Column:
     return F.window(F.col(ts), size)
 
 
+def reduce_with_window(
+    df: DataFrame, size: str, keys: Keys, aggs: Mapping[str, Column], ts: str = "row_time"
+) -> DataFrame:
+    """Any aggregates per key and window; the window stays as a column for `stamp_window`."""
+    return df.groupBy(tumble(size, ts), *keys).agg(*(a.alias(out) for out, a in aggs.items()))
+
+
 def window_sum_by_key(
     df: DataFrame, size: str, keys: Keys, sums: Mapping[str, Column | str], ts: str = "row_time"
 ) -> DataFrame:
-    totals = [F.sum(as_column(c)).alias(out) for out, c in sums.items()]
-    return df.groupBy(tumble(size, ts), *keys).agg(*totals)
+    totals = {out: F.sum(as_column(c)) for out, c in sums.items()}
+    return reduce_with_window(df, size, keys, totals, ts)
 
 
 def window_sum_global(

@@ -101,12 +101,21 @@ def clean_change(changes: DataFrame) -> DataFrame:
     )
 
 
+# fixed names of the operation codes in flat change rows
+OP_NAMES = {"r": "READ", "c": "CREATE", "u": "UPDATE", "d": "DELETE"}
+
+
+def op_name(op: Column) -> Column:
+    names = F.create_map(*[F.lit(x) for pair in OP_NAMES.items() for x in pair])
+    return F.coalesce(names[op], op)
+
+
 def flatten_change(changes: DataFrame, key: str = "id") -> DataFrame:
     """Seven text columns per change; the id joins the row key and the change time."""
     row_key = F.coalesce(F.col("after")[key], F.col("before")[key])
     return changes.select(
         F.concat_ws("_", row_key, F.col("ts_ms").cast("string")).alias("id"),
-        F.col("op"),
+        op_name(F.col("op")).alias("op"),
         F.col("source")["db"].alias("db_name"),
         F.to_json("before").alias("log_before"),
         F.to_json("after").alias("log_after"),

@@ -157,21 +157,27 @@ def delta_by_key(
     """Each measure minus its previous value for the same key (0 before the first).
 
     `measures` maps new columns to measure columns; summing a new column counts re-sent rows
-    once.  With `ttl_seconds` a previous value older than that in event time is forgotten.
+    once.  With `ttl_seconds` a previous value that old in event time is forgotten.
     """
-    values = F.struct(F.col(ts).alias("_at"), *(F.col(m).alias(o) for o, m in measures.items()))
-    rows = df.withColumn("_slot", _slot(ts, slot)).withColumn("_now", values)
+    kept = {"_at": ts, **{f"_m{i}": m for i, m in enumerate(measures.values())}}
+    rows = df.withColumn("_slot", _slot(ts, slot))
     w = Window.partitionBy(*keys, "_slot").orderBy(ts, *tie)
-    local = rows.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag("_now").over(w))
-    last = rows.groupBy(*keys, "_slot").agg(
-        F.max_by("_now", F.struct(ts, *tie)).alias("_last")
+    local = rows.withColumns(
+        {"_rn": F.row_number().over(w), **{f"{k}_prev": F.lag(c).over(w) for k, c in kept.items()}}
     )
+    by = F.struct(ts, *tie) if tie else F.col(ts)
+    last = rows.groupBy(*keys, "_slot").agg(*(F.max_by(c, by).alias(k) for k, c in kept.items()))
     chain = Window.partitionBy(*keys).orderBy("_slot")
-    carried = last.select(*keys, "_slot", F.lag("_last").over(chain).alias("_carry"))
+    carried = last.select(*keys, "_slot", *(F.lag(k).over(chain).alias(f"{k}_carry") for k in kept))
     joined = _join_back(local, carried, [*keys, "_slot"])
-    prev = F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev"))
+    prev = {
+        k: F.when(F.col("_rn") == 1, F.col(f"{k}_carry")).otherwise(F.col(f"{k}_prev")) for k in kept
+    }
+    fresh = F.lit(True)
     if ttl_seconds is not None:
         fresh = F.col(ts) < prev["_at"] + F.expr(f"INTERVAL '{ttl_seconds}' SECOND")
-        prev = F.when(fresh, prev)
-    deltas = {o: F.col(m) - F.coalesce(prev[o], F.lit(0)) for o, m in measures.items()}
-    return joined.withColumns(deltas).drop("_slot", "_now", "_rn", "_prev", "_carry")
+    deltas = {
+        out: F.col(m) - F.coalesce(F.when(fresh, prev[f"_m{i}"]), F.lit(0))
+        for i, (out, m) in enumerate(measures.items())
+    }
+    return joined.select(*df.columns, *(d.alias(o) for o, d in deltas.items()))

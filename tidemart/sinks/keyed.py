@@ -98,17 +98,27 @@ def dim_writer(path: str) -> Callable[[DataFrame, int], None]:
 def resolve_dim(
     changes: DataFrame, columns: Sequence[str], order: Sequence[str | Column] = ("ts",)
 ) -> DataFrame:
-    """Current dimension rows: each cell is its latest non-null put after the last delete."""
+    """Current dimension rows: each cell is its latest non-null put after the last delete.
+
+    One aggregation, reduced per task before the shuffle, so a hot row key stays cheap.
+    """
     rows = changes.withColumn("_by", F.struct(*order))
-    gone = rows.where("deleted").groupBy("rowkey").agg(F.max("_by").alias("_gone"))
-    live = rows.where(~F.col("deleted")).join(gone, "rowkey", "left").where(
-        F.col("_gone").isNull() | (F.col("_by") > F.col("_gone"))
+    put = ~F.col("deleted")
+    written = {c: F.when(put & F.col("data")[c].isNotNull(), F.col("_by")) for c in columns}
+    # max and max_by skip null orderings: a null cell leaves the older one in place
+    summary = rows.groupBy("rowkey").agg(
+        F.max(F.when(F.col("deleted"), F.col("_by"))).alias("_gone"),
+        F.max(F.when(put, F.col("_by"))).alias("_put"),
+        *(F.max(F.struct(by.alias("at"), F.col("data")[c].alias("v"))).alias(f"_{c}")
+          for c, by in written.items()),
+    )
+    gone = F.col("_gone")
+    after = lambda at: gone.isNull() | (at > gone)
+    return summary.where(F.col("_put").isNotNull() & after(F.col("_put"))).select(
+        "rowkey",
+        *(F.when(F.col(f"_{c}.at").isNotNull() & after(F.col(f"_{c}.at")), F.col(f"_{c}.v")).alias(c)
+          for c in columns),
     )
-    cells = {c: F.col("data")[c] for c in columns}
-    # max_by skips rows whose ordering is null, so a null cell leaves the older one in place
-    return live.groupBy("rowkey").agg(*(
-        F.max_by(cell, F.when(cell.isNotNull(), F.col("_by"))).alias(c) for c, cell in cells.items()
-    ))
 
 
 def read_dim(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:

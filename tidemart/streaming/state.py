@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -38,7 +39,8 @@ class _Timed(StatefulProcessor):
         self.value = handle.getValueState("value", self.state_schema)
 
     def load(self) -> tuple | None:
-        return tuple(self.value.get()) if self.value.exists() else None
+        stored = self.value.get()
+        return None if stored is None else tuple(stored)
 
     def store(self, state: tuple) -> None:
         self.value.update(state)
@@ -154,43 +156,39 @@ def _ms(seconds: int | None) -> int | None:
     return None if seconds is None else seconds * 1000
 
 
-def _salted(df: DataFrame, salts: int) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.col(MS), F.lit(salts)).cast("int"))
+def _reduced(df: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Keep the earliest row per group of each Arrow batch, before the shuffle.
+
+    A hot key then sends one row per batch to the task that holds its state.  The schema
+    passed on carries the watermark's mark on the event-time column.
+    """
+    group = list(group)
+
+    def earliest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            yield rows.sort_values(MS, kind="stable").drop_duplicates(group)
+
+    return df.mapInPandas(earliest, df.schema)
 
 
 def active_days(
     df: DataFrame, keys: Sequence[str], ts: str = "row_time", keep: Sequence[str] = (),
-    away_days: int = 7, ttl_seconds: int | None = None, salts: int = 4,
+    away_days: int = 7, ttl_seconds: int | None = None,
 ) -> DataFrame:
-    """First row per key and day with `is_active`, `is_first_day` and `back`.
-
-    With `salts` above 1 a first level keeps one row per key, salt and day, so a hot key is
-    reduced in parallel before its single state sees it.
-    """
+    """First row per key and day with `is_active`, `is_first_day` and `back`."""
     columns = [*keys, ts, *keep]
-    rows = _timed(df, ts)
-    carried = [*columns, MS, DAY]
-    if salts > 1:
-        rows = _salted(rows, salts)
-        carried1 = _fields(rows, carried)
-        rows = _apply(rows, [*keys, "_salt"], _FirstOfDay(carried, away_days, _ms(ttl_seconds)),
-                      T.StructType([*carried1, *FLAGS.fields]), ts).drop(*FLAGS.fieldNames())
+    rows = _reduced(_timed(df, ts).select(*columns, MS, DAY), [*keys, DAY])
     output = T.StructType([*_fields(rows, columns), *FLAGS.fields])
     return _apply(rows, keys, _FirstOfDay(columns, away_days, _ms(ttl_seconds)), output, ts)
 
 
 def first_ever(
     df: DataFrame, keys: Sequence[str], ts: str = "row_time", keep: Sequence[str] = (),
-    ttl_seconds: int | None = None, salts: int = 4,
+    ttl_seconds: int | None = None,
 ) -> DataFrame:
     """The first row per key."""
     columns = [*keys, ts, *keep]
-    rows = _timed(df, ts)
-    if salts > 1:
-        rows = _salted(rows, salts)
-        carried = [*columns, MS]
-        output = T.StructType(_fields(rows, carried))
-        rows = _apply(rows, [*keys, "_salt"], _FirstEver(carried, _ms(ttl_seconds)), output, ts)
+    rows = _reduced(_timed(df, ts).select(*columns, MS), keys)
     output = T.StructType(_fields(rows, columns))
     return _apply(rows, keys, _FirstEver(columns, _ms(ttl_seconds)), output, ts)
 
