@@ -4,10 +4,10 @@ None of them ever puts all rows of a key into one task.  Two shapes are used:
 
 * Where only the first rows matter (summaries), they are plain aggregates: each task
   reduces its own rows first and a hot key costs one row per task and day.
-* Where every row needs an answer, rows are grouped by key *and time slot*.  Whatever a
-  row must know from earlier slots comes from a per-slot aggregate that is chained over
-  the key (one row per slot) and joined back on key and slot.  A key holding a third of
-  all rows is thus spread over its slots; `slot` sets their width.
+* Where every row needs an answer, rows are grouped by key *and time slot*.  What a row must
+  know from earlier slots comes from a per-slot aggregate joined back on key and slot, or
+  from the edge rows of the slots, chained over the key (two rows per slot).  A key holding
+  a third of all rows is thus spread over its slots; `slot` sets their width in seconds.
 
 Event order is the order of the time column, then of the `tie` columns; it should be total.
 """
@@ -126,7 +126,7 @@ def repair_new_flag(
     `only_if_empty` a `0` stores nothing once a date is stored, so only a `0` before the
     first `1` matters.
     """
-    at = F.struct(ts, *tie)
+    at = F.struct(ts, *tie) if tie else F.col(ts)
     zero, one = is_new == "0", is_new == "1"
     rows = df.withColumn("_slot", _slot(ts, slot)).withColumn("_day", day_of(ts))
     per_slot = rows.groupBy(key, "_slot").agg(
@@ -162,16 +162,19 @@ def delta_by_key(
     kept = {"_at": ts, **{f"_m{i}": m for i, m in enumerate(measures.values())}}
     rows = df.withColumn("_slot", _slot(ts, slot))
     w = Window.partitionBy(*keys, "_slot").orderBy(ts, *tie)
-    local = rows.withColumns(
-        {"_rn": F.row_number().over(w), **{f"{k}_prev": F.lag(c).over(w) for k, c in kept.items()}}
+    local = rows.withColumns({
+        "_first": F.row_number().over(w) == 1,
+        "_last": F.lead(F.lit(1)).over(w).isNull(),
+        **{f"{k}_prev": F.lag(c).over(w) for k, c in kept.items()},
+    })
+    # the edge rows of all slots of a key form one short group, other rows stay in their slot
+    inner = F.when(~(F.col("_first") | F.col("_last")), F.col("_slot"))
+    edges = Window.partitionBy(*keys, "_inner").orderBy(ts, *tie)
+    chained = local.withColumn("_inner", inner).withColumns(
+        {f"{k}_carry": F.lag(c).over(edges) for k, c in kept.items()}
     )
-    by = F.struct(ts, *tie) if tie else F.col(ts)
-    last = rows.groupBy(*keys, "_slot").agg(*(F.max_by(c, by).alias(k) for k, c in kept.items()))
-    chain = Window.partitionBy(*keys).orderBy("_slot")
-    carried = last.select(*keys, "_slot", *(F.lag(k).over(chain).alias(f"{k}_carry") for k in kept))
-    joined = _join_back(local, carried, [*keys, "_slot"])
     prev = {
-        k: F.when(F.col("_rn") == 1, F.col(f"{k}_carry")).otherwise(F.col(f"{k}_prev")) for k in kept
+        k: F.when(F.col("_first"), F.col(f"{k}_carry")).otherwise(F.col(f"{k}_prev")) for k in kept
     }
     fresh = F.lit(True)
     if ttl_seconds is not None:
@@ -180,4 +183,4 @@ def delta_by_key(
         out: F.col(m) - F.coalesce(F.when(fresh, prev[f"_m{i}"]), F.lit(0))
         for i, (out, m) in enumerate(measures.items())
     }
-    return joined.select(*df.columns, *(d.alias(o) for o, d in deltas.items()))
+    return chained.select(*df.columns, *(d.alias(o) for o, d in deltas.items()))
