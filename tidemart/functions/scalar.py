@@ -61,7 +61,8 @@ def epoch_to_timestamp(value: Column | str, unit: str = "s") -> Column:
 
 def text_to_date(text: Column | str) -> Column:
     """Reformat a text timestamp as `yyyy-MM-dd`; null when it cannot be read."""
-    return F.date_format(F.try_to_timestamp(as_column(text)), DATE)
+    pattern = F.lit("yyyy-MM-dd[ HH:mm:ss[.SSS]]")
+    return F.date_format(F.try_to_timestamp(as_column(text), pattern), DATE)
 
 
 def processing_time() -> Column:
