@@ -37,11 +37,18 @@ def pages_stream(t):
     return job.watermark(page_records(log_records(t.stream("events"))))
 
 
+def run(t, *job_parts, **options):
+    """Run a stream to its end; one machine gets as many state partitions as it has cores."""
+    job.stream_settings(t.spark)
+    context = t.spark.sparkContext
+    partitions = context.defaultParallelism if context.master.startswith("local") else None
+    job.run_to_end(*job_parts, state_partitions=partitions, **options)
+
+
 def finish(t, df, name):
     """Run a stream to its end and return what it wrote."""
-    job.stream_settings(t.spark)
     out = scratch_dir(t.spark, name)
-    job.run_to_end(df, checkpoint=scratch_dir(t.spark, f"{name}-at"), path=out)
+    run(t, df, checkpoint=scratch_dir(t.spark, f"{name}-at"), path=out)
     return t.spark.read.schema(df.schema).parquet(out)
 
 
@@ -74,7 +81,6 @@ LATE_DAY = "2024-01-15"
 @query("w4_late_drop", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events WHERE ts >= TIMESTAMP '{LATE_DAY}' AND {ended(HOUR)} GROUP BY ALL""")
 def _(t):
     """Rows written after the watermark has passed them are dropped: the first half comes second."""
-    job.stream_settings(t.spark)
     folder, out, at = (scratch_dir(t.spark, n) for n in ("w4-in", "w4", "w4-at"))
     late = F.col("ts") < F.lit(LATE_DAY).cast("timestamp_ntz")
     for part in (~late, late):
@@ -82,7 +88,7 @@ def _(t):
         rows = t.spark.readStream.schema(t.events.schema).parquet(folder)
         rows = job.watermark(rows.withColumn("row_time", F.col("ts").cast("timestamp")))
         counts = stamp(A.window_sum_global(rows, HOUR, {"n": F.lit(1)}))
-        job.run_to_end(counts, checkpoint=at, path=out)
+        run(t, counts, checkpoint=at, path=out)
     return t.spark.read.parquet(out)
 
 
@@ -147,10 +153,9 @@ def _(t):
   AND {ended(HOUR).replace("FROM events)", "FROM events WHERE event_type = 'click')")} GROUP BY ALL""")
 def _(t):
     """Source, handlers and sink given to the job skeleton."""
-    job.stream_settings(t.spark)
     out = scratch_dir(t.spark, "u4")
-    job.run_to_end(
-        t.stream("events").withColumn("row_time", F.col("ts").cast("timestamp")),
+    run(
+        t, t.stream("events").withColumn("row_time", F.col("ts").cast("timestamp")),
         lambda df: df.where(F.col("event_type") == "click"), job.watermark,
         lambda df: A.window_sum_global(df, HOUR, {"n": F.lit(1)}), stamp,
         checkpoint=scratch_dir(t.spark, "u4-at"), path=out)
@@ -198,12 +203,11 @@ SELECT {stamped(HOUR)}, vc, ch, ar, is_new, count(*) FILTER (WHERE day_rn = 1) A
 WHERE {ended(HOUR).replace("FROM events", "FROM pages_log")} GROUP BY ALL""")
 def _(t):
     """Summary rows go through the idempotent sink, one folder per micro-batch."""
-    job.stream_settings(t.spark)
     out = scratch_dir(t.spark, "q14s")
     df = S.traffic_window(pages_stream(t), HOUR, "window")
     keys = ["stt", "edt", "vc", "ch", "ar", "is_new"]
-    job.run_to_end(df, checkpoint=scratch_dir(t.spark, "q14s-at"),
-                   sink=lambda rows, batch: keyed.write_summary(rows, keys, out, batch))
+    run(t, df, checkpoint=scratch_dir(t.spark, "q14s-at"),
+        sink=lambda rows, batch: keyed.write_summary(rows, keys, out, batch))
     return keyed.read_summary(t.spark, out, keys)
 
 

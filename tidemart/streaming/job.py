@@ -29,11 +29,13 @@ def stream_settings(spark: SparkSession, ignore_idle: bool = True) -> None:
 def run_job(
     source: DataFrame, *handlers: Callable[[DataFrame], DataFrame], checkpoint: str,
     sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
-    available_now: bool = True, name: str | None = None,
+    available_now: bool = True, name: str | None = None, state_partitions: int | None = None,
 ) -> StreamingQuery:
     """The job skeleton: source, then each handler, then a sink.
 
-    The sink is a `foreachBatch` function, or a folder of parquet files.
+    The sink is a `foreachBatch` function, or a folder of parquet files.  A stream keeps the
+    number of state partitions of its first run; `state_partitions` sets it for this job
+    alone, instead of `spark.sql.shuffle.partitions`.
     """
     df = source
     for handle in handlers:
@@ -44,8 +46,16 @@ def run_job(
     if available_now:
         writer = writer.trigger(availableNow=True)
     if sink is not None:
-        return writer.foreachBatch(sink).start()
-    return writer.format("parquet").option("path", path).start()
+        writer = writer.foreachBatch(sink)
+    else:
+        writer = writer.format("parquet").option("path", path)
+    conf, before = df.sparkSession.conf, df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    try:
+        # a query copies the session's settings when it starts
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+        return writer.start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
 
 
 def run_to_end(*args, **kwargs) -> None:
