@@ -145,6 +145,27 @@ def test_fact_routing_normalises_both_sides(spark):
         assert {r.type for r in routed.collect()} == {"bootstrap-insert", "insert"}
 
 
+def test_config_is_broadcast_within_its_bound_only(spark, monkeypatch):
+    from tests.test_joins import plan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = changes(spark, change("user_info", "insert", {"id": 1}))
+        config = fact_config(spark, ("user_info", "insert", "dwd_user_register", "id", "r"))
+        assert "BroadcastHashJoin" in plan(R.route_fact(df, config))
+        monkeypatch.setattr(R, "MAX_CONFIG_ROWS", 0)
+        beyond = R.route_fact(df, config)
+        assert "BroadcastHashJoin" not in plan(beyond) and beyond.count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_messages_are_parsed_once(spark):
+    from tests.test_joins import plan
+    parsed = P.parse_lenient(messages(spark, log_record()), LOG).where("common.mid != '' AND ts > 0")
+    assert plan(parsed.select("common", "ts")).count("from_json") == 1
+
+
 def test_config_state_keeps_the_latest_and_drops_deleted(spark):
     df = spark.createDataFrame(
         [("a", "dim_a1", "r", 1), ("a", "dim_a2", "u", 3), ("a", "dim_a0", "u", 2), ("b", "dim_b", "r", 1),

@@ -162,13 +162,18 @@ def lateral_keywords(df: DataFrame, splitter, text: str, out: str = "keyword") -
     return df.withColumn(out, F.explode(splitter(F.col(text))))
 
 
+def small_enough(df: DataFrame, max_rows: int) -> bool:
+    """Whether a static table has at most `max_rows` rows; reads one row more at most."""
+    return not df.isStreaming and df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast for a table of at most `max_rows` rows; leave a larger one to the planner."""
+    return F.broadcast(df) if small_enough(df, max_rows) else df
+
+
 def map_join(
     big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 100_000
 ) -> DataFrame:
-    """Hold the small side in memory, but only when it has at most `max_rows` rows.
-
-    The check reads no more than `max_rows + 1` rows; beyond it the join is planned as usual.
-    """
-    if small.limit(max_rows + 1).count() <= max_rows:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+    """Hold the small side in memory, but only when it has at most `max_rows` rows."""
+    return big.join(checked_broadcast(small, max_rows), on, how)

@@ -9,10 +9,19 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 BAD = "_bad_record"
 
 
+def _parse_once(df: DataFrame, parsed: Column) -> DataFrame:
+    """Add the parsed record as column `r`, evaluated once per message.
+
+    As a plain projection it would be copied into every filter pushed below it and parse each
+    message several times; nothing is pushed below a generated column.
+    """
+    return df.withColumn("r", F.explode(F.array(parsed)))
+
+
 def parse_strict(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Typed columns of every message; a message that is not valid JSON fails the job."""
     parsed = F.from_json(F.col(value), schema, {"mode": "FAILFAST"})
-    return df.select(parsed.alias("r")).select("r.*")
+    return _parse_once(df, parsed).select("r.*")
 
 
 def _parsed(df: DataFrame, schema: T.StructType, value: str) -> tuple[DataFrame, Column]:
@@ -22,7 +31,7 @@ def _parsed(df: DataFrame, schema: T.StructType, value: str) -> tuple[DataFrame,
     )
     # blank and null messages parse to a null record
     is_bad = F.col("r").isNull() | F.col(f"r.{BAD}").isNotNull()
-    return df.withColumn("r", record), is_bad
+    return _parse_once(df, record), is_bad
 
 
 def parse_lenient(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:

@@ -12,22 +12,25 @@ from tidemart.streaming import state
 
 def dim_rows(changes: DataFrame, config: DataFrame, database: str) -> DataFrame:
     """Dimension puts and deletes: destination, row key and the configured payload keys."""
-    routed = C.project_config_columns(R.route_dim(C.etl_changes(changes, database), config))
-    return routed.select(
-        "sink_table", F.col("data")[F.col("sink_row_key")].alias("rowkey"), "data", "type", "ts"
-    )
+    routed = _with_row_key(R.route_dim(C.etl_changes(changes, database), config))
+    return routed.select("sink_table", "rowkey", "data", "type", "ts")
 
 
 def dim_rows_debezium(changes: DataFrame, config: DataFrame) -> DataFrame:
     """The same for before/after images; deletes are skipped."""
     live = C.clean_change(changes.where(F.col("op") != "d"))
-    routed = C.project_config_columns(R.route_dim(live, config))
+    routed = _with_row_key(R.route_dim(live, config))
     return routed.select(
-        "sink_table", F.col("data")[F.col("sink_row_key")].alias("rowkey"), "data",
-        F.col("op").alias("type"), F.col("ts_ms").alias("ts"),
+        "sink_table", "rowkey", "data", F.col("op").alias("type"), F.col("ts_ms").alias("ts")
     )
 
 
+def _with_row_key(routed: DataFrame) -> DataFrame:
+    # the key is read before the payload is cut, so filters on it do not repeat the cutting
+    keyed = routed.withColumn("rowkey", F.col("data")[F.col("sink_row_key")])
+    return C.project_config_columns(keyed)
+
+
 def fact_messages(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Configured changes as (topic, value), the payload cut to its configured keys."""
     routed = C.project_config_columns(R.route_fact(C.with_payload(changes), config))
