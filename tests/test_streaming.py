@@ -229,6 +229,34 @@ def test_order_detail_stream_joins_within_a_bound(spark):
         ("d1", "u1", "a1", None), ("d2", "u1", None, "c1")]
 
 
+def test_refund_streams_equal_batch(spark):
+    """Refunds and refund payments join other changes of one log, at most an hour apart."""
+    import json
+    def item(table, ts, part, data, old=None):
+        row = {"database": "shop", "table": table, "type": "update" if old else "insert", "ts": ts, "data": data, "old": old}
+        return json.dumps(row), part
+    items = []
+    for i in range(20):
+        order, t = f"o{i}", 1000 + 40 * i
+        items += [
+            item("order_info", t, 0, {"id": order, "user_id": f"u{i}", "province_id": "p", "order_status": "1005"}, {"order_status": "1002"}),
+            item("order_refund_info", t + 30, 0, {"id": f"r{i}", "user_id": f"u{i}", "order_id": order, "sku_id": "s", "refund_type": str(i % 3),
+                 "refund_reason_type": "1", "refund_num": "1", "create_time": "2024-03-01 10:00:00"}),
+            item("order_info", t + 60, 1, {"id": order, "user_id": f"u{i}", "province_id": "p", "order_status": "1006"}, {"order_status": "1005"}),
+            item("order_refund_info", t + 70, 1, {"order_id": order, "sku_id": "s", "refund_num": "1", "refund_status": "0705"}, {"refund_status": "0701"}),
+            item("refund_payment", t + 90, 1, {"id": f"q{i}", "order_id": order, "sku_id": "s" if i % 2 else "x", "payment_type": "1",
+                 "callback_time": "2024-03-02 10:00:00", "total_amount": "5", "refund_status": "1602"}, {"refund_status": "1601"}),
+        ]
+    df = spark.createDataFrame(items, "value string, _part int")
+    folder = scratch_dir(spark, "db")
+    write_in_order(spark, df, folder, 2, ["value"], "text")
+    dic = spark.createDataFrame([("0", ("zero",)), ("1", ("one",))], "rowkey string, info struct<dic_name string>")
+    for fact, expected in ((facts.order_refund, 14), (facts.refund_payment, 10)):
+        want = rows(fact(SM.change_stream(spark.read.text(folder)), dic, "shop"))
+        stream = SM.change_stream(read_stream(spark, folder, "value string", "text"))
+        assert rows(finish(spark, fact(stream, dic, "shop", within=3600))) == want and len(want) == expected
+
+
 def test_dimension_stream_writes_every_batch_once(spark, tmp_path):
     """Config is read again in every micro-batch; the dimension folds all of them."""
     import json

@@ -109,7 +109,7 @@ def _(t):
 SELECT CAST(doc_id AS VARCHAR) AS id, CAST(doc_id % 97 AS VARCHAR) AS user_id, source AS nick_name, CAST(doc_id % 200 AS VARCHAR) AS sku_id,
   CAST(doc_id % 20 AS VARCHAR) AS spu_id, CAST(doc_id * 3 AS VARCHAR) AS order_id, CAST(doc_id % 30 AS VARCHAR) AS appraise,
   dic_name, text AS comment_txt, '2024-01-01 00:00:00' AS create_time
-FROM documents JOIN dic ON rowkey = CAST(doc_id % 30 AS VARCHAR) WHERE n_chars % 5 <> 0""")
+FROM documents JOIN dic ON rowkey = CAST(doc_id % 30 AS VARCHAR) WHERE lang <> 'es'""")
 def _(t):
     return facts.comments(t.comment_changes, t.dictionary, DB)
 
@@ -330,7 +330,7 @@ def _(t):
     where = scratch_dir(t.spark, "q26")
     values = t.events.select(F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("value"))
     row = F.from_json("value", "event_id BIGINT, user_id BIGINT, event_type STRING, value DOUBLE")
-    keyed.write_summary(round_trip(t, values, "q26-in").select(row.alias("r")).select("r.*"), ["event_id"], where)
+    keyed.write_summary(round_trip(t, values, "q26-in").select(row.alias("r")).select("r.*"), where)
     return keyed.read_summary(t.spark, where, ["event_id"])
 
 

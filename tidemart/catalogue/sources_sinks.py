@@ -193,7 +193,7 @@ def _(t):
         F.count(F.lit(1)).alias("n"))
     keys, early = ["event_type", "day"], F.col("day") < "2024-01-15"
     for batch, part in ((0, early), (1, ~early), (1, ~early)):
-        keyed.write_summary(rows.where(part), keys, where, batch)
+        keyed.write_summary(rows.where(part), where, batch)
     return keyed.read_summary(t.spark, where, keys)
 
 

@@ -264,9 +264,9 @@ class Tables:
             text("doc_id").alias("id"), text(F.col("doc_id") % 97).alias("user_id"), F.col("source").alias("nick_name"),
             text(F.col("doc_id") % 200).alias("sku_id"), text(F.col("doc_id") % 20).alias("spu_id"),
             text(F.col("doc_id") * 3).alias("order_id"), text(F.col("doc_id") % 30).alias("appraise"),
-            F.col("text").alias("comment_txt"), F.lit("2024-01-01 00:00:00").alias("create_time"), "doc_id", "n_chars",
+            F.col("text").alias("comment_txt"), F.lit("2024-01-01 00:00:00").alias("create_time"), "doc_id", "lang",
         )
-        type_ = F.when(F.col("n_chars") % 5 == 0, "update").otherwise("insert")
+        type_ = F.when(F.col("lang") == "es", "update").otherwise("insert")
         payload = ("id", "user_id", "nick_name", "sku_id", "spu_id", "order_id", "appraise", "comment_txt", "create_time")
         return as_changes(rows, "comment_info", payload, type_, F.col("doc_id"))
 

@@ -207,7 +207,7 @@ def _(t):
     df = S.traffic_window(pages_stream(t), HOUR, "window")
     keys = ["stt", "edt", "vc", "ch", "ar", "is_new"]
     run(t, df, checkpoint=scratch_dir(t.spark, "q14s-at"),
-        sink=lambda rows, batch: keyed.write_summary(rows, keys, out, batch))
+        sink=lambda rows, batch: keyed.write_summary(rows, out, batch))
     return keyed.read_summary(t.spark, out, keys)
 
 

@@ -18,21 +18,23 @@ def _within(left: Column, right: Column, seconds: int) -> Column:
 
 
 def join_changes(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str = "inner",
-    within: int | None = None, ts: str = "row_time",
+    left: DataFrame, right: DataFrame, left_key: str | Sequence[str], right_key: str | Sequence[str],
+    how: str = "inner", within: int | None = None, ts: str = "row_time",
 ) -> DataFrame:
-    """Equi-join of two change selections; the right key and time are not kept.
+    """Equi-join of two change selections; the right keys and time are not kept.
 
     `within` bounds the distance of their event times in seconds.  Streams need it, so
     that state can be dropped; batch joins are unbounded by default.
     """
+    left_keys, right_keys = ([k] if isinstance(k, str) else list(k) for k in (left_key, right_key))
     l, r = left.alias("l"), right.alias("r")
-    on = F.col(f"l.{left_key}") == F.col(f"r.{right_key}")
+    on = F.lit(True)
+    for a, b in zip(left_keys, right_keys, strict=True):
+        on = on & (F.col(f"l.{a}") == F.col(f"r.{b}"))
     if within is not None:
         on = on & _within(F.col(f"l.{ts}"), F.col(f"r.{ts}"), within)
-    taken = set(left.columns)
-    extra = [f"r.{c}" for c in right.columns if c not in (right_key, ts) and c not in taken]
-    return l.join(r, on, how).select("l.*", *extra)
+    known = {*left.columns, *right_keys, ts}
+    return l.join(r, on, how).select("l.*", *(f"r.{c}" for c in right.columns if c not in known))
 
 
 def order_wide(
@@ -54,11 +56,12 @@ def cancel_join(detail: DataFrame, cancelled: DataFrame, within: int | None = No
 
 
 def composite_key_join(
-    payments: DataFrame, refunds: DataFrame, orders: DataFrame
+    payments: DataFrame, refunds: DataFrame, orders: DataFrame, within: int | None = None
 ) -> DataFrame:
     """Refund payments with their refund (order and product) and their order."""
-    paid = payments.join(refunds, ["order_id", "sku_id"])
-    return join_changes(paid, orders, "order_id", "id")
+    both = ("order_id", "sku_id")
+    paid = join_changes(payments, refunds, both, both, "inner", within)
+    return join_changes(paid, orders, "order_id", "id", "inner", within)
 
 
 def interval_join(

@@ -94,16 +94,20 @@ def payment_success(
     return named.select(*S.PAYMENT_COLUMNS)
 
 
-def order_refund(changes: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+def order_refund(
+    changes: DataFrame, dictionary: DataFrame, database: str, within: int | None = None
+) -> DataFrame:
     refunds = C.extract_map(
         C.select_table(changes, database, "order_refund_info"),
         ("id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
          "refund_reason_type", "refund_reason_txt", "create_time"),
-        keep=["ts"],
+        keep=["ts", *_timed(within)],
     )
     rows = changes.where((F.col("database") == database) & (F.col("table") == "order_info"))
-    orders = C.extract_map(C.status_transition(rows, "order_status", "1005"), ("id", "province_id"))
-    joined = J.join_changes(refunds, orders, "order_id", "id")
+    orders = C.extract_map(
+        C.status_transition(rows, "order_status", "1005"), ("id", "province_id"), keep=_timed(within)
+    )
+    joined = J.join_changes(refunds, orders, "order_id", "id", "inner", within)
     named = J.lookup_join_twice(
         joined, dictionary, "refund_type", "refund_reason_type", ("type_name", "reason_name")
     )
@@ -115,10 +119,13 @@ def order_refund(changes: DataFrame, dictionary: DataFrame, database: str) -> Da
     return C.positional_insert(listed, S.REFUND_COLUMNS)
 
 
-def refund_payment(changes: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+def refund_payment(
+    changes: DataFrame, dictionary: DataFrame, database: str, within: int | None = None
+) -> DataFrame:
     def entered(table: str, field: str, status: str, keys, keep=()) -> DataFrame:
         rows = changes.where((F.col("database") == database) & (F.col("table") == table))
-        return C.extract_map(C.status_transition(rows, field, status), keys, keep=keep)
+        moved = C.status_transition(rows, field, status)
+        return C.extract_map(moved, keys, keep=[*keep, *_timed(within)])
 
     payments = entered(
         "refund_payment", "refund_status", "1602",
@@ -126,8 +133,7 @@ def refund_payment(changes: DataFrame, dictionary: DataFrame, database: str) ->
     )
     refunds = entered("order_refund_info", "refund_status", "0705", ("order_id", "sku_id", "refund_num"))
     orders = entered("order_info", "order_status", "1006", ("id", "user_id", "province_id"))
-    # composite_key_join drops the order key, so the payment's id stays the only one
-    joined = J.composite_key_join(payments, refunds, orders)
+    joined = J.composite_key_join(payments, refunds, orders, within)
     named = J.lookup_join(joined, dictionary, "payment_type", {"type_name": "info.dic_name"})
     listed = named.select(
         "id", "user_id", "order_id", "sku_id", "province_id", "payment_type", "type_name",

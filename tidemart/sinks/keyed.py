@@ -47,8 +47,8 @@ def compact(resolved: DataFrame, new_path: str, batch_id: int = 0) -> None:
     resolved.write.mode("errorifexists").parquet(_batch_path(new_path, batch_id))
 
 
-def write_summary(df: DataFrame, keys: Sequence[str], path: str, batch_id: int = 0) -> None:
-    """Summary rows, idempotent per window and dimensions.
+def write_summary(df: DataFrame, path: str, batch_id: int = 0) -> None:
+    """Summary rows; `read_summary` keeps one per window and dimensions.
 
     Append-mode streams emit a window once, so a batch holds each key once already and only
     a repeated batch could write it again; that replaces its own folder.

@@ -22,6 +22,8 @@ def watermark(df: DataFrame, ts: str = "row_time", delay: str = SUMMARY_DELAY) -
 def stream_settings(spark: SparkSession, ignore_idle: bool = True) -> None:
     """Settings keyed state needs; with `ignore_idle` a silent input holds no one back."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # upload what a batch changed, not the whole state
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     policy = "max" if ignore_idle else "min"
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
 
