@@ -11,23 +11,21 @@ from tidemart.functions.scalar import snake_columns
 from tidemart.operators import changes as C, parse as P
 from tidemart.schemas import INSERT_TYPES, LOG
 
-PARSED = "SELECT mid, page_id, k AS error_code, ms AS ts FROM"
-
-
 def parsed(df):
+    """Some fields of each record, -1 for no error, so that the column stays integral anywhere."""
     return df.select(F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"),
-                     F.col("err.error_code").alias("error_code"), "ts")
+                     F.coalesce("err.error_code", F.lit(-1)).alias("error_code"), "ts")
 
 
 @query("p1_parse_strict", f"""WITH {LOG_ROWS}
-SELECT mid, page_id, CASE WHEN is_err THEN k END AS error_code, ms AS ts FROM log""")
+SELECT mid, page_id, CASE WHEN is_err THEN k ELSE -1 END AS error_code, ms AS ts FROM log""")
 def _(t):
     values = t.log.select(F.to_json(F.struct(*LOG.fieldNames())).alias("value"))
     return parsed(P.parse_strict(values, LOG))
 
 
 @query("p2_parse_lenient", f"""WITH {LOG_ROWS}
-SELECT mid, page_id, CASE WHEN is_err THEN k END AS error_code, ms AS ts FROM log WHERE k % 13 <> 0""")
+SELECT mid, page_id, CASE WHEN is_err THEN k ELSE -1 END AS error_code, ms AS ts FROM log WHERE k % 13 <> 0""")
 def _(t):
     return parsed(P.parse_lenient(t.log_messages, LOG))
 

@@ -46,31 +46,31 @@ def _(t):
 @query("r2_explode_events", f"""WITH {LOG_ROWS}, n AS {NUMBERS}
 SELECT 'displays' AS kind, mid, page_id, ms AS ts, CAST(k + i AS VARCHAR) AS item, i AS seq, CAST(NULL AS VARCHAR) AS action_id
 FROM log, n WHERE i <= n_displays
-UNION ALL SELECT 'actions', mid, page_id, ms, CAST(k + i AS VARCHAR), NULL, 'a' || i FROM log, n WHERE i <= n_actions""")
+UNION ALL SELECT 'actions', mid, page_id, ms, CAST(k + i AS VARCHAR), 0, 'a' || i FROM log, n WHERE i <= n_actions""")
 def _(t):
     shared = (F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), "ts", "item")
     shown = L.explode_events(t.log, "displays").select(
         F.lit("displays").alias("kind"), *shared, F.col("pos_seq").cast("bigint").alias("seq"),
         F.lit(None).cast("string").alias("action_id"))
     acted = L.explode_events(t.log, "actions").select(
-        F.lit("actions").alias("kind"), *shared, F.lit(None).cast("bigint").alias("seq"), "action_id")
+        F.lit("actions").alias("kind"), *shared, F.lit(0).cast("bigint").alias("seq"), "action_id")
     return shown.unionByName(acted)
 
 
 @query("r3_split_log_wrapped", f"""WITH {LOG_ROWS}, n AS {NUMBERS}
-SELECT 'err' AS topic, CAST(NULL AS VARCHAR) AS mid, 'e' || k AS detail, CAST(NULL AS BIGINT) AS ts FROM log WHERE is_err
+SELECT 'err' AS topic, CAST(NULL AS VARCHAR) AS mid, 'e' || k AS detail, CAST(0 AS BIGINT) AS ts FROM log WHERE is_err
 UNION ALL SELECT 'start', mid, 'icon', ms FROM log WHERE is_start
 UNION ALL SELECT 'page', mid, page_id, ms FROM log WHERE NOT is_start
 UNION ALL SELECT 'display', mid, CAST(k + i AS VARCHAR), ms FROM log, n WHERE i <= n_displays
-UNION ALL SELECT 'action', mid, 'a' || i, NULL FROM log, n WHERE i <= n_actions""")
+UNION ALL SELECT 'action', mid, 'a' || i, 0 FROM log, n WHERE i <= n_actions""")
 def _(t):
     parts = L.split_log_wrapped(t.log.select(*LOG.fieldNames()))
-    none = F.lit(None).cast("string")
+    none, no_time = F.lit(None).cast("string"), F.lit(0)
     mid = F.col("common.mid")
     shape = {
-        "err": (none, F.col("msg"), none), "start": (mid, F.col("start.entry"), F.col("ts")),
+        "err": (none, F.col("msg"), no_time), "start": (mid, F.col("start.entry"), F.col("ts")),
         "page": (mid, F.col("page.page_id"), F.col("ts")), "display": (mid, F.col("display.item"), F.col("ts")),
-        "action": (mid, F.col("action.action_id"), none),
+        "action": (mid, F.col("action.action_id"), no_time),
     }
     rows = None
     for topic, (who, detail, ts) in shape.items():
