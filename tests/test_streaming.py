@@ -2,7 +2,6 @@
 
 import datetime as dt
 import random
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +12,7 @@ from tidemart.session import scratch_dir
 from tidemart.sinks import keyed, messages as M
 from tidemart.sources import messages as SM
 from tidemart.streaming import job, state
-from tests.helpers import BASE_MS, change, log_record, logs, messages, rows
+from tests.helpers import BASE_MS, log_record, rows
 
 START = dt.datetime(2024, 3, 1, 22, 0, 0)
 SENTINEL = dt.datetime(2030, 1, 1)

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from tidemart.catalogue.logs import dim_config, fact_config
 from tidemart.catalogue.registry import query
-from tidemart.catalogue.sources_sinks import round_trip, time_text
+from tidemart.catalogue.sources_sinks import round_trip
 from tidemart.catalogue.stand_ins import (
-    CARTS, DB, DETAILS, LOG_ROWS, ORDER_CHANGES, PRODUCT, REFUNDS, RESENT, SALES_DETAILS, as_changes, stamped, text,
+    CARTS, DB, DETAILS, LOG_ROWS, ORDER_CHANGES, PRODUCT, REFUNDS, RESENT, SALES_DETAILS, stamped, text,
 )
 from tidemart.functions.ratios import LIABILITY_TERMS, insurance_ratios, liability_share, solvency_ratios
 from tidemart.operators import changes as C
@@ -21,7 +19,6 @@ from tidemart.sinks import keyed, messages as M
 from tidemart.sources import messages as SM
 
 DIC = "dic AS (SELECT CAST(n_nationkey AS VARCHAR) AS rowkey, n_name AS dic_name FROM nation)"
-WINDOW = "cur_date='window'"
 
 
 # ---- routing jobs ----------------------------------------------------------------------

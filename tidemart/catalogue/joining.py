@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.catalogue.registry import query
-from tidemart.catalogue.stand_ins import DB, DETAILS, LOG_ROWS, ORDER_CHANGES, PRODUCT, REFUNDS, text
+from tidemart.catalogue.stand_ins import DB, DETAILS, ORDER_CHANGES, PRODUCT, REFUNDS, text
 from tidemart.functions.keywords import words
 from tidemart.operators import changes as C, joins as J
 from tidemart.schemas import INSERT_TYPES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.catalogue.registry import query
-from tidemart.catalogue.stand_ins import CARTS, DB, LOG_ROWS, ORDER_CHANGES
+from tidemart.catalogue.stand_ins import CARTS, LOG_ROWS, ORDER_CHANGES
 from tidemart.operators import logs as L, routing as R
 from tidemart.schemas import LOG
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 
 from tidemart.catalogue.registry import query
 from tidemart.catalogue.stand_ins import (
-    DB, LOG_ROWS, ORDER_CHANGES, log_records, page_records, stamped, text,
+    LOG_ROWS, ORDER_CHANGES, log_records, page_records, stamped, text,
 )
 from tidemart.functions.scalar import money
 from tidemart.operators import aggregates as A, joins as J
