@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tidemart import catalogue
 from check import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -16,14 +17,14 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.queries()))
 def test_query_equals_sql(spark, duck, name):
-    verdict = compare(spark, duck, FOLDER, name, entry.queries()[name], entry.oracle_sql().get(name))
+    verdict = compare(spark, duck, FOLDER, name, catalogue.queries()[name], catalogue.oracle_sql().get(name))
     assert verdict.startswith("ok"), verdict
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalogue.queries()) == set(catalogue.oracle_sql())
 
 
 def test_entry_has_rows(spark):
