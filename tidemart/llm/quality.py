@@ -17,7 +17,7 @@ MAX_REPEATED_PERCENT = 30
 SYMBOLS = r"[^#*$%&|<>]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: No fence cuts below these values, so groups without any spread keep ordinary documents.
-FLOORS = {"symbol_share": 0.1, "long_words": 15.0, "dup_line_share": 0.3, "repeat_share": 0.2}
+FLOORS = {"symbol_share": 0.2, "long_words": 15.0, "dup_line_share": 0.5, "repeat_share": 0.3}
 #: A fence lies this many interquartile ranges above the upper quartile.
 REACH = 4.0
 #: Rank error of a sketch is 1 / ACCURACY of the group's rows.
