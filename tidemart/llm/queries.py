@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import mixing, quality, url_filter
+from tidemart.llm import decontamination, line_dedup, mixing, quality, token_counts, url_filter
 from tidemart.llm.text import stored
 
 
@@ -107,8 +107,85 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(signals).select("doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontamination.find_passages(docs, table(spark, folder, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end_word"] - s["first_word"])
+    return found.select(
+        "doc_id", "n_words", hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+# windows as whole words between separators, so that containment is that of word sequences
+OP3_SQL = r"""
+WITH RECURSIVE item_words AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item_id, list_slice(w, i, i + least(10, len(w)) - 1) AS win, least(10, len(w)) AS size
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)
+), doc_words AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), doc_windows AS (
+  SELECT row_id, i, list_slice(w, i, i + size - 1) AS win, size
+  FROM (SELECT row_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+        FROM doc_words, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)
+), hits AS (
+  SELECT row_id, i, h.size, item_id FROM doc_windows h JOIN windows USING (win)
+), items AS (
+  SELECT row_id, count(*) AS n_items, sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS items_sha256
+  FROM (SELECT DISTINCT row_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY row_id
+), covered AS (
+  SELECT row_id, count(DISTINCT k) AS n_hit
+  FROM (SELECT row_id, unnest(range(i, i + size)) AS k FROM (SELECT DISTINCT row_id, i, size FROM hits)) GROUP BY row_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM doc_words LEFT JOIN covered USING (row_id) LEFT JOIN items USING (row_id)
+"""
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return token_counts.with_limit(counted, 2048).select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", "over_limit")
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_frequent_lines(docs)
+    return kept.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH lines AS (
+  SELECT row_id, doc_id, n, line,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT row_id, doc_id, unnest(l) AS line, unnest(range(len(l))) AS n
+        FROM (SELECT row_number() OVER () AS row_id, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+), frequent AS (
+  SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (f.key IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN frequent f ON lines.key = f.key GROUP BY row_id, doc_id
+"""
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
+    "op3_decontamination": (op3_decontamination, OP3_SQL),
+    "op6_token_counts": (op6_token_counts, None),
+    "op7_line_dedup": (op7_line_dedup, OP7_SQL),
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_quality": (op9_quality, None),
 }
