@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, line_dedup, mixing, quality, token_counts, url_filter
+from tidemart.llm import decontamination, line_dedup, mixing, quality, simhash, token_counts, url_filter
 from tidemart.llm.text import stored
 
 
@@ -181,6 +181,13 @@ FROM lines LEFT JOIN frequent f ON lines.key = f.key GROUP BY row_id, doc_id
 """
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    prints = stored(simhash.with_fingerprints(docs, name="_s_print").drop("text"), "prints")
+    found = simhash.joined_components(prints, simhash.component_map(prints))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op3_decontamination": (op3_decontamination, OP3_SQL),
@@ -188,6 +195,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op7_line_dedup": (op7_line_dedup, OP7_SQL),
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_quality": (op9_quality, None),
+    "op10_simhash": (op10_simhash, None),
 }
 
 
