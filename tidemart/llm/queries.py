@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, line_dedup, mixing, quality, simhash, token_counts, url_filter
+from tidemart.llm import decontamination, line_dedup, mixing, quality, simhash, token_counts, url_filter, warc
 from tidemart.llm.text import stored
 
 
@@ -149,6 +149,23 @@ FROM doc_words LEFT JOIN covered USING (row_id) LEFT JOIN items USING (row_id)
 """
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages, archives = table(spark, folder, "pages").select("page_id", "url", "html"), warc.archive_folder(spark)
+    directory = warc.write_archives(pages, archives)
+    read = warc.look_up(directory, archives, pages, payloads=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     copies AS (SELECT body, max(page_id) AS first_id FROM p WHERE strlen(body) >= 1000 GROUP BY body)
+SELECT page_id, strlen(p.body) AS payload_bytes, sha1(p.body) AS payload_digest,
+       CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p LEFT JOIN copies ON p.body = copies.body
+"""
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -191,6 +208,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op3_decontamination": (op3_decontamination, OP3_SQL),
+    "op5_warc": (op5_warc, OP5_SQL),
     "op6_token_counts": (op6_token_counts, None),
     "op7_line_dedup": (op7_line_dedup, OP7_SQL),
     "op8_mixing": (op8_mixing, OP8_SQL),
