@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, line_dedup, mixing, quality, simhash, token_counts, url_filter, warc
+from tidemart.llm import decontamination, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
 from tidemart.llm.text import stored
 
 
@@ -149,6 +149,11 @@ FROM doc_words LEFT JOIN covered USING (row_id) LEFT JOIN items USING (row_id)
 """
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", *sharding.DIMENSIONS)
+    return sharding.shard_documents(docs, 40)
+
+
 def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     pages, archives = table(spark, folder, "pages").select("page_id", "url", "html"), warc.archive_folder(spark)
     directory = warc.write_archives(pages, archives)
@@ -208,6 +213,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op3_decontamination": (op3_decontamination, OP3_SQL),
+    "op4_sharding": (op4_sharding, None),
     "op5_warc": (op5_warc, OP5_SQL),
     "op6_token_counts": (op6_token_counts, None),
     "op7_line_dedup": (op7_line_dedup, OP7_SQL),
