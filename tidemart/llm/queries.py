@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
+from tidemart.llm import decontamination, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
 from tidemart.llm.text import stored
 
 
@@ -22,6 +22,11 @@ AS rules(action, host, path)
 """
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return language_model.score_documents(docs, language_model.fifth_held_out())
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return url_filter.judge(pages, spark.sql(URL_RULES)).drop("url")
@@ -211,6 +216,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_lm_scoring": (op1_lm_scoring, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
     "op3_decontamination": (op3_decontamination, OP3_SQL),
     "op4_sharding": (op4_sharding, None),
