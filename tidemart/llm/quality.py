@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.text import SPACE, WORD, words
+from tidemart.llm.text import SPACE, WORD, stored, words
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -107,7 +107,10 @@ def verdicts(
     for name, rate in _rates().items():
         beyond = beyond | (rate > F.col(f"_f_{name}"))
     joined = signals.join(bounds, on, "left")
-    return joined.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(beyond, F.lit(False))).drop(
+    # one null-safe sum of both verdicts: a filter on a conjunction, or the null check that goes with a plain sum,
+    # would be pushed below the signals and make them anew
+    faults = F.coalesce(F.col("base_failed").cast("int"), F.lit(0)) + F.coalesce(beyond, F.lit(False)).cast("int")
+    return joined.withColumn("kept", faults == 0).drop(
         *bounds.columns, "_q_n_lines")
 
 
@@ -122,11 +125,11 @@ def filter_documents(docs: DataFrame, text: str = "text", keys: tuple[str, str]
     Sketches cover all documents, those that fail the fixed rules too.  A null language or source is
     a group of its own.  A group of one or of equal documents has no spread, so only the floors bind.
     Repeated rows share one verdict; empty in, empty out.  Texts are scanned twice, once for the
-    sketches and once to filter, instead of being stored in between.  The fences have one row per
-    language and source; Spark broadcasts them if it measures them as small, else it splits skewed
-    groups.
+    sketches and once to filter, instead of being stored in between.  The fences, one row per language
+    and source, are stored, so that Spark knows their size: it broadcasts them if they are small,
+    else it splits skewed groups.
     """
-    bounds = fences(with_signals(docs.select(*dict.fromkeys([text, *keys])), text), keys)
+    bounds = stored(fences(with_signals(docs.select(*dict.fromkeys([text, *keys])), text), keys), "fences")
     inner = docs.select(F.struct(*docs.columns).alias("_q_row"), text, *(k for k in keys if k != text))
     out = verdicts(with_signals(inner, text), bounds, keys)
     return out.where("kept").select(*(F.col("_q_row")[c].alias(c) for c in docs.columns))
