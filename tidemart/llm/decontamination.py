@@ -147,23 +147,34 @@ def find_passages(
     return found
 
 
-def drop_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def _wrapped(docs: DataFrame, text: str) -> DataFrame:
+    """The text, and all other columns as one, so that none is replaced by a mark."""
+    others = [c for c in docs.columns if c != text]
+    return docs.select(F.col(text).alias("text"), *([F.struct(*others).alias("_d_row")] if others else []))
+
+
+def _unwrapped(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    return found.select(*(F.col("text").alias(c) if c == text else F.col("_d_row")[c].alias(c) for c in docs.columns))
+
+
+def drop_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """The documents without any benchmark passage, with the columns they came with."""
-    return find_passages(docs, benchmark, **options).where(F.size("spans") == 0).select(*docs.columns)
+    found = find_passages(_wrapped(docs, text), benchmark, **options)
+    return _unwrapped(found.where(F.size("spans") == 0), docs, text)
 
 
 def cut_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
     """All documents, without the text from the first to the last word of each span."""
-    found, names = find_passages(docs, benchmark, text, **options), docs.columns
+    rows = _wrapped(docs, text)
+    found, names = find_passages(rows, benchmark, **options), rows.columns
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = batch.column(text).cast(pa.large_binary()).to_pylist()
+            bodies = batch.column("text").cast(pa.large_binary()).to_pylist()
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 for s in reversed(spans):
                     bodies[i] = bodies[i][:s["start_byte"]] + bodies[i][s["end_byte"]:]
             texts = pa.array([None if x is None else x.decode() for x in bodies], pa.string())
-            columns = {c: texts if c == text else batch.column(c) for c in names}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_pydict({c: texts if c == "text" else batch.column(c) for c in names})
 
-    return found.mapInArrow(cut, docs.schema)
+    return _unwrapped(found.mapInArrow(cut, rows.schema), docs, text)

@@ -233,12 +233,13 @@ def component_map(rows: DataFrame, key: str = "doc_id", max_bits: int = MAX_BITS
 
 def joined_components(rows: DataFrame, components: DataFrame, key: str = "doc_id") -> DataFrame:
     """Add `fingerprint`, `component_id` and `_s_root`; a fingerprint not in `components` is its own."""
-    known = components.withColumn("_s_known", F.lit(True))
-    joined = rows.join(known, rows["_s_print"] == known["p"], "left")
+    known = components.select(
+        F.col("p").alias("_s_p"), F.col("root").alias("_s_star"), F.col("component_id").alias("_s_component"))
+    joined = rows.join(known, rows["_s_print"] == known["_s_p"], "left")
     hex_ = F.lower(F.lpad(F.hex("_s_print"), 16, "0"))
-    component = F.when(F.col("_s_known"), F.col("component_id")).otherwise(F.col(key))
+    component = F.when(F.col("_s_p").isNotNull(), F.col("_s_component")).otherwise(F.col(key))
     return joined.select(*(F.col(c) for c in rows.columns if c != "_s_print"), hex_.alias("fingerprint"),
-                         component.alias("component_id"), F.coalesce("root", "_s_print").alias("_s_root"))
+                         component.alias("component_id"), F.coalesce("_s_star", "_s_print").alias("_s_root"))
 
 
 def keep_one(
