@@ -145,16 +145,17 @@ def test_fact_routing_normalises_both_sides(spark):
         assert {r.type for r in routed.collect()} == {"bootstrap-insert", "insert"}
 
 
-def test_config_is_broadcast_within_its_bound_only(spark, monkeypatch):
+def test_config_is_broadcast_if_its_size_is_known_to_be_small(spark):
     from tests.test_joins import plan
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = changes(spark, change("user_info", "insert", {"id": 1}))
-        config = fact_config(spark, ("user_info", "insert", "dwd_user_register", "id", "r"))
+        config = spark.sql("SELECT * FROM VALUES ('user_info', 'insert', 'dwd_user_register', 'id', 'r') "
+                           "AS c(source_table, source_type, sink_table, sink_columns, op)")
         assert "BroadcastHashJoin" in plan(R.route_fact(df, config))
-        monkeypatch.setattr(R, "MAX_CONFIG_ROWS", 0)
-        beyond = R.route_fact(df, config)
+        unknown = fact_config(spark, ("user_info", "insert", "dwd_user_register", "id", "r"))
+        beyond = R.route_fact(df, unknown)
         assert "BroadcastHashJoin" not in plan(beyond) and beyond.count() == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

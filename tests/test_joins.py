@@ -100,13 +100,13 @@ def test_product_chain_keeps_facts_and_stops_at_a_miss(spark):
     assert got["s3"].spu_id is None and len(got) == 3
 
 
-def test_map_join_broadcasts_only_below_its_row_bound(spark):
+def test_map_join_broadcasts_only_below_its_size_bound(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big, small = spark.range(1000), spark.range(50)
-        assert "BroadcastHashJoin" in plan(J.map_join(big, small, "id", max_rows=50))
-        beyond = J.map_join(big, small, "id", max_rows=49)
+        assert "BroadcastHashJoin" in plan(J.map_join(big, small, "id", max_bytes=400))
+        beyond = J.map_join(big, small, "id", max_bytes=399)
         assert "BroadcastHashJoin" not in plan(beyond) and beyond.count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

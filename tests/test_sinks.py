@@ -52,12 +52,14 @@ def test_dimension_tables_follow_config_changes(spark, tmp_path):
     assert spark.table("life.dim_a").columns == ["id", "name", "age"]
 
 
-def test_too_many_config_rows_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(keyed, "MAX_CONFIG_ROWS", 3)
-    config = spark.range(4).select(F.lit("t").alias("sink_table"), F.lit("id").alias("sink_columns"),
-                                   F.lit("r").alias("op"), F.col("id").alias("ts"))
-    with pytest.raises(ValueError, match="more than 3"):
-        keyed.dim_lifecycle(config, "default")
+def test_config_changes_have_no_cap_and_names_are_quoted(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS many")
+    config = spark.range(40).select(
+        F.concat(F.lit("t`"), F.col("id") % 2).alias("sink_table"), F.lit("id,a`b").alias("sink_columns"),
+        F.when(F.col("id") < 38, "u").otherwise("r").alias("op"), F.col("id").alias("ts"))
+    assert len(keyed.dim_lifecycle(config, "many")) == 38 * 2 + 2
+    assert spark.table("many.`t``1`").columns == ["id", "a`b"]
+    keyed.dim_lifecycle(config.limit(2).withColumn("op", F.lit("d")), "many")
 
 
 def test_jdbc_rows_are_written_by_position(spark, monkeypatch):

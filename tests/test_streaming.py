@@ -275,3 +275,17 @@ def test_dimension_stream_writes_every_batch_once(spark, tmp_path):
     stream = SM.change_stream(read_stream(spark, folder, "value string", "text"))
     job.run_to_end(stream, checkpoint=scratch_dir(spark, "at"), sink=sink)
     assert rows(keyed.read_dim(spark, out, "dim_t", ["name"])) == [("1", "c")]
+
+
+def test_a_fastest_input_watermark_is_refused_for_joined_streams(spark, tmp_path):
+    spark.range(3).selectExpr("id", "timestamp_seconds(id) AS row_time").write.parquet(str(tmp_path / "in"))
+    side = lambda: spark.readStream.schema("id long, row_time timestamp").parquet(str(tmp_path / "in")).withWatermark("row_time", "1 second")
+    joined = side().join(side().withColumnsRenamed({"id": "b", "row_time": "t"}), F.expr("id = b AND t = row_time"))
+    job.stream_settings(spark, ignore_idle=True)
+    try:
+        with pytest.raises(ValueError, match="join of streams"):
+            job.run_job(joined, checkpoint=scratch_dir(spark, "at"), path=scratch_dir(spark, "out"))
+        lookup = side().join(spark.range(2), "id")
+        job.run_to_end(lookup, checkpoint=scratch_dir(spark, "at"), path=scratch_dir(spark, "out"))
+    finally:
+        job.stream_settings(spark)

@@ -37,18 +37,18 @@ def pages_stream(t):
     return job.watermark(page_records(log_records(t.stream("events"))))
 
 
-def run(t, *job_parts, **options):
+def run(t, *job_parts, ignore_idle=False, **options):
     """Run a stream to its end; one machine gets as many state partitions as it has cores."""
-    job.stream_settings(t.spark)
+    job.stream_settings(t.spark, ignore_idle)
     context = t.spark.sparkContext
     partitions = context.defaultParallelism if context.master.startswith("local") else None
     job.run_to_end(*job_parts, state_partitions=partitions, **options)
 
 
-def finish(t, df, name):
+def finish(t, df, name, ignore_idle=False):
     """Run a stream to its end and return what it wrote."""
     out = scratch_dir(t.spark, name)
-    run(t, df, checkpoint=scratch_dir(t.spark, f"{name}-at"), path=out)
+    run(t, df, checkpoint=scratch_dir(t.spark, f"{name}-at"), path=out, ignore_idle=ignore_idle)
     return t.spark.read.schema(df.schema).parquet(out)
 
 
@@ -63,11 +63,29 @@ def _(t):
 
 @query("w2_idleness", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events WHERE {ended(HOUR)} GROUP BY ALL""")
 def _(t):
-    """Two inputs, one of them silent for most of the time: it holds no window back."""
+    """Two inputs, one of them silent for most of the time: on request it holds no window back."""
     silent = F.col("event_id") == 0
     busy, idle = (job.watermark(t.stream("events").where(c).withColumn("row_time", F.col("ts").cast("timestamp")))
                   for c in (~silent, silent))
-    return finish(t, stamp(A.window_sum_global(busy.unionByName(idle), HOUR, {"n": F.lit(1)})), "w2")
+    return finish(t, stamp(A.window_sum_global(busy.unionByName(idle), HOUR, {"n": F.lit(1)})), "w2", ignore_idle=True)
+
+
+@query("w2_lagging_input", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events
+WHERE time_bucket(INTERVAL '{HOUR}', ts, TIMESTAMP '1970-01-01') + INTERVAL '{HOUR}' <= (SELECT least(
+  max(ts) FILTER (event_id % 2 = 0), max(ts) FILTER (event_id % 2 = 1)) FROM events) - INTERVAL 5 SECOND GROUP BY ALL""")
+def _(t):
+    """Two inputs over several micro-batches, one twice as far behind with each: none of its rows is lost."""
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    first, last = t.events.agg(F.min(at), F.max(at)).first()
+    inputs = []
+    for rest, files in ((0, 3), (1, 6)):
+        folder = scratch_dir(t.spark, f"w2-in{rest}")
+        for k in range(files):
+            slice_ = F.least(F.floor((at - first) * files / (last - first)), F.lit(files - 1)) == k
+            t.events.where((F.col("event_id") % 2 == rest) & slice_).coalesce(1).write.mode("append").parquet(folder)
+        rows = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        inputs.append(job.watermark(rows.withColumn("row_time", F.col("ts").cast("timestamp"))))
+    return finish(t, stamp(A.window_sum_global(inputs[0].unionByName(inputs[1]), HOUR, {"n": F.lit(1)})), "w2-lag")
 
 
 @query("w3_tumble", f"""SELECT {stamped('5 seconds')}, event_type, count(*) AS n FROM events WHERE {ended('5 seconds')} GROUP BY ALL""")

@@ -165,18 +165,25 @@ def lateral_keywords(df: DataFrame, splitter, text: str, out: str = "keyword") -
     return df.withColumn(out, F.explode(splitter(F.col(text))))
 
 
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """Whether a static table has at most `max_rows` rows; reads one row more at most."""
-    return not df.isStreaming and df.limit(max_rows + 1).count() <= max_rows
+MAX_BROADCAST_BYTES = 10 << 20
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Hint a broadcast for a table of at most `max_rows` rows; leave a larger one to the planner."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+def planned_bytes(df: DataFrame) -> int:
+    """What the planner knows of a table's size without running anything; huge if it knows nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def checked_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast for a static table of at most `max_bytes` by the planner's statistics.
+
+    No job runs to find out.  A table of unknown size, such as one over JDBC, gets no hint; the
+    planner then measures it while the join runs, and broadcasts it or splits skewed keys.
+    """
+    return F.broadcast(df) if not df.isStreaming and planned_bytes(df) <= max_bytes else df
 
 
 def map_join(
-    big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = 100_000
+    big: DataFrame, small: DataFrame, on, how: str = "inner", max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Hold the small side in memory, but only when it has at most `max_rows` rows."""
-    return big.join(checked_broadcast(small, max_rows), on, how)
+    """Hold the small side in memory, but only when it is known to have at most `max_bytes`."""
+    return big.join(checked_broadcast(small, max_bytes), on, how)

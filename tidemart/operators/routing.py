@@ -1,8 +1,8 @@
 """Config-driven routing of change rows.
 
 Changes name few tables, so shuffling them by table would leave a handful of tasks with all
-the work.  Config rows are counted first and broadcast up to `MAX_CONFIG_ROWS`; a config
-table read over JDBC has no size the optimizer could go by.
+the work.  A config table whose size the planner knows to be small is broadcast; of any other the size
+shows while the join runs, which then broadcasts it or splits the crowded tables.
 """
 
 from __future__ import annotations
@@ -14,9 +14,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemart.operators.aggregates import latest_per_key
 from tidemart.operators.joins import checked_broadcast
 
-MAX_CONFIG_ROWS = 10_000
-
-
 def as_insert(change_type: Column | str) -> Column:
     """`bootstrap-insert` counts as `insert`."""
     c = F.col(change_type) if isinstance(change_type, str) else change_type
@@ -32,7 +29,7 @@ def config_state(config_changes: DataFrame, keys: Sequence[str], ts: str = "ts")
 def route_dim(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the dimension config by table name; rows without one are dropped."""
     targets = checked_broadcast(
-        config.select("source_table", "sink_table", "sink_columns", "sink_row_key"), MAX_CONFIG_ROWS
+        config.select("source_table", "sink_table", "sink_columns", "sink_row_key")
     )
     return changes.join(targets, changes["table"] == targets["source_table"]).drop("source_table")
 
@@ -41,7 +38,7 @@ def route_fact(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Attach the fact config by table and change type, both sides normalised."""
     targets = checked_broadcast(config.select(
         "source_table", as_insert("source_type").alias("source_type"), "sink_table", "sink_columns"
-    ), MAX_CONFIG_ROWS)
+    ))
     rows = changes.withColumn("_type", as_insert("type"))
     on = (rows["table"] == targets["source_table"]) & (rows["_type"] == targets["source_type"])
     return rows.join(targets, on).drop("_type", "source_table", "source_type")
@@ -49,7 +46,7 @@ def route_fact(changes: DataFrame, config: DataFrame) -> DataFrame:
 
 def route_by_op(changes: DataFrame, config: DataFrame) -> DataFrame:
     """Before/after images of configured tables to destination `op_table`; deletes skipped."""
-    tables = checked_broadcast(config.select("source_table").distinct(), MAX_CONFIG_ROWS)
+    tables = checked_broadcast(config.select("source_table").distinct())
     live = changes.where(F.col("op") != "d").withColumn("_table", F.col("source")["table"])
     return live.join(tables, live["_table"] == tables["source_table"], "left_semi").select(
         F.concat_ws("_", "op", "_table").alias("topic"), F.col("after").alias("data")

@@ -129,27 +129,21 @@ def read_dim(spark: SparkSession, path: str, table: str, columns: Sequence[str])
 
 # ---- table life cycle ------------------------------------------------------------------
 
-MAX_CONFIG_ROWS = 10_000
-
-
 def dim_lifecycle(config_changes: DataFrame, database: str, location: str | None = None) -> list[str]:
     """Create, drop or recreate dimension tables for the config changes of one batch.
 
     `d` drops, `r` and `c` create if absent, `u` drops and creates.  Returns the statements
-    run.  Config rows name tables, so their number is bounded; more than `MAX_CONFIG_ROWS`
-    in one batch is refused rather than gathered.
+    run.  Changes come to the driver in order, a partition at a time, however many there are.
     """
     spark = config_changes.sparkSession
-    rows = config_changes.select("sink_table", "sink_columns", "op", "ts").orderBy("ts").limit(
-        MAX_CONFIG_ROWS + 1
-    ).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"more than {MAX_CONFIG_ROWS} config changes in one batch")
+    rows = config_changes.select("sink_table", "sink_columns", "op", "ts").orderBy("ts")
+    name = lambda x: "`" + x.replace("`", "``") + "`"
     done = []
-    for row in rows:
-        table = f"`{database}`.`{row.sink_table}`"
-        columns = ", ".join(f"`{c.strip()}` STRING" for c in row.sink_columns.split(","))
-        where = f" LOCATION '{location.rstrip('/')}/{row.sink_table}'" if location else ""
+    for row in rows.toLocalIterator():
+        table = f"{name(database)}.{name(row.sink_table)}"
+        columns = ", ".join(f"{name(c.strip())} STRING" for c in row.sink_columns.split(","))
+        path = f"{location.rstrip('/')}/{row.sink_table}".replace("'", "\\'") if location else ""
+        where = f" LOCATION '{path}'" if location else ""
         create = f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{where}"
         drop = f"DROP TABLE IF EXISTS {table}"
         statements = {"d": [drop], "r": [create], "c": [create], "u": [drop, create]}[row.op]

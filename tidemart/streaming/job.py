@@ -19,8 +19,14 @@ def watermark(df: DataFrame, ts: str = "row_time", delay: str = SUMMARY_DELAY) -
     return df.withWatermark(ts, delay) if df.isStreaming else df
 
 
-def stream_settings(spark: SparkSession, ignore_idle: bool = True) -> None:
-    """Settings keyed state needs; with `ignore_idle` a silent input holds no one back."""
+def stream_settings(spark: SparkSession, ignore_idle: bool = False) -> None:
+    """Settings keyed state needs.
+
+    By default the slowest input sets the watermark, so rows of an input that lags are kept, and an
+    input without any rows holds windows open.  Spark has no time-out after which a silent input
+    no longer counts.  `ignore_idle` lets the fastest input set the watermark instead, which LOSES the
+    rows of slower ones as late; `run_job` refuses it for joins of streams.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     # upload what a batch changed, not the whole state
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
@@ -28,6 +34,15 @@ def stream_settings(spark: SparkSession, ignore_idle: bool = True) -> None:
     spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
 
 
+def _joins_streams(df: DataFrame) -> bool:
+    """Whether a join has streams on both sides."""
+    def any_join(node) -> bool:
+        children = node.children()
+        below = [children.apply(i) for i in range(children.size())]
+        return (node.nodeName() == "Join" and all(c.isStreaming() for c in below)) or any(map(any_join, below))
+    return any_join(df._jdf.queryExecution().analyzed())
+
+
 def run_job(
     source: DataFrame, *handlers: Callable[[DataFrame], DataFrame], checkpoint: str,
     sink: Callable[[DataFrame, int], None] | None = None, path: str | None = None,
@@ -51,7 +66,10 @@ def run_job(
         writer = writer.foreachBatch(sink)
     else:
         writer = writer.format("parquet").option("path", path)
-    conf, before = df.sparkSession.conf, df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min") == "max" and _joins_streams(df):
+        raise ValueError("ignore_idle would drop matches of a join of streams: its slower side counts as late")
+    before = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     try:
         # a query copies the session's settings when it starts
         conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
