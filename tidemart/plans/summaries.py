@@ -16,6 +16,8 @@ from tidemart.operators import aggregates as A, changes as C, flags, joins as J
 from tidemart.streaming import state
 
 SIZE = "5 seconds"
+#: Visits, pages and carts are remembered for a day on streams.
+DAY_SECONDS = 24 * 3600
 DIMS = ("vc", "ch", "ar", "is_new")
 
 
@@ -27,10 +29,10 @@ def _flat_pages(pages: DataFrame, *columns: str) -> DataFrame:
     return pages.select("row_time", *(F.col(paths[c]).alias(c) for c in columns))
 
 
-def _active(df: DataFrame, keys: list[str]) -> DataFrame:
+def _active(df: DataFrame, keys: list[str], retain: int | None = None) -> DataFrame:
     """First row per key and day with `is_active` and `is_first_day`."""
     if df.isStreaming:
-        return state.active_days(df, keys)
+        return state.active_days(df, keys, ttl_seconds=retain)
     return flags.new_and_active(df, keys, "row_time")
 
 
@@ -46,19 +48,23 @@ def keyword_window(page_log: DataFrame, size: str = SIZE, cur_date: str = "proce
     return A.stamp_window(counts, names, COMPACT_DATE, cur_date)
 
 
-def traffic_window(pages: DataFrame, size: str = SIZE, cur_date: str = "processing") -> DataFrame:
+def traffic_window(
+    pages: DataFrame, size: str = SIZE, cur_date: str = "processing", retain: int | None = DAY_SECONDS,
+) -> DataFrame:
     """Visitors, sessions, views and duration per version, channel, area and new flag.
 
     Views, first-of-day rows and first-of-session rows are counted side by side and meet in
-    one windowed sum, so no row is shuffled by visitor or session before it is reduced.
+    one windowed sum, so no row is shuffled by visitor or session before it is reduced.  On a stream,
+    a visitor's state expires `retain` seconds after the last visit.  A null session is none.
     """
     rows = _flat_pages(pages, "mid", "sid", *DIMS, "during_time").where(F.col("mid") != "")
+    in_session = rows.where(F.col("sid").isNotNull())
     if rows.isStreaming:
-        visits = state.active_days(rows, ["mid"], keep=DIMS)
-        sessions = state.first_ever(rows, ["sid"], keep=DIMS)
+        visits = state.active_days(rows, ["mid"], keep=DIMS, ttl_seconds=retain)
+        sessions = state.first_ever(in_session, ["sid"], keep=DIMS)
     else:
         visits = flags.active_days(rows, ["mid"], "row_time", keep=DIMS)
-        sessions = A.first_per_key(rows, ["sid"], ["row_time"], DIMS)
+        sessions = A.first_per_key(in_session, ["sid"], ["row_time"], DIMS)
     measures = ("uv_ct", "sv_ct", "pv_ct", "dur_sum")
 
     def measured(df: DataFrame, **values) -> DataFrame:
@@ -76,13 +82,15 @@ def traffic_window(pages: DataFrame, size: str = SIZE, cur_date: str = "processi
     return A.stamp_window(sums, cur_date=cur_date)
 
 
-def page_visitor_window(pages: DataFrame, size: str = SIZE, cur_date: str = "processing") -> DataFrame:
-    """First home and first product page view per device and day."""
+def page_visitor_window(
+    pages: DataFrame, size: str = SIZE, cur_date: str = "processing", retain: int | None = DAY_SECONDS,
+) -> DataFrame:
+    """First home and first product page view per device and day; stream state lasts `retain` seconds."""
     rows = _flat_pages(pages, "mid", "page_id").where(
         (F.col("mid") != "") & F.col("page_id").isin("home", "good_detail")
     )
     if rows.isStreaming:
-        firsts = state.active_days(rows, ["mid", "page_id"])
+        firsts = state.active_days(rows, ["mid", "page_id"], ttl_seconds=retain)
     else:
         firsts = flags.page_first_of_day(rows, "mid", "page_id", "row_time")
     is_page = lambda p: (F.col("page_id") == p).cast("bigint")
@@ -116,8 +124,10 @@ def register_window(registrations: DataFrame, size: str = SIZE, cur_date: str =
     return A.stamp_window(sums, cur_date=cur_date)
 
 
-def cart_user_window(carts: DataFrame, size: str = SIZE, cur_date: str = "processing") -> DataFrame:
-    users = _active(carts.where(F.col("user_id") != ""), ["user_id"])
+def cart_user_window(
+    carts: DataFrame, size: str = SIZE, cur_date: str = "processing", retain: int | None = DAY_SECONDS,
+) -> DataFrame:
+    users = _active(carts.where(F.col("user_id") != ""), ["user_id"], retain)
     sums = A.window_sum_global(users, size, {"cart_add_uu_ct": "is_active"})
     return A.stamp_window(sums, cur_date=cur_date)
 
