@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.llm.text import word_count
+from tidemart.llm.text import stored, word_count
 
 #: Schedules by rank of the source, repeating: (time, weight) knots with integrals 5, 2 and 1.
 SCHEDULES = (((0.0, 7.5), (1.0, 2.5)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
@@ -114,14 +114,17 @@ def assign(
         {"_m_source": named, "_m_u": _unit(F.coalesce(F.col(key).cast("string"), F.lit("")))})
     sums = rows.groupBy("_m_source", F.col(source).alias("source")).agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_m_n"))
-    plan = targets(schedules(sums), max_repeats).select(
+    # stored, so that Spark knows its size and need not shuffle documents by source to join it
+    plan = stored(targets(schedules(sums), max_repeats).select(
         F.col("_m_source").alias("_m_name"), "source_size", "target", "weight",
         _segments(F.col("knots")).alias("_m_segments"),
-        F.greatest(F.ceil(F.col("_m_n") / run_rows), F.lit(1)).alias("_m_runs"))
+        F.greatest(F.ceil(F.col("_m_n") / run_rows), F.lit(1)).alias("_m_runs")), "plan")
     rows = rows.join(plan, F.col("_m_source") == F.col("_m_name")).drop("_m_name").withColumn(
         "_m_run", F.floor(F.col("_m_u") * F.col("_m_runs")))
     earlier = Window.partitionBy("_m_source").orderBy("_m_run").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("_m_source", "_m_run").agg(F.sum("size").alias("_m_sum")).select(
+    # stored, so that the sums are made by source and run, not by source alone as the window asks
+    sums = stored(rows.groupBy("_m_source", "_m_run").agg(F.sum("size").alias("_m_sum")), "runs")
+    offsets = sums.select(
         "_m_source", "_m_run", F.coalesce(F.sum("_m_sum").over(earlier), F.lit(0)).alias("_m_offset"))
     in_run = Window.partitionBy("_m_source", "_m_run").orderBy("_m_u", key, "size").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -152,3 +155,15 @@ def training_order(assigned: DataFrame, key: str = "doc_id") -> DataFrame:
     """
     copies = assigned.withColumn("position", F.explode("positions")).drop("positions")
     return copies.repartitionByRange("position", key).sortWithinPartitions("position", key)
+
+
+def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """The copies of documents that the mix takes, in training order, with the columns they came with.
+
+    Whole rows travel as one column, so none of theirs is replaced.  They are stored with their sizes,
+    which the steps of the plan reread instead of counting words again.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("_m_row"), *dict.fromkeys([key, source]), F.col(text).alias("_m_text"))
+    sized = stored(with_size(rows, "_m_text").drop("_m_text"), "sized")
+    order = training_order(assign(sized, source=source, key=key), key)
+    return order.select(*(F.col("_m_row")[c].alias(c) for c in docs.columns))
