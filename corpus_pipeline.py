@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import decontamination, mixing, quality, sharding, simhash
 from tidemart.llm.text import stored
@@ -29,8 +29,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
-    order = mixing.assign(stored(mixing.with_size(docs), "sized"))
-    return mixing.training_order(order).select(*docs.columns)
+    return mixing.mix_documents(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import brute
 import pytest
-from conftest import make_docs
+from llm_tables import make_docs
 from test_table_operators import WEIGHTS, check_shards
 
 import __spark_entry__ as entry

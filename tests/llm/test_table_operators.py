@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import brute
 import pytest
-from conftest import make_docs
+from llm_tables import make_docs
 from pyspark.sql import functions as F
 
 from tidemart.llm import components, mixing, sharding, simhash, warc
@@ -129,8 +129,6 @@ def test_links_connect_like_all_pairs(spark, monkeypatch, crowded):
     prints = sorted(prints)
     signed = lambda p: p - (1 << 64) if p >> 63 else p
     links = simhash.near_links(spark.createDataFrame([(signed(p),) for p in prints], "p long"))
-    rows = links.collect()
-    assert all((r.u ^ r.v).bit_count() <= 64 for r in rows)
     stars = {r.node: r.root for r in components.roots(links).collect()}
     groups, want = defaultdict(set), defaultdict(set)
     for p, r in zip(prints, brute.components(prints)):
