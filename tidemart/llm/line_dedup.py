@@ -8,28 +8,23 @@ of lines that are frequent.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemart.llm.grams import pieces, small_batches, text_bytes
+from tidemart.llm.packs import put_up, unseal
 from tidemart.llm.perfect_hash import PerfectHash, build, fingerprints
 from tidemart.llm.text import stored
 
 SPACES = b" \t\n\v\f\r"
 MIN_DOCUMENTS = 10
-#: Text per shard and per group of documents, in bytes; both also follow the shuffle partitions.
+#: Text per shard, in bytes; shards also follow the shuffle partitions.
 SHARD_BYTES = 32 << 20
-GROUP_BYTES = 8 << 20
-#: Text whose lines a task gathers before it sends them on.
-GATHER_BYTES = 32 << 20
 
-_ASKED = "shard int, piece int, keys binary, counts binary"
+_ASKED = "shard int, pack long, keys binary, counts binary"
 _INDEX = "shard int, lines long, level_sizes array<int>, level_bits binary, fingerprints binary, counts binary"
-_FREQUENT = "piece int, frequent binary"
+_FREQUENT = "pack long, frequent binary"
 
 
 def line_keys(text: bytes, min_chars: int) -> tuple[list[bytes], list[int]]:
@@ -45,38 +40,24 @@ def line_keys(text: bytes, min_chars: int) -> tuple[list[bytes], list[int]]:
 
 
 def _ask(text: str, shards: int, min_chars: int):
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows: list[tuple] = []
-            for piece, parts in held.items():
-                keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-                shard = (keys % np.uint64(shards)).astype(np.int64)
-                order = np.argsort(shard, kind="stable")
-                edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
-                for a, b in zip(edges, [*edges[1:], len(order)]):
-                    at = order[a:b]
-                    rows.append((int(shard[at[0]]), piece, keys[at].tobytes(), counts[at].astype("<u4").tobytes()))
-            held.clear()
-            for i in range(0, len(rows), 5000):
-                shard, piece, keys, counts = zip(*rows[i:i + 5000])
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(shard, pa.int32()), "piece": pa.array(piece, pa.int32()),
-                    "keys": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.binary())})
-
-        for batch in batches:
-            for body, piece in zip(text_bytes(batch.column(text)), batch.column("_l_piece").to_pylist()):
-                own = set(line_keys(body, min_chars)[1])
-                own.discard(0)
-                if own:
-                    held.setdefault(piece, []).append(np.fromiter(own, np.uint64, len(own)))
-                size += len(body)
-                if size >= GATHER_BYTES:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+    """The distinct lines of a pack, by shard, with the number of its documents that have each."""
+    def ask(own: pa.Table) -> pa.Table:
+        pack, docs = unseal(own)
+        parts = []
+        for body in docs.column(text).cast(pa.large_binary()).to_pylist():
+            keys = set(line_keys(body or b"", min_chars)[1])
+            keys.discard(0)
+            parts.append(np.fromiter(keys, np.uint64, len(keys)))
+        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
+        shard = (keys % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+        found = np.flatnonzero(np.diff(cuts)).tolist()
+        rows = [order[cuts[s]:cuts[s + 1]] for s in found]
+        return pa.table({
+            "shard": pa.array(found, pa.int32()), "pack": pa.array([pack] * len(found), pa.int64()),
+            "keys": pa.array([keys[at].tobytes() for at in rows], pa.binary()),
+            "counts": pa.array([counts[at].astype("<u4").tobytes() for at in rows], pa.binary())})
     return ask
 
 
@@ -97,26 +78,32 @@ def _index(shard: pa.Table) -> pa.Table:
 
 
 def _probe(min_documents: int):
+    """Look the lines of all packs up in one shard; each pack is told which of its lines are frequent."""
     def probe(asked: pa.Table, index: pa.Table) -> pa.Table:
-        pieces_, found = [], []
-        if index.num_rows and asked.num_rows:
-            row = index.slice(0, 1).to_pylist()[0]
-            lookup = PerfectHash(row["level_sizes"], row["level_bits"])
-            marks, counts = np.frombuffer(row["fingerprints"], "<u2"), np.frombuffer(row["counts"], "<u2")
-            for piece, blob in zip(asked.column("piece").to_pylist(), asked.column("keys").to_pylist()):
-                keys = np.frombuffer(blob, "<u8")
-                at = lookup.index(keys)
-                frequent = (at >= 0) & (marks[at] == fingerprints(keys)) & (counts[at] >= min_documents)
-                if frequent.any():
-                    pieces_.append(piece)
-                    found.append(keys[frequent].tobytes())
-        return pa.table({"piece": pa.array(pieces_, pa.int32()), "frequent": pa.array(found, pa.binary())})
+        if not asked.num_rows:
+            return pa.table({"pack": pa.array([], pa.int64()), "frequent": pa.array([], pa.binary())})
+        row = index.slice(0, 1).to_pylist()[0]
+        lookup = PerfectHash(row["level_sizes"], row["level_bits"])
+        marks, counts = np.frombuffer(row["fingerprints"], "<u2"), np.frombuffer(row["counts"], "<u2")
+        blobs = asked.column("keys").to_pylist()
+        keys = np.frombuffer(b"".join(blobs), "<u8")
+        packs = np.repeat(asked.column("pack").to_numpy(), [len(b) // 8 for b in blobs])
+        at = lookup.index(keys)
+        frequent = (at >= 0) & (marks[at] == fingerprints(keys)) & (counts[at] >= min_documents)
+        keys, packs = keys[frequent], packs[frequent]
+        order = np.argsort(packs, kind="stable")
+        keys, packs = keys[order], packs[order]
+        own, starts = np.unique(packs, return_index=True)
+        ends = np.append(starts[1:], len(packs))
+        return pa.table({
+            "pack": pa.array(own, pa.int64()),
+            "frequent": pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
     return probe
 
 
-def _strip(text: str, columns: list[str], min_chars: int):
-    def strip(docs: pa.Table, frequent: pa.Table) -> pa.Table:
-        known = set()
+def _strip(text: str, names: list[str], min_chars: int):
+    def strip(own: pa.Table, frequent: pa.Table) -> pa.Table:
+        docs, known = unseal(own)[1], set()
         for blob in frequent.column("frequent").to_pylist():
             known.update(np.frombuffer(blob, "<u8").tolist())
         totals, drops, kept = [], [], []
@@ -126,8 +113,8 @@ def _strip(text: str, columns: list[str], min_chars: int):
             totals.append(len(lines))
             drops.append(len(lines) - len(left))
             kept.append(None if body is None else b"\n".join(left).decode())
-        out = {c: docs.column(c) for c in columns} | {text: pa.array(kept, pa.string())}
-        return pa.table(out | {"n_lines": pa.array(totals, pa.int64()), "n_dropped": pa.array(drops, pa.int64())})
+        added = {text: pa.array(kept, pa.string()), "n_lines": pa.array(totals, pa.int64()), "n_dropped": pa.array(drops, pa.int64())}
+        return pa.table({name: added[name] if name in added else docs.column(name) for name in names})
     return strip
 
 
@@ -148,29 +135,18 @@ def drop_frequent_lines(
     document counts once, repeated rows are documents of their own.  An empty table stays empty.
     Other columns pass through, those named like the added ones are replaced.
 
-    Texts are shuffled once, by groups of about `GROUP_BYTES`; hashes are sent packed, once per group
-    and shard, so a line in every document costs one entry per group.  Shards and groups grow in
-    number with the text, and each bounds what one task holds.
+    Texts are not shuffled: documents are put up in packs, and a pack sends each of its lines once to
+    the line's shard, so a line that is in every document costs one entry per pack.  Shards grow in
+    number with the text, which bounds what one holds.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     total = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = max(2 * slots, total // SHARD_BYTES)
-    groups = max(4 * slots, total // GROUP_BYTES)
+    shards = int(max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHARD_BYTES))
     rows = docs.drop("n_lines", "n_dropped")
-    piece = F.pmod(F.xxhash64(*(F.col(c) for c in rows.columns if c == text or not _nested(rows, c))), F.lit(groups))
-    rows = rows.withColumn("_l_piece", piece.cast("int"))
-    asked = stored(rows.select(text, "_l_piece").mapInArrow(_ask(text, shards, min_chars), _ASKED), "lines")
+    packs = put_up(rows)
+    asked = stored(packs.groupBy("pack").applyInArrow(_ask(text, shards, min_chars), _ASKED), "lines")
     index = stored(build_index(asked), "line-index")
-    frequent = asked.select("shard", "piece", "keys").groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(
+    frequent = asked.select("shard", "pack", "keys").groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(
         _probe(min_documents), _FREQUENT)
-    columns = [c for c in rows.columns if c != "_l_piece"]
-    schema = T.StructType([*(rows.schema[c] for c in columns),
-                           T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
-    return rows.groupBy("_l_piece").cogroup(frequent.groupBy("piece")).applyInArrow(
-        _strip(text, columns, min_chars), schema)
-
-
-def _nested(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, (T.MapType, T.StructType, T.ArrayType, T.VariantType))
+    schema = T.StructType([*rows.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return packs.groupBy("pack").cogroup(frequent.groupBy("pack")).applyInArrow(_strip(text, schema.names, min_chars), schema)
