@@ -32,13 +32,13 @@ def put_up(rows: DataFrame, pack_bytes: int = PACK_BYTES) -> DataFrame:
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, total = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            # a batch is cut where a pack is full
+            # a batch is cut about where a pack is full
             at = 0
             while at < batch.num_rows:
                 step = max(1, min(batch.num_rows - at, (batch.num_rows * (pack_bytes - total)) // max(batch.nbytes, 1)))
                 part = batch.slice(at, step)
                 held.append(part)
-                total += part.get_total_buffer_size() * step // max(batch.num_rows, 1) if part.nbytes == 0 else part.nbytes
+                total += part.nbytes
                 at += step
                 if total >= pack_bytes:
                     yield seal(number, held)
