@@ -106,8 +106,8 @@ def assign(
     the hashes alone decide.  Slots number the rows of a shard from 0 by key (nulls first), checksum
     and size.  An empty table stays empty.  Columns of these names are replaced.
 
-    The rows are read about five times per level, so pass a stored, narrow table; sums of a level
-    are as small as its nodes times 65536 digits.
+    The rows are stored with their nodes once per level and read five times, so pass a narrow table;
+    sums of a level are as small as its nodes times 65536 digits.
     """
     rows = sized.drop("shard", "slot")
     used = [d for d in dimensions if d in rows.columns]
@@ -117,11 +117,12 @@ def assign(
     low = lambda h, bits: h.bitwiseAND((1 << bits) - 1)
     tie = F.shiftleft(low(F.xxhash64("text_crc32", "size"), TEXT_BITS), ROW_BITS).bitwiseOR(
         low(F.xxhash64(F.col(key), F.col("text_crc32")), ROW_BITS))
-    tree = rows.withColumns({**codes, "_k_tie": tie, "_k_lo": F.lit(0), "_k_n": F.lit(int(shards))})
+    # stored with their nodes as columns: a constant node would turn the joins below into cross joins
+    tree = stored(rows.withColumns({**codes, "_k_tie": tie, "_k_lo": F.lit(0), "_k_n": F.lit(int(shards))}), "tree")
     keys = F.array(*(_key(F.col(c)) for c in codes))
     left = int(shards)
     while left > 1:
-        tree = _down(tree, _splits(tree, list(codes), keys), keys)
+        tree = stored(_down(tree, _splits(tree, list(codes), keys), keys), "tree")
         left -= left // 2
     by = Window.partitionBy("_k_lo").orderBy(key, "text_crc32", "size")
     return tree.select(
@@ -132,6 +133,6 @@ def shard_documents(docs: DataFrame, shards: int, text: str = "text", key: str =
     """`doc_id`, `size`, `text_crc32`, `law`, `shard`, `slot` and `grown_shard` for each document."""
     names = list(dict.fromkeys([key, *(d for d in DIMENSIONS if d in docs.columns)]))
     narrow = with_size(docs.select(*names, F.col(text).alias("_k_text")), "_k_text").drop("_k_text")
-    found = assign(stored(narrow, "sizes"), shards, key=key)
+    found = assign(narrow, shards, key=key)
     return found.select(key, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                         F.lit(None).cast("int").alias("grown_shard"))
