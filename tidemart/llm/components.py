@@ -31,7 +31,7 @@ def roots(links: DataFrame) -> DataFrame:
     loops and repeated links are ignored; without links the result is empty.
     """
     links = links.where(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v"))).select("u", "v")
-    current = stored(_small_star(links.distinct()), "links")
+    current = stored(_small_star(stored(links.distinct(), "links")), "links")
     print_of = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = print_of(current)
     while before[0]:
