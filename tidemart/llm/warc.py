@@ -313,7 +313,9 @@ def look_up(
                         rows.append(row if payloads else row | {"payload": None})
             yield pa.RecordBatch.from_pylist(rows, schema=read_schema)
 
-    return pairs.repartition("archive", "offset").sortWithinPartitions("archive", "offset", "asked").mapInArrow(fetch, _READ)
+    # by number: pairs are few bytes, but each stands for a read of an archive
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(slots, "archive", "offset").sortWithinPartitions("archive", "offset", "asked").mapInArrow(fetch, _READ)
 
 
 def archive_folder(spark: SparkSession) -> str:
