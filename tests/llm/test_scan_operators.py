@@ -119,6 +119,28 @@ def test_junk_goes_and_ordinary_documents_stay(spark):
     assert kept == set(range(300))
 
 
+QUALITY_ROWS = "doc_id long, text string, lang string, source string"
+
+
+def test_fences_follow_their_group(spark):
+    rng = random.Random(6)
+    stem = lambda n: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(n))
+    prose = lambda n, symbols=0, size=2: " ".join(stem(size) + "|" * (i < symbols) for i in range(n))
+    rows = [(i, prose(60, 20 if i % 5 == 0 else 0), "en", "tables") for i in range(100)]  # every fifth has symbols
+    rows += [(1000 + i, prose(60), "en", "prose") for i in range(100)] + [(2000, prose(60, 20), "en", "prose")]
+    rows += [(3000 + i, prose(60, size=rng.choice((2, 3, 4, 5))), "de", "long") for i in range(100)]
+    rows += [(4000, prose(60, size=5), "en", "prose")]
+    docs = spark.createDataFrame(rows, QUALITY_ROWS)
+    signals = quality.with_signals(docs)
+    bounds = {r._f_source: r for r in quality.fences(signals, ("lang", "source")).collect()}
+    # quartiles are 0 in both, the tail is not
+    assert bounds["tables"]._f_symbol_share > bounds["prose"]._f_symbol_share
+    assert bounds["long"]._f_long_words > bounds["prose"]._f_long_words
+    kept = {r.doc_id for r in quality.filter_documents(docs).collect()}
+    # texts alike, of groups that differ
+    assert kept == {r[0] for r in rows} - {2000, 4000}
+
+
 def test_lines_equal_brute_force(docs, no_docs, corpus):
     got = line_dedup.drop_frequent_lines(docs)
     want = brute.lines([t for _, t, *_ in corpus], 10)

@@ -2,7 +2,8 @@
 
 Each document gets a few signals.  Per language and source, mergeable quantile sketches of the
 signals (Spark's quantile summaries, merged from partial ones) give the fences beyond which a
-document is an outlier; documents and fences are then joined and filtered.
+document is an outlier; documents and fences are then joined and filtered.  Where most documents have
+none of a signal, quartiles are 0 and say nothing, so the upper decile has a say too.
 """
 
 from __future__ import annotations
@@ -17,9 +18,14 @@ MAX_REPEATED_PERCENT = 30
 SYMBOLS = r"[^#*$%&|<>]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: No fence cuts below these values, so groups without any spread keep ordinary documents.
-FLOORS = {"symbol_share": 0.2, "long_words": 15.0, "dup_line_share": 0.5, "repeat_share": 0.3}
-#: A fence lies this many interquartile ranges above the upper quartile.
+FLOORS = {"symbol_share": 0.05, "long_words": 6.0, "dup_line_share": 0.5, "repeat_share": 0.3}
+#: A fence lies this many interquartile ranges above the upper quartile, and not below the upper tail's start.
 REACH = 4.0
+TAIL = 0.9
+#: The tail lifts no fence above these values, so a group does not hide its junk by having much of it.
+TAIL_LIMITS = {"symbol_share": 0.2, "long_words": 15.0, "dup_line_share": 0.5, "repeat_share": 0.3}
+#: Groups of fewer rows have no tail to speak of.
+TAIL_ROWS = 20
 #: Rank error of a sketch is 1 / ACCURACY of the group's rows.
 ACCURACY = 10_000
 
@@ -87,12 +93,15 @@ def _rates() -> dict[str, Column]:
 
 def fences(signals: DataFrame, keys: tuple[str, str], reach: float = REACH, accuracy: int = ACCURACY) -> DataFrame:
     """One row per language and source with the upper fence of each rate."""
-    quartiles = signals.groupBy(*(F.col(k).alias(f"_f_{k}") for k in keys)).agg(*(
-        F.percentile_approx(rate, [0.25, 0.75], accuracy).alias(f"_f_{name}") for name, rate in _rates().items()
-    ))
-    low, high = (lambda n: F.col(f"_f_{n}")[0]), (lambda n: F.col(f"_f_{n}")[1])
-    return quartiles.select(*(f"_f_{k}" for k in keys), *(
-        F.greatest(high(n) + reach * (high(n) - low(n)), F.lit(floor)).alias(f"_f_{n}") for n, floor in FLOORS.items()
+    quantiles = signals.groupBy(*(F.col(k).alias(f"_f_{k}") for k in keys)).agg(
+        F.count(F.lit(1)).alias("_f_rows"), *(
+            F.percentile_approx(rate, [0.25, 0.75, TAIL], accuracy).alias(f"_f_{name}") for name, rate in _rates().items()
+        ))
+    low, high, tail = (lambda n: F.col(f"_f_{n}")[0]), (lambda n: F.col(f"_f_{n}")[1]), (lambda n: F.col(f"_f_{n}")[2])
+    # greatest() skips the null that small groups have instead of a tail
+    limited = lambda n: F.when(F.col("_f_rows") >= TAIL_ROWS, F.least(tail(n), F.lit(TAIL_LIMITS[n])))
+    return quantiles.select(*(f"_f_{k}" for k in keys), *(
+        F.greatest(high(n) + reach * (high(n) - low(n)), limited(n), F.lit(floor)).alias(f"_f_{n}") for n, floor in FLOORS.items()
     ))
 
 
