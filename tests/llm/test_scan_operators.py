@@ -141,6 +141,20 @@ def test_fences_follow_their_group(spark):
     assert kept == {r[0] for r in rows} - {2000, 4000}
 
 
+def test_repeats_below_the_base_rule_and_short_documents(spark):
+    rng = random.Random(8)
+    line = lambda n: " ".join("".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(2)) + str(rng.randrange(100)) for _ in range(n))
+    rows = [(i, "\n".join(line(12) for _ in range(8)), "en", "s") for i in range(100)]
+    again = line(12)
+    rows += [(1000, f"{line(72)} {again} {again}", "en", "s")]  # 24 or 25 of 96 words repeated
+    short = line(4)
+    rows += [(1001, f"{short}\n{short}\n{line(25)}", "en", "s")]  # one repeated line of three
+    rows += [(1002, "\n".join([*(line(10) for _ in range(6)), *[line(4)] * 4]), "en", "s")]  # three of ten
+    docs = spark.createDataFrame(rows, QUALITY_ROWS)
+    assert not [r for r in quality.with_signals(docs).collect() if r.base_failed]
+    assert {r.doc_id for r in quality.filter_documents(docs).collect()} == {*range(100), 1001}
+
+
 def test_lines_equal_brute_force(docs, no_docs, corpus):
     got = line_dedup.drop_frequent_lines(docs)
     want = brute.lines([t for _, t, *_ in corpus], 10)

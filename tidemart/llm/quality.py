@@ -18,7 +18,9 @@ MAX_REPEATED_PERCENT = 30
 SYMBOLS = r"[^#*$%&|<>]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 #: No fence cuts below these values, so groups without any spread keep ordinary documents.
-FLOORS = {"symbol_share": 0.05, "long_words": 6.0, "dup_line_share": 0.5, "repeat_share": 0.3}
+FLOORS = {"symbol_share": 0.05, "long_words": 6.0, "dup_line_share": 0.15, "repeat_share": 0.2}
+#: A single repeated line, which is a large share of a short document, is no fault.
+MIN_DUP_LINES = 2
 #: A fence lies this many interquartile ranges above the upper quartile, and not below the upper tail's start.
 REACH = 4.0
 TAIL = 0.9
@@ -114,7 +116,8 @@ def verdicts(
         on = on & signals[k].eqNullSafe(F.col(f"_f_{k}"))
     beyond = F.lit(False)
     for name, rate in _rates().items():
-        beyond = beyond | (rate > F.col(f"_f_{name}"))
+        over = rate > F.col(f"_f_{name}")
+        beyond = beyond | (over & (F.col("n_dup_lines") >= MIN_DUP_LINES) if name == "dup_line_share" else over)
     joined = signals.join(bounds, on, "left")
     # one null-safe sum of both verdicts: a filter on a conjunction, or the null check that goes with a plain sum,
     # would be pushed below the signals and make them anew
