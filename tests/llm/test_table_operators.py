@@ -137,6 +137,26 @@ def test_links_connect_like_all_pairs(spark, monkeypatch, crowded):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("half", [0, 32])
+def test_a_crowd_is_spread(spark, monkeypatch, half):
+    def sizes(max_bits):
+        def meet(batches):
+            import numpy as np
+            import pyarrow as pa
+            keys, n = np.unique(np.concatenate([np.empty(0, np.int64), *(b.column("key").to_numpy() for b in batches)]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"u": pa.array(keys, pa.int64()), "v": pa.array(n, pa.int64())})
+        return meet
+
+    monkeypatch.setattr(simhash, "_meet", sizes)
+    monkeypatch.setattr(simhash, "CROWDED", 100)
+    rng = random.Random(4)
+    shared = rng.getrandbits(32) << 32 - half
+    prints = {shared | rng.getrandbits(32) << half for _ in range(600)}
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    met = simhash.near_links(spark.createDataFrame([(signed(p),) for p in prints], "p long"))
+    assert met.agg(F.max("v")).first()[0] < 50
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(200)] + [(5, 5), (None, 3), (300, 301), (300, 301)]
     got = {r.node: r.root for r in components.roots(spark.createDataFrame(links, "u long, v long")).collect()}

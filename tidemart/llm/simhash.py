@@ -177,6 +177,22 @@ def _meet(max_bits: int):
     return meet
 
 
+def _split(max_bits: int, parts: int) -> Column:
+    """The keys that stand for a crowded `key`: one for each piece of the bits outside its segment."""
+    width = BITS // parts
+    rest = BITS - width
+    edges = [k * rest // (max_bits + 1) for k in range(max_bits + 2)]
+
+    def pieces_beside(part: int) -> Column:
+        # turned until the segment stands on top
+        turn = (part + 1) * width % BITS
+        p = F.shiftrightunsigned("p", turn).bitwiseOR(F.shiftleft("p", (BITS - turn) % BITS))
+        return F.array(*(F.xxhash64(F.lit(k), "key", _segment(p, a, b - a)) for k, (a, b) in enumerate(zip(edges, edges[1:]))))
+
+    # the segment's number stands above its value
+    return F.coalesce(*(F.when(F.shiftright("key", width) == part, pieces_beside(part)) for part in range(parts)))
+
+
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS, parts: int = 2) -> DataFrame:
     """Links `u`, `v` that connect the distinct fingerprints `p` exactly as all pairs within `max_bits` would.
 
@@ -186,7 +202,8 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, parts: int = 2) -> D
 
     No segment value holds more fingerprints than differ in the other bits; values under which more
     than `CROWDED` are filed are split by equal pieces of those other bits, of which a near pair
-    shares at least one, so that no task compares a crowd as a whole.
+    shares at least one, so that no task compares a crowd as a whole.  Pieces of the segment itself
+    would not split it, as all that are filed there share them.
     """
     entries, width = _entries(prints, max_bits, parts), BITS // parts
     filed = F.explode(F.array(*(_own_key(part, width) for part in range(parts))))
@@ -195,9 +212,7 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, parts: int = 2) -> D
         # a crowd is met under its own value and under the values one bit off
         flips = F.array(*(F.lit(x).cast("long") for x in [0, *(1 << i for i in range(width))]))
         near = crowds.select("c", F.explode(flips).alias("f")).select(F.col("c").bitwiseXOR(F.col("f")).alias("c")).distinct()
-        size = BITS // (max_bits + 1)
-        split = F.array(*(
-            F.xxhash64(F.lit(k), "key", _segment(F.col("p"), k * size, size)) for k in range(max_bits + 1)))
+        split = _split(max_bits, parts)
         keys = F.when(F.col("c").isNull(), F.array("key")).otherwise(split)
         entries = entries.join(near, entries["key"] == near["c"], "left").select(F.explode(keys).alias("key"), "home", "p")
     return entries.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(max_bits), _LINKS)
