@@ -164,6 +164,25 @@ def test_lines_equal_brute_force(docs, no_docs, corpus):
     assert line_dedup.drop_frequent_lines(no_docs).count() == 0
 
 
+def test_counts_have_no_ceiling():
+    import numpy as np
+    import pyarrow as pa
+    keys = lambda *ks: np.array(ks, "<u8").tobytes()
+    counts = lambda *ns: np.array(ns, "<u4").tobytes()
+    asked = pa.table({
+        "shard": pa.array([0] * 3, pa.int32()), "pack": pa.array([1, 2, 3], pa.int64()),
+        "keys": pa.array([keys(11, 12, 13), keys(11), keys(11)], pa.binary()),
+        "counts": pa.array([counts(65000, 65535, 1), counts(5000), counts((1 << 32) - 1)], pa.binary())})
+    found = lambda asked, least: {
+        p: np.frombuffer(f, "<u8").tolist()
+        for p, f in zip(*(line_dedup._probe(least)(asked, line_dedup._index(asked)).column(c).to_pylist() for c in ("pack", "frequent")))}
+    assert found(asked, 1 << 32) == {1: [11], 2: [11], 3: [11]}
+    assert found(asked.slice(0, 2), 70_000) == {1: [11], 2: [11]} and found(asked.slice(0, 2), 70_001) == {}
+    assert found(asked.slice(0, 2), 65_535) == {1: [11, 12], 2: [11]}
+    few = asked.slice(0, 1).set_column(3, "counts", pa.array([counts(3, 200, 1)], pa.binary()))
+    assert found(few, 3) == {1: [11, 12]} and found(few, 300) == {}
+
+
 def test_perfect_hash_is_minimal_and_rejects_strangers():
     import numpy as np
     rng = np.random.default_rng(1)

@@ -62,15 +62,16 @@ def _ask(text: str, shards: int, min_chars: int):
 
 
 def _index(shard: pa.Table) -> pa.Table:
-    """The arrays of one shard; counts above 65535 stay there."""
+    """The arrays of one shard; counts are as wide as its largest needs."""
     keys = np.concatenate([np.frombuffer(b, "<u8") for b in shard.column("keys").to_pylist()])
     counts = np.concatenate([np.frombuffer(b, "<u4") for b in shard.column("counts").to_pylist()])
     distinct, inverse = np.unique(keys, return_inverse=True)
     totals = np.bincount(inverse, counts, len(distinct)).astype(np.int64)
     sizes, bits = build(distinct)
     at = PerfectHash(sizes, bits).index(distinct)
-    marks, documents = np.empty(len(distinct), "<u2"), np.empty(len(distinct), "<u2")
-    marks[at], documents[at] = fingerprints(distinct), np.minimum(totals, 65535)
+    widest = np.min_scalar_type(totals.max(initial=0)).newbyteorder("<")
+    marks, documents = np.empty(len(distinct), "<u2"), np.empty(len(distinct), widest)
+    marks[at], documents[at] = fingerprints(distinct), totals
     return pa.table({
         "shard": pa.array([shard.column("shard")[0].as_py()], pa.int32()), "lines": pa.array([len(distinct)], pa.int64()),
         "level_sizes": pa.array([sizes], pa.list_(pa.int32())), "level_bits": pa.array([bits], pa.binary()),
@@ -84,7 +85,8 @@ def _probe(min_documents: int):
             return pa.table({"pack": pa.array([], pa.int64()), "frequent": pa.array([], pa.binary())})
         row = index.slice(0, 1).to_pylist()[0]
         lookup = PerfectHash(row["level_sizes"], row["level_bits"])
-        marks, counts = np.frombuffer(row["fingerprints"], "<u2"), np.frombuffer(row["counts"], "<u2")
+        marks = np.frombuffer(row["fingerprints"], "<u2")
+        counts = np.frombuffer(row["counts"], f"<u{len(row['counts']) // row['lines']}")
         blobs = asked.column("keys").to_pylist()
         keys = np.frombuffer(b"".join(blobs), "<u8")
         packs = np.repeat(asked.column("pack").to_numpy(), [len(b) // 8 for b in blobs])
