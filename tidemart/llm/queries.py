@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
+from tidemart.llm import decontamination, language_id, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
 from tidemart.llm.text import stored
 
 
@@ -215,6 +215,13 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang").withColumn(
+        "held_out", language_id.quarter_held_out())
+    model = language_id.fit(docs, ~F.col("held_out"))
+    return language_id.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_lm_scoring": (op1_lm_scoring, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
@@ -226,6 +233,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_mixing": (op8_mixing, OP8_SQL),
     "op9_quality": (op9_quality, None),
     "op10_simhash": (op10_simhash, None),
+    "op11_language_id": (op11_language_id, None),
 }
 
 
