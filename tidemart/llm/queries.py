@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import decontamination, language_id, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
+from tidemart.llm import conversation_trie, decontamination, language_id, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
 from tidemart.llm.text import stored
 
 
@@ -222,6 +222,60 @@ def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = conversation_trie.turns_in_order(table(spark, folder, "conversations"))
+    rebuilt = stored(conversation_trie.share_openings(turns), "rebuilt")
+    return conversation_trie.prefix_trie(rebuilt, turns.select("conv").distinct())
+
+
+# CRC-32 bit by bit; prefixes as lists of digests, each node's totals over the nodes below by a join
+OP12_SQL = """
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS conv, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) - 1 AS pos, d, w
+  FROM (SELECT conv_id, turn, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+               coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS w
+        FROM conversations WHERE conv_id IS NOT NULL)
+), crc(conv, rest, c, bit) AS (
+  SELECT DISTINCT conv, conv::VARCHAR, 4294967295::BIGINT, 8 FROM turns
+  UNION ALL
+  SELECT conv, CASE WHEN bit = 8 THEN substr(rest, 2) ELSE rest END,
+         CASE WHEN bit = 8 THEN xor(c, ascii(rest)::BIGINT)
+              WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END,
+         CASE WHEN bit = 8 THEN 0 ELSE bit + 1 END
+  FROM crc WHERE NOT (bit = 8 AND rest = '')
+), heads AS (
+  SELECT conv, conv - conv % 20 AS base, xor(c, 4294967295::BIGINT) % 4 AS h FROM crc WHERE bit = 8 AND rest = ''
+), rebuilt AS (
+  SELECT h.conv, t.pos, t.d, t.w FROM heads h JOIN turns t ON t.conv = h.base AND t.pos < h.h
+  UNION ALL
+  SELECT h.conv, 1000 + t.pos, t.d, t.w FROM heads h JOIN turns t ON t.conv = h.conv AND t.pos >= h.h
+), paths AS (
+  SELECT conv, row_number() OVER p AS depth, string_agg(d, '') OVER p AS path, w FROM rebuilt
+  WINDOW p AS (PARTITION BY conv ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL
+  SELECT conv, 0, '', 0 FROM heads
+), nodes AS (
+  SELECT path, depth, min(conv) AS conv, count(*) AS n, any_value(w) AS w FROM paths GROUP BY path, depth
+), last AS (
+  SELECT conv, max(depth) AS depth FROM paths GROUP BY conv
+), ends AS (
+  SELECT path, sha256(string_agg(conv::VARCHAR, ',' ORDER BY conv)) AS sha FROM paths JOIN last USING (conv, depth) GROUP BY path
+), arcs AS (
+  SELECT c.path, p.conv AS parent, p.path AS parent_path FROM nodes c JOIN nodes p
+  ON p.depth = c.depth - 1 AND p.path = substr(c.path, 1, 32 * p.depth)
+), children AS (
+  SELECT parent_path AS path, count(*) AS n_children FROM arcs GROUP BY parent_path
+), below AS (
+  SELECT a.path, sum((v.n - 1) * v.w) AS saved, count(*) FILTER (k.n_children IS NULL) AS leaves
+  FROM nodes v JOIN paths a ON a.conv = v.conv AND a.depth <= v.depth LEFT JOIN children k ON k.path = v.path
+  GROUP BY a.path
+)
+SELECT conv AS conv_id, depth, parent AS parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children,
+       leaves AS n_leaves, saved::BIGINT AS saved_tokens, coalesce(sha, sha256('')) AS ends_sha256
+FROM nodes LEFT JOIN arcs USING (path) LEFT JOIN children USING (path) LEFT JOIN ends USING (path) JOIN below USING (path)
+"""
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_lm_scoring": (op1_lm_scoring, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
@@ -234,6 +288,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_quality": (op9_quality, None),
     "op10_simhash": (op10_simhash, None),
     "op11_language_id": (op11_language_id, None),
+    "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
 }
 
 
