@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import conversation_trie, decontamination, language_id, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc
+from tidemart.llm import conversation_trie, decontamination, language_id, language_model, line_dedup, mixing, quality, sharding, simhash, token_counts, url_filter, warc, whitening
 from tidemart.llm.text import stored
 
 
@@ -276,6 +276,11 @@ FROM nodes LEFT JOIN arcs USING (path) LEFT JOIN children USING (path) LEFT JOIN
 """
 
 
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    steps = stored(whitening.with_steps(table(spark, folder, "embeddings")).select("vec_id", "x"), "steps")
+    return whitening.whiten(steps, whitening.fit(steps))
+
+
 _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_lm_scoring": (op1_lm_scoring, None),
     "op2_url_filter": (op2_url_filter, OP2_SQL),
@@ -289,6 +294,7 @@ _QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op10_simhash": (op10_simhash, None),
     "op11_language_id": (op11_language_id, None),
     "op12_prefix_trie": (op12_prefix_trie, OP12_SQL),
+    "op13_whitening": (op13_whitening, None),
 }
 
 
