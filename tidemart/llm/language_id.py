@@ -135,9 +135,9 @@ def fit(docs: DataFrame, train: Column, text: str = "text", lang: str = "lang",
 class Lookup(dict):
     """The rows of known words; those of other words are made when first asked for."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, room: int):
         super().__init__(model.words)
-        self.model, self.logs = model, np.concatenate((model.logs, np.zeros((CACHED, len(model.languages)))))
+        self.model, self.logs = model, np.concatenate((model.logs, np.zeros((room, len(model.languages)))))
         self.free = len(model.logs)
 
     def __missing__(self, word: str) -> int:
@@ -155,15 +155,15 @@ class Lookup(dict):
 
 
 class Scorer:
-    """Judges texts; what it finds out about unknown words is kept at hand, up to `CACHED` of them."""
+    """Judges texts; what it finds out about unknown words is kept at hand, up to `room` of them."""
 
-    def __init__(self, model: Model):
-        self.model, self.rows = model, Lookup(model)
+    def __init__(self, model: Model, room: int = CACHED):
+        self.model, self.room, self.rows = model, room, Lookup(model, room)
 
     def add_up(self, words: list[str]) -> tuple[np.ndarray, int]:
         """The sum of log frequencies over words, and how many of them say anything."""
-        if len(self.rows) - len(self.model.words) + len(words) > CACHED:
-            self.rows = Lookup(self.model)
+        if len(self.rows) - len(self.model.words) + len(words) > self.room:
+            self.rows = Lookup(self.model, self.room)
         at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
         return self.rows.logs[at].sum(axis=0), int(np.count_nonzero(at))
 
