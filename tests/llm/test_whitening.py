@@ -82,6 +82,20 @@ def test_same_as_plain_numbers(spark, kind):
     assert list(got[0].asDict()) == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
 
 
+def test_triangles_of_many_blocks(spark, monkeypatch):
+    one = {(r["vec_id"], r["component"]): r for r in whitened(spark, VECTORS[:60])}
+    monkeypatch.setattr(whitening, "FAN_IN", 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        many = whitened(spark, VECTORS[:60])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    for r in many:
+        assert r["whitened"] == pytest.approx(one[r["vec_id"], r["component"]]["whitened"], abs=1e-9)
+
+
 def test_few_distinct_vectors_have_few_components(spark):
     rows = [(i, [float(i % 3), 1.0, 2.0 * (i % 3)]) for i in range(30)]
     got = whitened(spark, rows)

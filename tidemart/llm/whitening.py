@@ -129,8 +129,8 @@ def fit(steps: DataFrame, components: int = COMPONENTS) -> Whitener:
     total = [int(r["s"]) for r in sorted(by_place.collect(), key=lambda r: r["at"])]
     blocks = stored(distinct.mapInArrow(_factor(n, total), "block long, r array<double>"), "triangles")
     while (left := blocks.count()) > 1:
-        groups = blocks.groupBy(F.floor(F.col("block") / FAN_IN)) if left > FAN_IN else blocks.groupBy(F.lit(0))
-        blocks = stored(groups.applyInArrow(_stack, "block long, r array<double>"), "triangles")
+        group = F.floor(F.col("block") / FAN_IN) if left > FAN_IN else F.col("block") * 0
+        blocks = stored(blocks.groupBy(group).applyInArrow(_stack, "block long, r array<double>"), "triangles")
     d = len(total)
     triangle = np.array(blocks.first()["r"]).reshape(d, d)
     squares, axes = right_vectors(triangle, components)
