@@ -14,7 +14,7 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
          ("block", "", "/"), ("block", "NULLPATH.org", None)]
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_scores_equal_brute_force(docs, corpus, order):
     got = language_model.score_documents(docs, language_model.fifth_held_out(), order=order).collect()
     held = [brute.crc_held(i) for i, *_ in corpus]
@@ -34,6 +34,26 @@ def test_scores_without_training_or_rows(docs, no_docs):
     assert language_model.score_documents(no_docs, F.lit(False)).count() == 0
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_packs_without_words(spark, order):
+    # a pack of its own for each partition: one with words, one of nulls, one of empty texts, one without training texts
+    texts = ["a b a b c", "a b", None, None, "", "", "a b c d", "d"]
+    rows = spark.createDataFrame([(i, t, i >= 6) for i, t in enumerate(texts)], "doc_id long, text string, held boolean").repartitionByRange(4, "doc_id")
+    got = language_model.score_documents(rows, F.col("held"), order=order).collect()
+    want = brute.scores(texts, [i >= 6 for i in range(8)], order)
+    for r in got:
+        w = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == w[:3] and r.base_score == pytest.approx(w[3]) and r.score == pytest.approx(w[4])
+
+
+@pytest.mark.parametrize("lane", [1, 2, 7])
+def test_lanes_carry_the_state_on(docs, lane, monkeypatch):
+    whole = {(r.doc_id, r.n_tokens): r.score for r in language_model.score_documents(docs, language_model.fifth_held_out()).collect()}
+    monkeypatch.setattr(language_model, "LANE", lane)
+    for r in language_model.score_documents(docs, language_model.fifth_held_out()).collect():
+        assert r.score == pytest.approx(whole[r.doc_id, r.n_tokens], rel=1e-12)
+
+
 def test_urls_equal_brute_force(spark):
     urls = [None, "", "nothing", "http://x.net", "http://x.net/", "http://X.NET/a?b#c", "ftp://example.net/en/1", "http://www.example.net/de/",
             "https://example.com/de/", "https://notexample.com/de/", "http://a.b.example.com/de/x", "http://c.a.b.example.com", "http://dup.org/xy",

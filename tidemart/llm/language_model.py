@@ -1,16 +1,19 @@
 """Scoring of texts by a smoothed n-gram model that is as large as the corpus.
 
 The model is a weighted backoff automaton.  Its states are the word sequences seen as histories in the
-training texts; an arc reads a word with its smoothed probability, and a failure arc leads to the state
-without the history's first word, at the price of the history's backoff weight.  What a text has read
-decides its state: the longest suffix that is one.  A text is scored in one pass over its words that
-carries this state, takes failure arcs where there is no arc for the next word, and adds up log10
-probabilities.
+training texts; an arc reads a word with its smoothed log10 probability and leads to the longest suffix of
+what was read that is a state; a failure arc leads to the state without the history's first word, at
+the price of the history's log10 backoff weight.  A text is scored in one walk from left to right that
+carries the state, takes failure arcs where there is no arc for the next word, and adds up.
 
 Neither the counts nor the arcs fit into one task.  Texts are therefore put up in packs.  For each
 order, from the highest down, a pack sends its distinct sequences to shards by hash, packed as sorted
 differences; a shard adds up the counts over all packs and answers each pack with those it asked for.
-A pack ends up with just the states and arcs that its own texts can take.
+A pack ends up with just the states and arcs that its own texts can take, and builds its part of the
+automaton from them.
+
+Words and sequences are compared by hashes, as wide as the corpus needs for one false match in
+2 ** SPARE_BITS look-ups; so the counts of known tokens are exact but for that.
 """
 
 from __future__ import annotations
@@ -29,12 +32,13 @@ from tidemart.llm.grams import NON_SPACE, Words, chain, small_batches, text_byte
 from tidemart.llm.text import stored
 from tidemart.session import scratch_dir
 
-ORDER = 2
+ORDER = 3
 #: Text of one pack, and of the corpus per shard, in bytes.
 PACK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
-#: Hashes are as wide as the corpus needs for one false match in 2 ** SPARE_BITS look-ups.
 SPARE_BITS = 24
+#: Tokens of a text that one lane of a walk reads.
+LANE = 256
 # any two numbers that no word hashes to, but by chance
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 
@@ -216,10 +220,10 @@ def _answer(start_key: int | None) -> Callable[[pa.Table], pa.Table]:
 def _merged(answers: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A pack's counts, followers and owned marks of one order, in the order of its keys."""
     answers = sorted(answers, key=lambda m: m["shard"])
+    joined = lambda parts: np.concatenate([np.empty(0, np.int64), *parts]).astype(np.int64)  # a pack may have no sequences
     return (
-        np.concatenate([unsqueeze(m["counts"], m["n"]) for m in answers]).astype(np.int64),
-        np.concatenate([unsqueeze(m["followers"], m["n"]) for m in answers]).astype(np.int64),
-        np.concatenate([np.unpackbits(np.frombuffer(m["owned"], np.uint8), count=m["n"]) for m in answers]).astype(bool),
+        joined(unsqueeze(m["counts"], m["n"]) for m in answers), joined(unsqueeze(m["followers"], m["n"]) for m in answers),
+        joined(np.unpackbits(np.frombuffer(m["owned"], np.uint8), count=m["n"]) for m in answers).astype(bool),
     )
 
 
@@ -233,31 +237,93 @@ class Smoothing:
         self.discounts = {n: once / (once + 2 * twice) if once and twice else 0.5 for n, (_, _, once, twice) in stats.items()}
 
 
-def traverse(pack: Pack, levels: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], model: Smoothing) -> np.ndarray:
-    """The probability with which each position's token is read; 1 at starts.
+class Automaton:
+    """The states and arcs that the texts of a pack can take.
 
-    Positions are taken together: as the state before a position is its longest known suffix, it needs
-    no other position's result.  The lowest state reads a known word with its discounted share and any
-    other as the unknown word, which has all that was discounted.  A state of n - 1 words weighs the
-    state its failure arc leads to with its backoff weight, and adds the discounted count where it has
-    an arc.  Sequences that were never a history are no states; their positions stay on the failure arc.
+    Every distinct sequence of the pack has a number, orders one after the other, 0 being the empty one.  A
+    sequence that was a history in training is a state; one that was seen at all is the arc from the state
+    of its words but the last.  By number: `log_p` of the arc (NaN: none) and the state `to` which it
+    leads, and of a state the `length`, the failure arc `fails_to` and its weight `log_back`.
     """
-    counts, _, _ = levels[1]
-    c = counts[pack.level(1)[2]]
-    total, discount = max(model.tokens, 1), model.discounts[1]
-    p = np.where(c > 0, (c - discount) / total, max(discount * model.words, 0.0) / total if model.tokens else 1.0)
-    for n in range(2, max(levels) + 1):
-        arcs, states = pack.level(n)[2], pack.level(n - 1)[2]
-        at = np.flatnonzero(arcs >= 0)
-        histories = states[at - 1]
-        seen, continued, _ = levels[n - 1]
-        h, d = seen[histories], model.discounts[n]
-        known = h > 0
-        at, histories, h = at[known], histories[known], h[known]
-        arc = levels[n][0][arcs[at]]
-        p[at] = np.where(arc > 0, arc - d, 0.0) / h + d * continued[histories] / h * p[at]
-    p[~pack.read] = 1.0
-    return p
+
+    def __init__(self, pack: Pack, levels: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]], model: Smoothing):
+        self.order, size, bases = max(levels), 1, {}
+        for n in range(1, self.order + 1):
+            bases[n], size = size, size + len(levels[n][0])
+        self.to, self.fails_to, self.length = np.zeros(size, np.int32), np.zeros(size, np.int32), np.zeros(size, np.int8)
+        self.log_back, p = np.zeros(size), np.full(size, np.nan)
+        self.is_state = np.zeros(size, bool)
+        #: The sequence of n + 1 tokens that ends at each position, 0 where the text is too short for it.
+        self.ending = np.zeros((self.order, len(pack.tokens)), np.int32)
+        total = max(model.tokens, 1)
+        self.is_state[0] = True
+        for n in range(1, self.order + 1):
+            counts, followers, _ = levels[n]
+            _, found_at, number = pack.level(n)
+            own = slice(bases[n], bases[n] + len(counts))
+            self.ending[n - 1] = np.where(number >= 0, number + bases[n], 0)
+            shorter = self.ending[n - 2][found_at] if n > 1 else np.zeros(len(counts), np.int32)
+            d = model.discounts[n]
+            if n == 1:
+                # what was discounted is the unknown word's, which any word not seen in training is
+                unknown = max(d * model.words, 0.0) / total if model.tokens else 1.0
+                p[own] = np.where(counts > 0, (counts - d) / total, unknown)
+            else:
+                history = self.ending[n - 2][found_at - 1]
+                seen = np.maximum(histories[history - bases[n - 1]], 1)
+                inherited = 10.0 ** self.log_back[history] * p[shorter]
+                p[own] = np.where(counts > 0, (counts - d) / seen + inherited, np.nan)
+            if n < self.order:
+                state, above = counts > 0, model.discounts[n + 1]
+                self.is_state[own] = state
+                self.length[own] = n
+                self.fails_to[own] = self.to[shorter]
+                with np.errstate(divide="ignore"):
+                    self.log_back[own] = np.log10(np.where(state, above * followers / np.maximum(counts, 1), 1.0))
+                self.to[own] = np.where(state, np.arange(own.start, own.stop), self.to[shorter])
+            else:
+                self.to[own] = self.to[shorter]
+            histories = counts
+        self.log_p = np.log10(p)
+
+    def state_after(self, at: np.ndarray) -> np.ndarray:
+        """The state that has read a text up to each position: the longest suffix that is one."""
+        state = np.zeros(len(at), np.int32)
+        for n in range(1, self.order):
+            longer = self.ending[n - 1][at]
+            state = np.where((longer > 0) & self.is_state[longer], longer, state)
+        return state
+
+    def walk(self, pack: Pack) -> np.ndarray:
+        """The log10 probability of each text.
+
+        Texts are read side by side, a word of each at a time, in lanes of `LANE` words; a lane that begins inside
+        a text starts in the state in which the lane before it ends.
+        """
+        lanes = -(-pack.n_tokens // LANE)
+        text = np.repeat(np.arange(len(lanes)), lanes)
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        first = pack.starts[text] + 1 + nth * LANE
+        left = np.minimum(pack.n_tokens[text] - nth * LANE, LANE)
+        longest_first = np.argsort(-left, kind="stable")
+        text, first, left = text[longest_first], first[longest_first], left[longest_first]
+        state, score = self.state_after(first - 1), np.zeros(len(text))
+        active = np.searchsorted(-left, -np.arange(LANE), side="left")  # lanes with more than so many words
+        for step in range(LANE):
+            n = int(active[step])
+            if not n:
+                break
+            now, at = state[:n], first[:n] + step
+            arc = self.ending[self.length[now], at]
+            missing = np.flatnonzero(np.isnan(self.log_p[arc]))
+            while len(missing):
+                score[missing] += self.log_back[now[missing]]
+                now[missing] = self.fails_to[now[missing]]
+                arc[missing] = self.ending[self.length[now[missing]], at[missing]]
+                missing = missing[np.isnan(self.log_p[arc[missing]])]
+            score[:n] += self.log_p[arc]
+            now[:] = self.to[arc]
+        return np.bincount(text, score, len(lanes))
 
 
 def _scores(pack: Pack, levels: dict[int, tuple], model: Smoothing) -> list[np.ndarray]:
@@ -266,7 +332,7 @@ def _scores(pack: Pack, levels: dict[int, tuple], model: Smoothing) -> list[np.n
     base[~pack.read] = 0.0
     known = (c > 0) & pack.read
     add = lambda x: np.add.reduceat(x, pack.starts)
-    return [add(known.astype(np.int64)), add(base), add(np.log10(traverse(pack, levels, model)))]
+    return [add(known.astype(np.int64)), add(base), Automaton(pack, levels, model).walk(pack)]
 
 
 def score_documents(
@@ -317,9 +383,9 @@ def score_documents(
     def score(own: pa.Table, replies: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         pack = Pack(row, bits)
-        by_level: dict[int, list[dict]] = {}
+        by_level: dict[int, list[dict]] = {n: [] for n in stats}
         for m in replies.to_pylist():
-            by_level.setdefault(m["level"], []).append(m)
+            by_level[m["level"]].append(m)
         known, base, scores = _scores(pack, {n: _merged(m) for n, m in by_level.items()}, model)
         return pa.table([
             own.column("ids").combine_chunks().flatten(), pa.array(pack.held), pa.array(pack.n_tokens), pa.array(known),
