@@ -93,6 +93,83 @@ def test_a_hot_source_of_copies_is_split(spark):
     assert len(loads) == 8 and max(loads.values()) < 1.05 * min(loads.values())
 
 
+def plain_tree(rows, shards, large):
+    """(size, codes, tie) to shards by plain recursion: cut along the widest code at the weighted median."""
+    out = {}
+
+    def cut(own, lo, n):
+        if n == 1 or not own:
+            out.update((i, lo) for i, *_ in own)
+            return
+        widths = [max(c) - min(c) for c in zip(*(codes for _, _, codes, _ in own))]
+        dim = widths.index(max(widths))
+        by_key = defaultdict(int)
+        for _, size, codes, tie in own:
+            by_key[codes[dim] << 43 | tie] += size
+        goal, upto, bound = sum(size for _, size, *_ in own) * (n // 2) / n, 0, None
+        for k in sorted(by_key):
+            upto += by_key[k]
+            bound = k
+            if upto >= goal:
+                if goal - (upto - by_key[k]) < upto - goal:
+                    bound = k - 1
+                break
+        left = [r for r in own if r[2][dim] << 43 | r[3] <= bound]
+        cut(left, lo, n // 2)
+        cut([r for r in own if r[2][dim] << 43 | r[3] > bound], lo + n // 2, n - n // 2)
+
+    cut(rows, 0, shards)
+    return out
+
+
+def test_shards_equal_a_plain_tree_and_keep_copies_together(spark):
+    rng = random.Random(5)
+    texts = [f"text {i} " + "word " * rng.randrange(40) for i in range(300)]
+    rows = [(i, texts[rng.randrange(300)] if i % 3 else texts[i % 40], rng.choice("abc"), rng.choice("xyz")) for i in range(1200)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    sized = sharding.with_size(docs)
+    got = {r.doc_id: r for r in sharding.assign(sized, 7).collect()}
+    # codes and hashes from Spark, the tree by plain recursion
+    codes = sharding._codes(sized, list(sharding.DIMENSIONS))
+    hashes = {r.doc_id: r for r in sized.select("doc_id", "size", "text", *(c.alias(f"c{i}") for i, c in enumerate(codes.values())),
+              F.xxhash64("text_crc32", "size").alias("t"), F.xxhash64("doc_id", "text_crc32").alias("r")).collect()}
+    groups = defaultdict(list)
+    for r in hashes.values():
+        groups[r.text].append(r)
+    limit = sum(r["size"] for r in hashes.values()) / 7 * sharding.LARGE_SHARE
+    low, rows = (lambda h, bits: h & ((1 << bits) - 1)), []
+    for own in groups.values():
+        least, big = min(own, key=lambda r: r.doc_id), sum(r["size"] for r in own) > limit
+        rows += [(r.doc_id, r["size"], (least.c0, least.c1, least.c2), low(r.t, 21) << 22 | (low(r.r, 22) if big else 0)) for r in own]
+        if not big:
+            assert len({got[r.doc_id].shard for r in own}) == 1
+    want = plain_tree(rows, 7, limit)
+    assert {i: r.shard for i, r in got.items()} == want
+
+
+@pytest.mark.parametrize("assign", [sharding.assign, mixing.assign])
+def test_any_column_names(spark, docs, assign):
+    names = "n dim bound lo goal total spread digit upto b weight knots source_size2 level run t_size".split()
+    sized = (sharding if assign is sharding.assign else mixing).with_size(docs)
+    named = sized.withColumns({c: F.lit("mark") for c in names})
+    args = (4,) if assign is sharding.assign else ()
+    found = assign(named, *args)
+    assert {tuple(r) for r in found.select(*names).collect()} == {("mark",) * len(names)} and found.count() == docs.count()
+
+
+def test_a_key_of_many_rows_is_spread(spark):
+    # a third of the rows have no key, another third share one
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id")).alias("doc_id"),
+        F.lit("s").alias("source"), (F.col("id") % 11 + 1).alias("size"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = mixing.assign(rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(mixed) == 3000 and sum(r.taken for r in mixed) == sum(r["size"] for r in mixed)
+
+
 def test_shards_of_nothing_and_of_a_target(spark, docs, no_docs):
     assert sharding.shard_documents(no_docs, 5).count() == 0
     sized = sharding.with_size(docs)

@@ -15,8 +15,6 @@ from tidemart.llm.text import stored, word_count
 SCHEDULES = (((0.0, 7.5), (1.0, 2.5)), ((0.0, 2.0), (1.0, 2.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5)))
 #: No document is taken more often than this.
 MAX_REPEATS = 3
-#: Documents whose sizes are summed in order by one task.
-RUN_ROWS = 5000
 
 
 def with_size(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -92,7 +90,7 @@ def _unit(order_by: Column) -> Column:
 
 def assign(
     sized: DataFrame, schedules=ranked_schedules, source: str = "source", key: str = "doc_id",
-    max_repeats: int = MAX_REPEATS, run_rows: int = RUN_ROWS,
+    max_repeats: int = MAX_REPEATS,
 ) -> DataFrame:
     """Add `source_size`, `target`, `taken` and `positions` to documents that have a `size`.
 
@@ -102,50 +100,51 @@ def assign(
     source misses its target by less than one document.  `positions` holds the training time of each
     copy, empty for documents that are not taken; `taken` is `size` times the number of copies.
 
-    Running sums over a source are made in runs of about `run_rows` documents plus a sum over runs, so
-    a hot source is spread over as many tasks as it has runs.  A null source is a source; a null key
+    Running sums are made in ranges of the sorted table, one per shuffle partition, plus a sum over ranges.  So a
+    hot source is spread over many tasks, and so is a key that many rows share, or none: equal rows are told apart
+    by a number that has no other use.  There is one row per source, and that list alone is sorted as a whole:
+    sources are meant to be thousands, not billions.  A null source is a source; a null key
     orders as an empty one.  Rows with equal keys follow each other by size; equal rows share their
     copies in some order.  Documents without words have no copies beyond the whole rounds.  An
-    empty table stays empty.  Columns of these names are replaced.
+    empty table stays empty.  Columns of the added names are replaced.  The rows are stored once, so pass a narrow table.
     """
     # "s" or "n" in front keeps a null source apart from any other
     named = F.when(F.col(source).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source)))
-    rows = sized.drop("source_size", "target", "taken", "positions").withColumns(
-        {"_m_source": named, "_m_u": _unit(F.coalesce(F.col(key).cast("string"), F.lit("")))})
-    sums = rows.groupBy("_m_source", F.col(source).alias("source")).agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_m_n"))
+    kept = [c for c in sized.columns if c not in ("source_size", "target", "taken", "positions")]
+    order = ["_m_u", "_m_key", "_m_size", "_m_copy"]
+    # the caller's columns travel as one, so none of theirs meets one of these; stored with the number of their range
+    rows = stored(sized.select(
+        F.struct(*kept).alias("_m_row"), F.col("size").cast("long").alias("_m_size"), named.alias("_m_source"),
+        F.col(source).alias("_m_origin"), F.col(key).alias("_m_key"),
+        _unit(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("_m_u"), F.monotonically_increasing_id().alias("_m_copy"),
+    ).repartitionByRange("_m_source", *order).withColumn("_m_range", F.spark_partition_id()), "ordered")
+    # stored, so that sums are made by source and range, not by source alone as the window asks
+    ranges = stored(rows.groupBy("_m_source", "_m_origin", "_m_range").agg(F.sum("_m_size").alias("_m_sum")), "ranges")
     # stored, so that Spark knows its size and need not shuffle documents by source to join it
-    plan = stored(targets(schedules(sums), max_repeats).select(
-        F.col("_m_source").alias("_m_name"), "source_size", "target", "weight",
-        _segments(F.col("knots")).alias("_m_segments"),
-        F.greatest(F.ceil(F.col("_m_n") / run_rows), F.lit(1)).alias("_m_runs")), "plan")
-    rows = rows.join(plan, F.col("_m_source") == F.col("_m_name")).drop("_m_name").withColumn(
-        "_m_run", F.floor(F.col("_m_u") * F.col("_m_runs")))
-    earlier = Window.partitionBy("_m_source").orderBy("_m_run").rowsBetween(Window.unboundedPreceding, -1)
-    # stored, so that the sums are made by source and run, not by source alone as the window asks
-    sums = stored(rows.groupBy("_m_source", "_m_run").agg(F.sum("size").alias("_m_sum")), "runs")
-    offsets = sums.select(
-        "_m_source", "_m_run", F.coalesce(F.sum("_m_sum").over(earlier), F.lit(0)).alias("_m_offset"))
-    in_run = Window.partitionBy("_m_source", "_m_run").orderBy("_m_u", key, "size").rowsBetween(
-        Window.unboundedPreceding, -1)
-    rows = rows.join(offsets, ["_m_source", "_m_run"]).withColumn(
-        "_m_before", F.col("_m_offset") + F.coalesce(F.sum("size").over(in_run), F.lit(0)))
+    plan = stored(targets(schedules(ranges.groupBy("_m_source", F.col("_m_origin").alias("source")).agg(
+        F.sum("_m_sum").alias("source_size"))), max_repeats).select(
+        "_m_source", "source_size", "target", F.col("weight").alias("_m_weight"), _segments(F.col("knots")).alias("_m_segments")), "plan")
+    earlier = Window.partitionBy("_m_source").orderBy("_m_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select(
+        "_m_source", "_m_range", F.coalesce(F.sum("_m_sum").over(earlier), F.lit(0)).alias("_m_offset"))
+    before = Window.partitionBy("_m_source", "_m_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(offsets.join(plan, "_m_source"), ["_m_source", "_m_range"]).withColumn(
+        "_m_before", F.col("_m_offset") + F.coalesce(F.sum("_m_size").over(before), F.lit(0)))
     # rounds over the whole source, and the words still missing after them
     size = F.col("source_size").cast("double")
     rounds = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0))
     rest = F.col("target") - rounds * size
-    once_more = (F.col("_m_before") + F.col("size") / 2 < rest) & (rounds < max_repeats)
+    once_more = (F.col("_m_before") + F.col("_m_size") / 2 < rest) & (rounds < max_repeats)
     copies = (rounds + F.when(once_more, 1).otherwise(0)).cast("int")
-    demand = lambda c: (c * size + F.col("_m_before")) / F.col("target") * F.col("weight")
-    return rows.withColumn("_m_copies", copies).withColumns({
-        "taken": F.col("_m_copies") * F.col("size"),
-        "positions": F.when(
+    demand = lambda c: (c * size + F.col("_m_before")) / F.col("target") * F.col("_m_weight")
+    return rows.withColumn("_m_copies", copies).select(
+        *(F.col("_m_row")[c].alias(c) for c in kept), "source_size", "target",
+        (F.col("_m_copies") * F.col("_m_size")).alias("taken"),
+        F.when(
             (F.col("_m_copies") > 0) & (F.col("target") > 0),
             F.transform(F.sequence(F.lit(0), F.col("_m_copies") - 1),
                         lambda c: position_at(F.col("_m_segments"), demand(c))),
-        ).otherwise(F.array().cast("array<double>")),
-    }).select(*(c for c in sized.columns if c not in ("source_size", "target", "taken", "positions")),
-              "source_size", "target", "taken", "positions")
+        ).otherwise(F.array().cast("array<double>")).alias("positions"))
 
 
 def training_order(assigned: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -160,10 +159,13 @@ def training_order(assigned: DataFrame, key: str = "doc_id") -> DataFrame:
 def mix_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The copies of documents that the mix takes, in training order, with the columns they came with.
 
-    Whole rows travel as one column, so none of theirs is replaced.  They are stored with their sizes,
-    which the steps of the plan reread instead of counting words again.
+    Whole rows travel as one column, so none of theirs is replaced.  They are stored with their sizes and a number,
+    by which they meet the positions found for number, source, key and size alone.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("_m_row"), *dict.fromkeys([key, source]), F.col(text).alias("_m_text"))
-    sized = stored(with_size(rows, "_m_text").drop("_m_text"), "sized")
-    order = training_order(assign(sized, source=source, key=key), key)
-    return order.select(*(F.col("_m_row")[c].alias(c) for c in docs.columns))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_m_whole"), F.monotonically_increasing_id().alias("_m_id"),
+        F.col(source).alias("_m_from"), F.col(key).alias("_m_name"), word_count(F.col(text)).alias("size"))
+    rows = stored(rows, "sized")
+    found = assign(rows.drop("_m_whole"), source="_m_from", key="_m_name").where(F.size("positions") > 0)
+    copies = rows.select("_m_whole", "_m_id").join(found.select("_m_id", "_m_name", "positions"), "_m_id")
+    return training_order(copies, "_m_name").select(*(F.col("_m_whole")[c].alias(c) for c in docs.columns))

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemart.llm.text import stored
 
+#: Equal texts with more than this share of a shard's bytes may be parted, others never are.
+LARGE_SHARE = 1 / 16
 #: Bytes a document counts besides its text.
 OVERHEAD = 16
 #: Bits of a dimension's code; a key adds 21 bits of the text's hash and 22 of the document's.
@@ -61,11 +63,11 @@ def _down(rows: DataFrame, splits: DataFrame, keys: Column) -> DataFrame:
 
 def _splits(rows: DataFrame, codes: list[str], keys: Column) -> DataFrame:
     """`lo`, `n`, `dim` and `bound` of each node with more than one shard: keys up to `bound` go left."""
-    open_ = rows.where(F.col("_k_n") > 1)
+    open_ = rows.where(F.col("_k_n") > 1).select("_k_lo", "_k_n", "_k_size", "_k_tie", *codes)
     spread = F.array(*(
         F.struct((F.max(c) - F.min(c)).alias("w"), F.lit(-i).alias("i")) for i, c in enumerate(codes, 1)))
     nodes = stored(open_.groupBy(F.col("_k_lo").alias("lo"), F.col("_k_n").alias("n")).agg(
-        F.sum("size").cast("double").alias("total"), spread.alias("spread"),
+        F.sum("_k_size").cast("double").alias("total"), spread.alias("spread"),
     ).select("lo", "n", (-F.array_max("spread")["i"]).alias("dim"), F.lit(0).cast("long").alias("bound"),
              (F.col("total") * F.floor(F.col("n") / 2) / F.col("n")).alias("goal")), "nodes")
     for round_ in range(ROUNDS):
@@ -76,7 +78,7 @@ def _splits(rows: DataFrame, codes: list[str], keys: Column) -> DataFrame:
         digit = F.shiftrightunsigned(key, shift).bitwiseAND((1 << DIGIT_BITS) - 1)
         # stored, so that bytes are summed by node and digit, not by node alone as the window asks
         sums = stored(met.where(prefix == F.col("bound")).groupBy(
-            "lo", "n", "dim", "bound", "goal", digit.alias("digit")).agg(F.sum("size").alias("b")), "digits")
+            "lo", "n", "dim", "bound", "goal", digit.alias("digit")).agg(F.sum("_k_size").alias("b")), "digits")
         upto = F.sum("b").over(Window.partitionBy("lo").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0))
         reached = sums.withColumn("upto", upto).groupBy("lo", "n", "dim", "bound", "goal").agg(
             F.min(F.when(F.col("upto") >= F.col("goal"), F.struct("digit", "upto", "b"))).alias("at"),
@@ -97,36 +99,51 @@ def assign(
     """Add `shard` and `slot` to documents that have `size` and `text_crc32`, by the law of equal bytes.
 
     The tree has `shards` leaves, or as many as hold `target_bytes` each.  A node of n shards is cut into
-    one of n // 2 and one of the rest, at the same share of its bytes.  Within one value of a dimension
-    documents are ordered by hashes of the text and then of key and text, so a value that a third of the
-    corpus has is cut like any other, and equal texts lie side by side and mostly in one shard.  Shards
-    differ by about a document's bytes per cut; rows that are equal in every respect are never parted.
+    one of n // 2 and one of the rest, at the same share of its bytes.  Equal texts (the same `size` and `text_crc32`)
+    count with the metadata of the one of least key, and within one value of a dimension documents are ordered by a
+    hash of the text, so equal texts share a shard.  Only texts whose copies come to more than `LARGE_SHARE` of a
+    shard's bytes may be parted: they are ordered by a hash of the key besides.  So a value or a text that a third
+    of the corpus has is cut like any other.  Shards differ by about half a `LARGE_SHARE`, or half a document, per
+    cut; rows that are equal in every respect are never parted.
 
     Null metadata counts as the smallest code, a dimension the table does not have is skipped; with none,
     the hashes alone decide.  Slots number the rows of a shard from 0 by key (nulls first), checksum
-    and size.  An empty table stays empty.  Columns of these names are replaced.
+    and size.  An empty table stays empty.  Columns named `shard` and `slot` are replaced, others may have any name.
 
     The rows are stored with their nodes once per level and read five times, so pass a narrow table;
     sums of a level are as small as its nodes times 65536 digits.
     """
     rows = sized.drop("shard", "slot")
     used = [d for d in dimensions if d in rows.columns]
+    total = rows.agg(F.sum("size")).first()[0] or 0
     if shards is None:
-        shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
+        shards = max(1, -(-total // target_bytes))
+    # the caller's columns travel as one, so none of theirs meets one of these
     codes = {f"_k_code{i}": c for i, c in enumerate(_codes(rows, used).values())} or {"_k_code0": F.lit(0).cast("long")}
+    own = rows.select(F.struct(*rows.columns).alias("_k_row"), F.col(key).alias("_k_key"), F.col("size").cast("long").alias("_k_size"),
+                      F.col("text_crc32").alias("_k_crc"), *(c.alias(name) for name, c in codes.items()))
+    own = stored(own, "coded")
+    # one row per text that has copies; stored, so that Spark knows its size and broadcasts it or splits a hot text's rows
+    copied = stored(own.where(F.col("_k_crc").isNotNull()).groupBy("_k_crc", "_k_size").agg(
+        F.min(F.struct(F.col("_k_key").isNull(), "_k_key", *codes)).alias("_g"), F.sum("_k_size").alias("_g_bytes"),
+        F.count(F.lit(1)).alias("_g_n")).where("_g_n > 1").select(
+        F.col("_k_crc").alias("_g_crc"), F.col("_k_size").alias("_g_size"), "_g_bytes", *(F.col("_g")[c].alias(f"_g{c}") for c in codes)), "copied")
+    own = own.join(copied, (F.col("_k_crc") == F.col("_g_crc")) & (F.col("_k_size") == F.col("_g_size")), "left")
     low = lambda h, bits: h.bitwiseAND((1 << bits) - 1)
-    tie = F.shiftleft(low(F.xxhash64("text_crc32", "size"), TEXT_BITS), ROW_BITS).bitwiseOR(
-        low(F.xxhash64(F.col(key), F.col("text_crc32")), ROW_BITS))
+    large = F.coalesce("_g_bytes", "_k_size") > total / shards * LARGE_SHARE
+    tie = F.shiftleft(low(F.xxhash64("_k_crc", "_k_size"), TEXT_BITS), ROW_BITS).bitwiseOR(
+        F.when(large, low(F.xxhash64("_k_key", "_k_crc"), ROW_BITS)).otherwise(0))
     # stored with their nodes as columns: a constant node would turn the joins below into cross joins
-    tree = stored(rows.withColumns({**codes, "_k_tie": tie, "_k_lo": F.lit(0), "_k_n": F.lit(int(shards))}), "tree")
+    tree = stored(own.select("_k_row", "_k_key", "_k_size", "_k_crc", *(F.coalesce(f"_g{c}", c).alias(c) for c in codes),
+                             tie.alias("_k_tie"), F.lit(0).alias("_k_lo"), F.lit(int(shards)).alias("_k_n")), "tree")
     keys = F.array(*(_key(F.col(c)) for c in codes))
     left = int(shards)
     while left > 1:
         tree = stored(_down(tree, _splits(tree, list(codes), keys), keys), "tree")
         left -= left // 2
-    by = Window.partitionBy("_k_lo").orderBy(key, "text_crc32", "size")
-    return tree.select(
-        *(F.col(c) for c in rows.columns), F.col("_k_lo").alias("shard"), (F.row_number().over(by) - 1).cast("long").alias("slot"))
+    by = Window.partitionBy("_k_lo").orderBy("_k_key", "_k_crc", "_k_size")
+    return tree.select(*(F.col("_k_row")[c].alias(c) for c in rows.columns), F.col("_k_lo").alias("shard"),
+                       (F.row_number().over(by) - 1).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int, text: str = "text", key: str = "doc_id") -> DataFrame:
