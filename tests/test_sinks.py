@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemart.plans import facts, routes
 from tidemart.session import scratch_dir
-from tidemart.sinks import keyed, messages as M
+from tidemart.sinks import keyed, messages as M, versioned
 from tidemart.sources import messages as S
 from tidemart.sources.tables import config_table, dim_table
 from tests.helpers import change, changes, debezium, log_record, messages, rows
@@ -179,3 +179,105 @@ def test_order_detail_cancel_and_payment(spark):
     assert rows(paid.select("id", "payment_type_name", "payment_time", "ts")) == [("d1", "card", "cb", 105), ("d2", "card", "cb", 105)]
     # literal form: no upper bound
     assert facts.payment_success(detail, df, dic, "shop", upper=None).count() == 4
+
+
+CHANGES = "sink_table string, rowkey string, data map<string,string>, type string, ts bigint, position struct<log:string,block:bigint,line:bigint>"
+
+
+def placed(spark, *items):
+    """Items are (rowkey, data, type, ts, line); all of one dimension and one log."""
+    return spark.createDataFrame([("dim_a", k, d, t, ts, ("log", 0, line)) for k, d, t, ts, line in items], CHANGES)
+
+
+def test_changes_of_one_second_count_in_the_order_they_came(spark, tmp_path):
+    path = str(tmp_path / "dims")
+    keyed.dim_upsert(placed(
+        spark, ("put-put", {"v": "new"}, "update", 5, 2), ("put-put", {"v": "old", "w": "w"}, "insert", 5, 1),
+        ("delete-put", {}, "delete", 5, 3), ("delete-put", {"v": "back"}, "insert", 5, 4), ("delete-put", {"w": "w"}, "insert", 5, 1),
+        ("put-delete", {"v": "x"}, "insert", 5, 1), ("put-delete", {}, "delete", 5, 2),
+        ("late", {"v": "late"}, "update", 3, 9), ("late", {"v": "now"}, "update", 5, 1)), path)
+    want = [("delete-put", "back", None), ("late", "now", None), ("put-put", "new", "w")]
+    assert rows(keyed.read_dim(spark, path, "dim_a", ["v", "w"])) == want
+
+
+def test_compaction_between_batches_and_a_repeated_batch_after_it(spark, tmp_path):
+    path = str(tmp_path / "dims")
+    read = lambda: rows(keyed.read_dim(spark, path, "dim_a", ["v", "w"]))
+    first = placed(spark, ("a", {"v": "1", "w": "1"}, "insert", 1, 1), ("b", {"v": "b"}, "insert", 1, 2), ("c", {"v": None}, "insert", 1, 3),
+                   ("d", {}, "delete", 4, 4))
+    second = placed(spark, ("a", {"v": "2"}, "update", 2, 5), ("b", {}, "delete", 2, 6))
+    # late changes after a compaction: one before a put and one before a delete that were merged
+    third = placed(spark, ("a", {"v": "late", "w": "3"}, "update", 1, 9), ("d", {"v": "late"}, "insert", 3, 10), ("b", {"w": "b3"}, "insert", 3, 11))
+    plain = str(tmp_path / "plain")
+    for i, batch in enumerate((first, second, third)):
+        keyed.dim_upsert(batch, plain, i)
+    keyed.dim_upsert(first, path, 0)
+    keyed.compact_dim(spark, path, buckets=4)
+    assert read() == [("a", "1", "1"), ("b", "b", None), ("c", None, None)]
+    keyed.dim_upsert(second, path, 1)
+    keyed.dim_upsert(first, path, 0)  # merged already
+    assert read() == [("a", "2", "1"), ("c", None, None)]
+    keyed.compact_dim(spark, path)
+    keyed.dim_upsert(second, path, 1)
+    keyed.dim_upsert(third, path, 2)
+    assert read() == rows(keyed.read_dim(spark, plain, "dim_a", ["v", "w"])) == [("a", "2", "3"), ("b", None, "b3"), ("c", None, None)]
+    keyed.compact_dim(spark, path)
+    keyed.compact_dim(spark, path)
+    assert read() == [("a", "2", "3"), ("b", None, "b3"), ("c", None, None)]
+
+
+def test_compaction_rewrites_only_touched_buckets(spark, tmp_path):
+    path, order = str(tmp_path / "facts"), ["ts"]
+    everything = spark.range(200).selectExpr("cast(id as string) id", "1L ts", "'old' v")
+    keyed.upsert(everything, ["id"], order, path, 0)
+    keyed.compact_upserts(spark, path, ["id"], order, buckets=8)
+    before = versioned.current_version(spark, path)
+    keyed.upsert(everything.where("id = '7'").selectExpr("id", "2L ts", "'new' v"), ["id"], order, path, 1)
+    keyed.compact_upserts(spark, path, ["id"], order)
+    after = versioned.current_version(spark, path)
+    assert len(before.base) == 8 and sum(before.base[b] != after.base[b] for b in before.base) == 1
+    assert (after.upto, after.last, after.deltas) == (1, 1, {})
+    found = keyed.read_upserts(spark, path, ["id"], order)
+    assert found.count() == 200 and rows(found.where("v = 'new'")) == [("7", 2, "new")]
+
+
+def test_readers_see_no_uncommitted_batch(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "facts")
+    row = lambda v: spark.createDataFrame([("a", 1, v)], "id string, ts bigint, v string")
+    keyed.upsert(row("first"), ["id"], ["ts"], path, 0)
+    with monkeypatch.context() as m:
+        m.setattr(versioned, "_enter", lambda *a: (_ for _ in ()).throw(RuntimeError("lost before the commit")))
+        with pytest.raises(RuntimeError):
+            keyed.upsert(row("second"), ["id"], ["ts"], path, 1)
+    assert rows(keyed.read_upserts(spark, path, ["id"], ["ts"])) == [("a", 1, "first")]
+    keyed.upsert(row("second"), ["id"], ["ts"], path, 1)
+    assert rows(keyed.read_upserts(spark, path, ["id"], ["ts"])) == [("a", 1, "second")]
+    with pytest.raises(ValueError):
+        keyed.read_upserts(spark, str(tmp_path / "none"), ["id"], ["ts"])
+    assert rows(keyed.read_dim(spark, str(tmp_path / "none"), "dim_a", ["v"])) == []
+
+
+def test_messages_keep_the_order_of_their_lines(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    for part in range(2):
+        spark.range(part * 5000, part * 5000 + 5000).selectExpr("cast(id as string) value").coalesce(1).write.mode("append").text(folder)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # several blocks a file
+    try:
+        read = S.read_messages(spark, folder, "text", stream=False, position=True)
+        assert read.rdd.getNumPartitions() > 4
+        assert [int(r.value) for r in read.orderBy("position").collect()] == list(range(10_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_flat_changes_of_one_moment_keep_the_last_to_arrive(spark, tmp_path):
+    changes = debezium(spark, ("c", None, {"id": "1", "v": "1"}, "t1", 7), ("u", {"id": "1"}, {"id": "1", "v": "2"}, "t1", 7))
+    lines = changes.selectExpr("to_json(struct(*)) value").coalesce(1)
+    lines.write.text(str(tmp_path / "in"))
+    read = S.debezium_stream(S.read_messages(spark, str(tmp_path / "in"), "text", stream=False, position=True))
+    keyed.write_changelog_flat(routes.flat_changes(read), str(tmp_path / "flat"))
+    keyed.write_changelog_flat(routes.flat_changes(read.where("op = 'c'")), str(tmp_path / "flat"), 1)
+    found = keyed.read_changelog_flat(spark, str(tmp_path / "flat"))
+    assert len(found.columns) == 7 and [(r.op, json.loads(r.log_after)["v"]) for r in found.collect()] == [("UPDATE", "2")]
+    keyed.compact_changelog_flat(spark, str(tmp_path / "flat"))
+    assert rows(keyed.read_changelog_flat(spark, str(tmp_path / "flat"))) == rows(found)

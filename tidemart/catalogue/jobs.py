@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemart.catalogue.logs import dim_config, fact_config
 from tidemart.catalogue.registry import query
-from tidemart.catalogue.sources_sinks import round_trip
+from tidemart.catalogue.sources_sinks import FLAT_SQL, logged_carts, round_trip
 from tidemart.catalogue.stand_ins import (
-    CARTS, DB, DETAILS, LOG_ROWS, ORDER_CHANGES, PRODUCT, REFUNDS, RESENT, SALES_DETAILS, stamped, text,
+    CARTS, DB, DETAILS, FLAT_CARTS, LOG_ROWS, ORDER_CHANGES, PRODUCT, REFUNDS, RESENT, SALES_DETAILS, stamped, text,
 )
 from tidemart.functions.ratios import LIABILITY_TERMS, insurance_ratios, liability_share, solvency_ratios
 from tidemart.operators import changes as C
@@ -39,16 +39,12 @@ def _(t):
     return keyed.read_dim(t.spark, where, "dim_order", ["user_id", "order_status"])
 
 
-@query("q2_dimension_load_debezium", f"""WITH {CARTS}
-SELECT id AS rowkey, max(sku_num) AS sku_num FROM (
-  SELECT id, arg_max(CAST(num AS VARCHAR), (ts, num)) OVER (PARTITION BY id) AS sku_num FROM carts WHERE type <> 'delete')
-GROUP BY id""")
+@query("q2_dimension_load_debezium", f"""WITH {FLAT_CARTS}
+SELECT id AS rowkey, CAST(arg_max(num, (ts, arrival)) AS VARCHAR) AS sku_num FROM flat_carts WHERE op <> 'DELETE' GROUP BY id""")
 def _(t):
+    """From a log that keeps its order, which settles changes of one time."""
     where = scratch_dir(t.spark, "q2")
-    rows = routes.dim_rows_debezium(t.cart_debezium, dim_config(t))
-    # ids repeat in the test data: the quantity settles which change is the latest
-    number = F.col("data")["sku_num"].cast("bigint")
-    keyed.dim_upsert(rows.withColumn("ts", F.col("ts") * 1000 + number), where)
+    keyed.dim_upsert(routes.dim_rows_debezium(logged_carts(t, "q2-in"), dim_config(t)), where)
     return keyed.read_dim(t.spark, where, "dim_cart", ["sku_num"])
 
 
@@ -311,15 +307,11 @@ def _(t):
 
 # ---- relays ----------------------------------------------------------------------------
 
-@query("q25_flat_changelog", f"""WITH {CARTS}
-SELECT id || '_' || (ts * 1000) AS id, '{DB}' AS db_name, 'cart_info' AS t_name, CAST(ts * 1000 AS VARCHAR) AS ts FROM carts
-GROUP BY ALL""")
+@query("q25_flat_changelog", FLAT_SQL)
 def _(t):
     where = scratch_dir(t.spark, "q25")
-    values = t.cart_debezium.select(F.to_json(F.struct(*DEBEZIUM.fieldNames())).alias("value"))
-    changes = SM.debezium_stream(round_trip(t, values, "q25-in"))
-    keyed.write_changelog_flat(routes.flat_changes(changes), where)
-    return keyed.read_changelog_flat(t.spark, where).select("id", "db_name", "t_name", "ts")
+    keyed.write_changelog_flat(routes.flat_changes(logged_carts(t, "q25-in")), where)
+    return keyed.read_changelog_flat(t.spark, where)
 
 
 @query("q26_json_to_table", "SELECT event_id, user_id, event_type, value FROM events")

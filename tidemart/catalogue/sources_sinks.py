@@ -7,8 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from tidemart.catalogue.registry import query
-from tidemart.catalogue.stand_ins import CARTS, DB, DETAILS, ORDER_CHANGES
+from tidemart.catalogue.stand_ins import CARTS, DB, DETAILS, FLAT_CARTS, ORDER_CHANGES
 from tidemart.functions.scalar import DATETIME
+from tidemart.plans.routes import dim_rows, flat_changes
 from tidemart.schemas import CHANGE, DEBEZIUM, ORDER_DETAIL
 from tidemart.session import scratch_dir
 from tidemart.sinks import keyed, messages as M
@@ -27,11 +28,11 @@ def time_text(c: str):
     return F.date_format(c, DATETIME).alias(c)
 
 
-def round_trip(t, df, name):
+def round_trip(t, df, name, position=False):
     """Write message values as text files and read them as a batch of messages."""
     where = scratch_dir(t.spark, name)
     df.select("value").write.text(where)
-    return S.read_messages(t.spark, where, "text", stream=False)
+    return S.read_messages(t.spark, where, "text", stream=False, position=position)
 
 
 @query("s1_read_messages", f"SELECT {EVENT_JSON} AS value FROM events")
@@ -197,18 +198,66 @@ def _(t):
     return keyed.read_summary(t.spark, where, keys)
 
 
-@query("k8_write_changelog_flat", f"""WITH {CARTS}
-SELECT id, op, db_name, t_name, ts, split_part(id, '_', 1) AS before_after_id FROM (
-  SELECT id || '_' || (ts * 1000) AS id,
-    CASE type WHEN 'insert' THEN 'CREATE' WHEN 'update' THEN 'UPDATE' WHEN 'bootstrap-insert' THEN 'READ' ELSE 'DELETE' END AS op,
-    '{DB}' AS db_name, 'cart_info' AS t_name, CAST(ts * 1000 AS VARCHAR) AS ts FROM carts)
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY op DESC) = 1""")
+FLAT_SQL = f"""WITH {FLAT_CARTS}
+SELECT flat_id AS id, op, '{DB}' AS db_name, log_before, log_after, 'cart_info' AS t_name, CAST(ts * 1000 AS VARCHAR) AS ts FROM flat_carts
+QUALIFY row_number() OVER (PARTITION BY flat_id ORDER BY arrival DESC) = 1"""
+
+
+def logged_carts(t, name):
+    """The cart changes as read from a log that keeps their order."""
+    values = t.placed_carts.select(F.to_json(F.struct(*DEBEZIUM.fieldNames())).alias("value"))
+    return S.debezium_stream(round_trip(t, values, name, position=True))
+
+
+@query("k8_write_changelog_flat", FLAT_SQL)
 def _(t):
-    from tidemart.operators.changes import flatten_change
+    """Two batches, merged in between, one of them repeated."""
     where = scratch_dir(t.spark, "k8")
-    # ids repeat in the test data, so `op` settles which change is the latest
-    flat = flatten_change(t.cart_debezium)
-    keyed.upsert(flat, ["id"], ["ts", "op"], where, 0, partition_by=["t_name"])
-    back = keyed.read_upserts(t.spark, where, ["id"], ["ts", "op"])
-    image = F.coalesce("log_after", "log_before")
-    return back.select("id", "op", "db_name", "t_name", "ts", F.get_json_object(image, "$.id").alias("before_after_id"))
+    flat = flat_changes(logged_carts(t, "k8-in"))
+    half = F.col("op").isin("CREATE", "DELETE")
+    keyed.write_changelog_flat(flat.where(half), where, 0)
+    keyed.compact_changelog_flat(t.spark, where)
+    keyed.write_changelog_flat(flat.where(half), where, 0)
+    keyed.write_changelog_flat(flat.where(~half), where, 1)
+    return keyed.read_changelog_flat(t.spark, where)
+
+
+MONTHLY = """c AS (SELECT CAST(l_partkey AS VARCHAR) AS rowkey, epoch(date_trunc('month', l_shipdate)) AS ts,
+    row_number() OVER (ORDER BY l_quantity, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_discount, l_tax, l_shipdate) AS line,
+    l_returnflag = 'R' AND l_linestatus = 'F' AND l_suppkey % 3 = 0 AS deleted,
+    CASE WHEN l_quantity <> 7 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS quantity,
+    CASE WHEN l_linestatus = 'O' THEN l_returnflag || l_linenumber END AS flag FROM lineitem),
+gone AS (SELECT rowkey, max((ts, line)) AS gone FROM c WHERE deleted GROUP BY rowkey)"""
+
+
+@query("k4_dim_arrival_order", f"""WITH {MONTHLY}
+SELECT c.rowkey, arg_max(quantity, (ts, line)) FILTER (WHERE quantity IS NOT NULL) AS quantity,
+  arg_max(flag, (ts, line)) FILTER (WHERE flag IS NOT NULL) AS flag
+FROM c LEFT JOIN gone ON gone.rowkey = c.rowkey WHERE NOT deleted AND (gone IS NULL OR (ts, line) > gone) GROUP BY c.rowkey""")
+def _(t):
+    """Many puts and deletes of a key in one second, in the order of the log; merged between two batches, one of which is repeated."""
+    where = scratch_dir(t.spark, "k4-order")
+    deleted = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_suppkey") % 3 == 0)
+    key, number = F.col("l_partkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string")
+    data = F.create_map(
+        F.lit("id"), key, F.lit("quantity"), F.when(F.col("l_quantity") != 7, number),
+        F.lit("flag"), F.when(F.col("l_linestatus") == "O", F.concat("l_returnflag", F.col("l_linenumber").cast("string"))))
+    month = F.unix_seconds(F.date_trunc("month", F.col("l_shipdate").cast("timestamp")))
+    lines = t.lineitem.coalesce(1).sortWithinPartitions(
+        "l_quantity", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+    values = lines.select(F.to_json(F.struct(
+        F.lit(DB).alias("database"), F.lit("part_info").alias("table"), F.when(deleted, "delete").otherwise("update").alias("type"),
+        month.alias("ts"), data.alias("data"))).alias("value"))
+    config = t.spark.createDataFrame(
+        [("part_info", "dim_part", "id,quantity,flag", "info", "id", "r")],
+        "source_table string, sink_table string, sink_columns string, sink_family string, sink_row_key string, op string")
+    changes = S.change_stream(round_trip(t, values, "k4-in", position=True))
+    routed = dim_rows(changes, config, DB)
+    half, late = F.length("rowkey") % 2 == 0, F.col("ts") % 7 == 0  # changes that come after later ones of the same key
+    keyed.dim_upsert(routed.where(half & ~late), where, 0)
+    keyed.compact_dim(t.spark, where)
+    keyed.dim_upsert(routed.where(half & ~late), where, 0)
+    keyed.dim_upsert(routed.where(~half | late), where, 1)
+    keyed.compact_dim(t.spark, where)
+    keyed.dim_upsert(routed.where(~half | late), where, 1)
+    return keyed.read_dim(t.spark, where, "dim_part", ["quantity", "flag"])

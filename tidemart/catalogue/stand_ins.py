@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.functions.scalar import DATETIME, wall_ms
+from tidemart.operators.changes import op_name
 from tidemart.schemas import ACTION, COMMON, DISPLAY, ERR, LOG, PAGE, START
 from tidemart.sources.tables import as_dim
 
@@ -258,6 +259,14 @@ class Tables:
             (F.col("ts") * 1000).alias("ts_ms"),
         )
 
+    @cached_property
+    def placed_carts(self) -> DataFrame:
+        """The cart changes in the order in which they are written to the log, in one file."""
+        image = F.coalesce("after", "before")
+        return self.cart_debezium.coalesce(1).sortWithinPartitions(
+            image["sku_num"].cast("bigint").desc(), image["user_id"], image["sku_id"], image["cart_price"],
+            op_name(F.col("op")), F.to_json("before").asc_nulls_first())
+
     @cached_property
     def comment_changes(self) -> DataFrame:
         rows = self.documents.select(
@@ -435,6 +444,18 @@ carts AS (SELECT 'ct' || id AS id, CAST(l_suppkey AS VARCHAR) AS user_id, sku_id
       ELSE CASE l_linestatus WHEN 'F' THEN 'bootstrap-insert' ELSE 'delete' END END AS type,
     CASE WHEN l_linestatus = 'F' THEN CAST(l_linenumber * 7 AS BIGINT) END AS old_num FROM details)"""
 
+CART_IMAGE = """'{"id":"' || id || '","user_id":"' || user_id || '","sku_id":"' || sku_id || '","cart_price":"' || cart_price ||
+  '","sku_num":"' || num || '","sku_name":"' || sku_name || '","is_checked":"1","create_time":"' || create_time ||
+  '","operate_time":null,"is_ordered":"0","order_time":null}'"""
+#: Flat change rows of the carts, and the order in which `placed_carts` writes them to the log.
+FLAT_CARTS = CARTS + f""",
+flat_carts AS (SELECT *, row_number() OVER (ORDER BY num DESC, user_id, sku_id, CAST(cart_price AS VARCHAR), op, log_before NULLS FIRST) AS arrival
+  FROM (SELECT id, id || '_' || (ts * 1000) AS flat_id, user_id, sku_id, cart_price, num, ts,
+    CASE type WHEN 'insert' THEN 'CREATE' WHEN 'update' THEN 'UPDATE' WHEN 'bootstrap-insert' THEN 'READ' ELSE 'DELETE' END AS op,
+    CASE WHEN type = 'delete' THEN {CART_IMAGE}
+      WHEN type = 'update' THEN coalesce('{{"sku_num":"' || old_num || '"}}', '{{"is_checked":"0"}}') END AS log_before,
+    CASE WHEN type <> 'delete' THEN {CART_IMAGE} END AS log_after FROM carts))"""
+
 REFUNDS = DETAILS + """,
 refunds AS (SELECT 'rf' || id AS id, CAST(l_suppkey AS VARCHAR) AS user_id, order_id, sku_id,
     CAST(l_linenumber AS VARCHAR) AS refund_type, sku_num AS refund_num, split_total_amount AS refund_amount,

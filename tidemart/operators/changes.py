@@ -10,6 +10,11 @@ from tidemart.functions.scalar import in_csv
 from tidemart.schemas import BOOTSTRAP_MARKERS, CART_COLUMNS, INSERT_TYPES
 
 
+def placed(changes: DataFrame) -> list[str]:
+    """The column of the place in the log, if the changes carry it."""
+    return [c for c in changes.columns if c == "position"]
+
+
 def with_payload(changes: DataFrame) -> DataFrame:
     """Rows that carry a payload."""
     return changes.where(F.size(F.col("data")) > 0)
@@ -97,7 +102,7 @@ def clean_change(changes: DataFrame) -> DataFrame:
     """One image per change: the old one for deletes, the new one otherwise."""
     image = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     return changes.select(
-        F.col("source")["table"].alias("table"), "op", image.alias("data"), "ts_ms"
+        F.col("source")["table"].alias("table"), "op", image.alias("data"), "ts_ms", *placed(changes)
     )
 
 
@@ -111,7 +116,7 @@ def op_name(op: Column) -> Column:
 
 
 def flatten_change(changes: DataFrame, key: str = "id") -> DataFrame:
-    """Seven text columns per change; the id joins the row key and the change time."""
+    """Seven text columns per change, and its `position` if it has one; the id joins the row key and the change time."""
     row_key = F.coalesce(F.col("after")[key], F.col("before")[key])
     return changes.select(
         F.concat_ws("_", row_key, F.col("ts_ms").cast("string")).alias("id"),
@@ -120,7 +125,7 @@ def flatten_change(changes: DataFrame, key: str = "id") -> DataFrame:
         F.to_json("before").alias("log_before"),
         F.to_json("after").alias("log_after"),
         F.col("source")["table"].alias("t_name"),
-        F.col("ts_ms").cast("string").alias("ts"),
+        F.col("ts_ms").cast("string").alias("ts"), *placed(changes),
     )
 
 

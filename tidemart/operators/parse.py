@@ -34,10 +34,12 @@ def _parsed(df: DataFrame, schema: T.StructType, value: str) -> tuple[DataFrame,
     return _parse_once(df, record), is_bad
 
 
-def parse_lenient(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Typed columns of the readable messages; the others are skipped."""
+def parse_lenient(
+    df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
+    """Typed columns of the readable messages, and the kept ones; the other messages are skipped."""
     rows, is_bad = _parsed(df, schema, value)
-    return rows.where(~is_bad).select(*(f"r.{f}" for f in schema.fieldNames()))
+    return rows.where(~is_bad).select(*(f"r.{f}" for f in schema.fieldNames()), *keep)
 
 
 def parse_split(

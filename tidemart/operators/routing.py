@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.operators.aggregates import latest_per_key
+from tidemart.operators.changes import placed
 from tidemart.operators.joins import checked_broadcast
 
 def as_insert(change_type: Column | str) -> Column:
@@ -21,8 +22,8 @@ def as_insert(change_type: Column | str) -> Column:
 
 
 def config_state(config_changes: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
-    """The config in force: the latest change per key, without deleted keys."""
-    latest = latest_per_key(config_changes, keys, [ts])
+    """The config in force: the latest change per key, the last to arrive of those of one time, without deleted keys."""
+    latest = latest_per_key(config_changes, keys, [ts, *placed(config_changes)])
     return latest.where(F.col("op").isNull() | (F.col("op") != "d"))
 
 

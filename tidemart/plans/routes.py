@@ -11,9 +11,9 @@ from tidemart.streaming import state
 
 
 def dim_rows(changes: DataFrame, config: DataFrame, database: str) -> DataFrame:
-    """Dimension puts and deletes: destination, row key and the configured payload keys."""
+    """Dimension puts and deletes: destination, row key, the configured payload keys and the place in the log."""
     routed = _with_row_key(R.route_dim(C.etl_changes(changes, database), config))
-    return routed.select("sink_table", "rowkey", "data", "type", "ts")
+    return routed.select("sink_table", "rowkey", "data", "type", "ts", *C.placed(changes))
 
 
 def dim_rows_debezium(changes: DataFrame, config: DataFrame) -> DataFrame:
@@ -21,7 +21,8 @@ def dim_rows_debezium(changes: DataFrame, config: DataFrame) -> DataFrame:
     live = C.clean_change(changes.where(F.col("op") != "d"))
     routed = _with_row_key(R.route_dim(live, config))
     return routed.select(
-        "sink_table", "rowkey", "data", F.col("op").alias("type"), F.col("ts_ms").alias("ts")
+        "sink_table", "rowkey", "data", F.col("op").alias("type"), F.col("ts_ms").alias("ts"),
+        *C.placed(changes),
     )
 
 

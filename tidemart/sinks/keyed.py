@@ -1,9 +1,11 @@
 """Keyed, idempotent sinks on plain files.
 
 An upsert topic is an append-only log whose readers keep the latest row per key; the same
-is done here.  Each micro-batch writes its own folder (`batch=<id>`), replacing it when the
-batch is repeated after a failure, so a write costs what the batch holds, not what the table
-holds.  `read_*` resolves the rows per key and `compact` rewrites a resolved copy.
+is done here.  Each micro-batch is a committed batch of a table (`versioned`), so a write costs what the
+batch holds, not what the table holds.  `read_*` resolves the rows per key as of the last commit, and
+`compact_*` merges the batches so far, a bucket at a time.
+
+Rows that carry the `position` of their message are ordered by it within one time, so the last to arrive wins.
 """
 
 from __future__ import annotations
@@ -13,10 +15,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.operators.aggregates import latest_per_key
-
-
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/batch={batch_id}"
+from tidemart.operators.changes import placed
+from tidemart.sinks import versioned
 
 
 # ---- whole rows ------------------------------------------------------------------------
@@ -25,9 +25,8 @@ def upsert(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], path: str, batch_id: int = 0,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Write the latest row per key of this batch."""
-    rows = latest_per_key(df, keys, order)
-    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(_batch_path(path, batch_id))
+    """Commit the latest row per key of this batch; repeating a batch changes nothing."""
+    versioned.commit(latest_per_key(df, keys, order), path, batch_id, partition_by)
 
 
 def upsert_writer(keys, order, path, partition_by=()) -> Callable[[DataFrame, int], None]:
@@ -35,25 +34,42 @@ def upsert_writer(keys, order, path, partition_by=()) -> Callable[[DataFrame, in
     return lambda df, batch_id: upsert(df, keys, order, path, batch_id, partition_by)
 
 
+def _committed(spark: SparkSession, path: str) -> DataFrame:
+    found = versioned.read_version(spark, path, versioned.current_version(spark, path))
+    if found is None:
+        raise ValueError(f"nothing was committed to {path}")
+    return found
+
+
 def read_upserts(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The latest row per key over all batches; among equal `order`, the later batch wins."""
-    return latest_per_key(spark.read.parquet(path), keys, [*order, "batch"]).drop("batch")
+    return latest_per_key(_committed(spark, path), keys, [*order, "batch"]).drop("batch")
+
+
+def compact_upserts(
+    spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str], partition_by: Sequence[str] = (),
+    buckets: int = versioned.BUCKETS,
+) -> None:
+    """Merge the batches so far, keeping the latest row per key."""
+    versioned.compact(spark, path, keys, lambda rows: latest_per_key(rows, keys, [*order, "batch"]), partition_by, buckets)
 
 
 def compact(resolved: DataFrame, new_path: str, batch_id: int = 0) -> None:
     """Write a resolved table as the only batch of a new path."""
-    resolved.write.mode("errorifexists").parquet(_batch_path(new_path, batch_id))
+    if versioned.current_version(resolved.sparkSession, new_path).last is not None:
+        raise ValueError(f"{new_path} has batches already")
+    versioned.commit(resolved, new_path, batch_id)
 
 
 def write_summary(df: DataFrame, path: str, batch_id: int = 0) -> None:
     """Summary rows; `read_summary` keeps one per window and dimensions.
 
     Append-mode streams emit a window once, so a batch holds each key once already and only
-    a repeated batch could write it again; that replaces its own folder.
+    a repeated batch could write it again, which is not taken.
     """
-    df.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+    versioned.commit(df, path, batch_id)
 
 
 def read_summary(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
@@ -61,12 +77,24 @@ def read_summary(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFra
 
 
 def write_changelog_flat(df: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Seven-column flat change rows keyed by id; partitions (source tables) appear as needed."""
-    upsert(df, ["id"], ["ts"], path, batch_id, partition_by=["t_name"])
+    """Seven-column flat change rows keyed by id; partitions (source tables) appear as needed.
+
+    The id holds the change's time, so of changes of one row in one moment the last to arrive stays, by `position`.
+    """
+    upsert(df, ["id"], ["ts", *placed(df)], path, batch_id, partition_by=["t_name"])
 
 
 def read_changelog_flat(spark: SparkSession, path: str) -> DataFrame:
-    return read_upserts(spark, path, ["id"], ["ts"])
+    """The flat change rows, of each id the last to arrive."""
+    rows = _committed(spark, path)
+    return latest_per_key(rows, ["id"], ["ts", *placed(rows), "batch"]).drop("batch", *placed(rows))
+
+
+def compact_changelog_flat(spark: SparkSession, path: str) -> None:
+    """Merge the batches so far."""
+    def reduce(rows: DataFrame) -> DataFrame:
+        return latest_per_key(rows, ["id"], ["ts", *placed(rows), "batch"])
+    versioned.compact(spark, path, ["id"], reduce, ["t_name"])
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, columns: Sequence[str], **options: str) -> None:
@@ -81,13 +109,14 @@ def dim_upsert(
 ) -> None:
     """Puts and deletes of all dimensions in a batch, one folder per dimension.
 
-    `routed` holds `sink_table`, `rowkey`, the text map `data`, the change `type` and `ts`.
+    `routed` holds `sink_table`, `rowkey`, the text map `data`, the change `type` and `ts`, and
+    may hold `position`, by which changes of one time are put in order.
     """
     rows = routed.where(F.col("rowkey").isNotNull()).select(
         "sink_table", "rowkey", "data", (F.col("type") == delete).alias("deleted"),
-        F.col(ts).alias("ts"),
+        F.col(ts).alias("ts"), *placed(routed),
     )
-    rows.write.mode("overwrite").partitionBy("sink_table").parquet(_batch_path(path, batch_id))
+    versioned.commit(rows, path, batch_id, ["sink_table"])
 
 
 def dim_writer(path: str) -> Callable[[DataFrame, int], None]:
@@ -121,10 +150,42 @@ def resolve_dim(
     )
 
 
-def read_dim(spark: SparkSession, path: str, table: str, columns: Sequence[str]) -> DataFrame:
-    """The current rows of one dimension; among equal times the later batch wins."""
-    stored = spark.read.parquet(path).where(F.col("sink_table") == table)
-    return resolve_dim(stored, columns, ["ts", "batch"])
+def _dim_order(changes: DataFrame) -> list[str]:
+    return ["ts", *placed(changes), "batch"]
+
+
+def read_dim(
+    spark: SparkSession, path: str, table: str, columns: Sequence[str], version: versioned.Version | None = None
+) -> DataFrame:
+    """The rows of one dimension as of a version, by default the last commit; without any commit it is empty.
+
+    Changes of one time count in the order of their `position`, or of their batches if they have none.
+    """
+    found = versioned.read_version(spark, path, version or versioned.current_version(spark, path))
+    if found is None:
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in ("rowkey", *columns)))
+    return resolve_dim(found.where(F.col("sink_table") == table), columns, _dim_order(found))
+
+
+def compact_dim(spark: SparkSession, path: str, buckets: int = versioned.BUCKETS) -> None:
+    """Merge the batches so far to the changes that still matter, in the form in which changes are stored.
+
+    Those are, of each row: its last delete, its last put, and of each cell the last put that is not null.  So late
+    changes that come after a compaction find their place as before.
+    """
+    def reduce(rows: DataFrame) -> DataFrame:
+        keys, order = ["sink_table", "rowkey"], _dim_order(rows)
+        # one total order, also over equal changes of different batches, which are taken as equal
+        moment = F.struct(*order)
+        puts = rows.where(~F.col("deleted"))
+        cells = puts.select(*keys, moment.alias("at"), F.explode("data").alias("cell", "v")).where("v is not null")
+        cells = cells.groupBy(*keys, "cell").agg(F.max(F.struct("at", "v")).alias("last")).select(
+            *keys, "last.at", F.lit(False).alias("deleted"), F.create_map("cell", "last.v").alias("data"))
+        whole = rows.groupBy(*keys, "deleted").agg(F.max(moment).alias("at")).select(
+            *keys, "at", "deleted", F.create_map().cast("map<string,string>").alias("data"))
+        return cells.unionByName(whole).select(*keys, "data", "deleted", "at.*")
+
+    versioned.compact(spark, path, ["sink_table", "rowkey"], reduce, ["sink_table"], buckets)
 
 
 # ---- table life cycle ------------------------------------------------------------------

@@ -9,21 +9,38 @@ from tidemart.operators.parse import parse_lenient
 from tidemart.schemas import CHANGE, DEBEZIUM
 
 
+#: The column of a message's place in its log.
+POSITION = "position"
+
+
 def read_messages(
-    spark: SparkSession, location: str, fmt: str = "kafka", stream: bool = True, **options: str
+    spark: SparkSession, location: str, fmt: str = "kafka", stream: bool = True, position: bool = False, **options: str
 ) -> DataFrame:
     """Message values as text, from the earliest one on; null values stay null.
 
     `kafka`: `location` is a topic, and `options` name the brokers.  `text`: `location` is a
     folder of files with one message per line.
+
+    With `position`, messages keep the order in which they arrived: a column of `log`, `block` and `line` that
+    compares like it.  Of a topic these are the partition and the offset, so it orders what shares a partition,
+    as the changes of one key do.  Of files they are the time of the file and its name, the place of the
+    block in the file, and a number that rises with the lines of a block.
     """
     reader = spark.readStream if stream else spark.read
     if fmt == "kafka":
         options = {"subscribe": location, "startingOffsets": "earliest", **options}
         raw = reader.format("kafka").options(**options).load()
-        return raw.select(F.col("value").cast("string").alias("value"))
-    if fmt == "text":
-        return reader.options(**options).text(location).select("value")
+        value = F.col("value").cast("string").alias("value")
+        place = F.format_string("%010d", F.col("partition")), F.lit(0), F.col("offset")
+    elif fmt == "text":
+        raw, value = reader.options(**options).text(location), F.col("value")
+        of_file = F.col("_metadata")
+        place = (F.format_string("%015d %s", F.unix_millis(of_file["file_modification_time"]), of_file["file_path"]),
+                 of_file["file_block_start"], F.monotonically_increasing_id())
+    if fmt in ("kafka", "text"):
+        log, block, line = place
+        return raw.select(value, *([F.struct(
+            log.alias("log"), block.cast("long").alias("block"), line.cast("long").alias("line")).alias(POSITION)] if position else []))
     raise ValueError(f"unknown message format {fmt!r}")
 
 
@@ -36,9 +53,13 @@ def watermarked(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
     return df.withWatermark(ts, delay) if delay and df.isStreaming else df
 
 
+def _placed(messages: DataFrame) -> list[str]:
+    return [POSITION] if POSITION in messages.columns else []
+
+
 def change_stream(messages: DataFrame, delay: str | None = "5 seconds") -> DataFrame:
-    """Typed change log with event time (from seconds) and processing time."""
-    rows = parse_lenient(messages, CHANGE).withColumns(
+    """Typed change log with event time (from seconds), processing time and, if read, `position`."""
+    rows = parse_lenient(messages, CHANGE, keep=_placed(messages)).withColumns(
         {"row_time": epoch_to_timestamp("ts", "s"), "proc_time": processing_time()}
     )
     return watermarked(rows, "row_time", delay)
@@ -46,7 +67,7 @@ def change_stream(messages: DataFrame, delay: str | None = "5 seconds") -> DataF
 
 def debezium_stream(messages: DataFrame, delay: str | None = "5 seconds") -> DataFrame:
     """Typed before/after change log with event time (from milliseconds)."""
-    rows = parse_lenient(messages, DEBEZIUM).withColumn("row_time", epoch_to_timestamp("ts_ms", "ms"))
+    rows = parse_lenient(messages, DEBEZIUM, keep=_placed(messages)).withColumn("row_time", epoch_to_timestamp("ts_ms", "ms"))
     return watermarked(rows, "row_time", delay)
 
 
@@ -55,5 +76,5 @@ def fact_stream(
     delay: str | None = "5 seconds", out: str = "row_time",
 ) -> DataFrame:
     """A fact topic re-read with its declared columns and event time."""
-    rows = parse_lenient(messages, schema).withColumn(out, epoch_to_timestamp(ts, unit))
+    rows = parse_lenient(messages, schema, keep=_placed(messages)).withColumn(out, epoch_to_timestamp(ts, unit))
     return watermarked(rows, out, delay)
