@@ -13,7 +13,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 _MODULES = (
-    "sources_sinks", "changes", "logs", "joining", "aggregation", "keyed", "streams", "scalars", "jobs",
+    "sources_sinks", "changes", "logs", "joining", "aggregation", "keyed", "streams", "scalars", "jobs", "live",
 )
 
 

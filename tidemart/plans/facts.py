@@ -2,6 +2,9 @@
 
 `changes` is a change log as `change_stream` or a table gives it; `row_time` is needed only
 for the streaming forms (`within`) and the payment job.
+
+Jobs that look names up come in two steps as well, rows first and names after, so that a stream can run the
+second on each micro-batch with the dimensions of its moment (`streaming.live`).
 """
 
 from __future__ import annotations
@@ -22,13 +25,17 @@ def _timed(within: int | None) -> list[str]:
     return ["row_time"] if within is not None else []
 
 
-def comments(changes: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+def comment_rows(changes: DataFrame, database: str) -> DataFrame:
     rows = C.select_table(changes, database, "comment_info")
-    keys = [c for c in S.COMMENT_COLUMNS if c != "dic_name"]
-    named = J.lookup_join(
-        C.extract_map(rows, keys), dictionary, "appraise", {"dic_name": "info.dic_name"}
-    )
-    return named.select(*S.COMMENT_COLUMNS)
+    return C.extract_map(rows, [c for c in S.COMMENT_COLUMNS if c != "dic_name"])
+
+
+def name_comments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return J.lookup_join(rows, dictionary, "appraise", {"dic_name": "info.dic_name"}).select(*S.COMMENT_COLUMNS)
+
+
+def comments(changes: DataFrame, dictionary: DataFrame, database: str) -> DataFrame:
+    return name_comments(comment_rows(changes, database), dictionary)
 
 
 def cart_adds(changes: DataFrame, database: str) -> DataFrame:
@@ -68,9 +75,8 @@ def order_cancel(
     return J.cancel_join(detail, cancelled, within).select(*S.ORDER_CANCEL_COLUMNS, *_timed(within))
 
 
-def payment_success(
-    detail: DataFrame, changes: DataFrame, dictionary: DataFrame, database: str,
-    lower: int = -15, upper: int | None = 5,
+def paid_details(
+    detail: DataFrame, changes: DataFrame, database: str, lower: int = -15, upper: int | None = 5,
 ) -> DataFrame:
     """Paid order details: payment time within `lower`..`upper` seconds of the order's."""
     rows = changes.where((F.col("database") == database) & (F.col("table") == "payment_info"))
@@ -84,19 +90,25 @@ def payment_success(
     )
     if "row_time" not in detail.columns:
         detail = detail.withColumn("row_time", epoch_to_timestamp("ts"))
-    joined = J.interval_join(
+    return J.interval_join(
         detail.drop("ts", "user_id", "create_time"), paid, "order_id", "row_time", "pay_row_time",
         lower, upper,
     )
-    named = J.lookup_join(
-        joined, dictionary, "payment_type_code", {"payment_type_name": "info.dic_name"}
-    )
+
+
+def name_payments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = J.lookup_join(rows, dictionary, "payment_type_code", {"payment_type_name": "info.dic_name"})
     return named.select(*S.PAYMENT_COLUMNS)
 
 
-def order_refund(
-    changes: DataFrame, dictionary: DataFrame, database: str, within: int | None = None
+def payment_success(
+    detail: DataFrame, changes: DataFrame, dictionary: DataFrame, database: str,
+    lower: int = -15, upper: int | None = 5,
 ) -> DataFrame:
+    return name_payments(paid_details(detail, changes, database, lower, upper), dictionary)
+
+
+def refunded_rows(changes: DataFrame, database: str, within: int | None = None) -> DataFrame:
     refunds = C.extract_map(
         C.select_table(changes, database, "order_refund_info"),
         ("id", "user_id", "order_id", "sku_id", "refund_type", "refund_num", "refund_amount",
@@ -107,9 +119,12 @@ def order_refund(
     orders = C.extract_map(
         C.status_transition(rows, "order_status", "1005"), ("id", "province_id"), keep=_timed(within)
     )
-    joined = J.join_changes(refunds, orders, "order_id", "id", "inner", within)
+    return J.join_changes(refunds, orders, "order_id", "id", "inner", within)
+
+
+def name_refunds(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     named = J.lookup_join_twice(
-        joined, dictionary, "refund_type", "refund_reason_type", ("type_name", "reason_name")
+        rows, dictionary, "refund_type", "refund_reason_type", ("type_name", "reason_name")
     )
     listed = named.select(
         "id", "user_id", "order_id", "sku_id", "province_id", text_to_date("create_time"),
@@ -119,9 +134,13 @@ def order_refund(
     return C.positional_insert(listed, S.REFUND_COLUMNS)
 
 
-def refund_payment(
+def order_refund(
     changes: DataFrame, dictionary: DataFrame, database: str, within: int | None = None
 ) -> DataFrame:
+    return name_refunds(refunded_rows(changes, database, within), dictionary)
+
+
+def refund_payment_rows(changes: DataFrame, database: str, within: int | None = None) -> DataFrame:
     def entered(table: str, field: str, status: str, keys, keep=()) -> DataFrame:
         rows = changes.where((F.col("database") == database) & (F.col("table") == table))
         moved = C.status_transition(rows, field, status)
@@ -133,10 +152,19 @@ def refund_payment(
     )
     refunds = entered("order_refund_info", "refund_status", "0705", ("order_id", "sku_id", "refund_num"))
     orders = entered("order_info", "order_status", "1006", ("id", "user_id", "province_id"))
-    joined = J.composite_key_join(payments, refunds, orders, within)
-    named = J.lookup_join(joined, dictionary, "payment_type", {"type_name": "info.dic_name"})
+    return J.composite_key_join(payments, refunds, orders, within)
+
+
+def name_refund_payments(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = J.lookup_join(rows, dictionary, "payment_type", {"type_name": "info.dic_name"})
     listed = named.select(
         "id", "user_id", "order_id", "sku_id", "province_id", "payment_type", "type_name",
         text_to_date("callback_time"), "callback_time", "refund_num", "total_amount", "ts",
     )
     return C.positional_insert(listed, S.REFUND_PAYMENT_COLUMNS)
+
+
+def refund_payment(
+    changes: DataFrame, dictionary: DataFrame, database: str, within: int | None = None
+) -> DataFrame:
+    return name_refund_payments(refund_payment_rows(changes, database, within), dictionary)

@@ -153,11 +153,10 @@ def _deltas(df: DataFrame, measures: Mapping[str, str], tie, ttl_seconds) -> Dat
     return by(df, ["id"], measures, ts="row_time", tie=tie, ttl_seconds=ttl_seconds)
 
 
-def sku_order_window(
-    details: DataFrame, dims: Mapping[str, DataFrame], size: str = SIZE, tie=(),
-    ttl_seconds: int | None = None, cur_date: str = "processing",
+def sku_order_sums(
+    details: DataFrame, size: str = SIZE, tie=(), ttl_seconds: int | None = None, cur_date: str = "processing",
 ) -> DataFrame:
-    """Amounts per product, re-sent details counted once, with the product's dimensions."""
+    """Amounts per product, re-sent details counted once; `enrich_product_chain` names them."""
     rows = details.where(F.col("sku_id") != "").select(
         "id", "sku_id", "sku_name", "row_time", *tie,
         (money("order_price") * money("sku_num", 10, 0)).cast("decimal(28,2)").alias("original"),
@@ -174,12 +173,19 @@ def sku_order_window(
         F.min("sku_name").alias("sku_name"),
         *(F.sum(o).cast("decimal(38,2)").alias(o) for o in outs),
     )
-    return J.enrich_product_chain(A.stamp_window(sums, cur_date=cur_date), dims)
+    return A.stamp_window(sums, cur_date=cur_date)
 
 
-def province_order_window(
-    details: DataFrame, provinces: DataFrame, size: str = SIZE, tie=(),
+def sku_order_window(
+    details: DataFrame, dims: Mapping[str, DataFrame], size: str = SIZE, tie=(),
     ttl_seconds: int | None = None, cur_date: str = "processing",
+) -> DataFrame:
+    """Amounts per product, re-sent details counted once, with the product's dimensions."""
+    return J.enrich_product_chain(sku_order_sums(details, size, tie, ttl_seconds, cur_date), dims)
+
+
+def province_order_sums(
+    details: DataFrame, size: str = SIZE, tie=(), ttl_seconds: int | None = None, cur_date: str = "processing",
 ) -> DataFrame:
     """Distinct orders and amount per province, re-sent details counted once."""
     rows = details.where(F.col("province_id") != "").select(
@@ -189,8 +195,22 @@ def province_order_window(
     sums = A.window_distinct(
         deltas, size, ["province_id"], "order_id", "order_count", {"order_amount": "order_amount"}
     )
-    stamped = A.stamp_window(sums, cur_date=cur_date)
-    return J.enrich(stamped, provinces, "province_id", {"province_name": "name"})
+    return A.stamp_window(sums, cur_date=cur_date)
+
+
+def name_provinces(sums: DataFrame, provinces: DataFrame) -> DataFrame:
+    return J.enrich(sums, provinces, "province_id", {"province_name": "name"})
+
+
+def province_order_window(
+    details: DataFrame, provinces: DataFrame, size: str = SIZE, tie=(),
+    ttl_seconds: int | None = None, cur_date: str = "processing",
+) -> DataFrame:
+    """Distinct orders and amount per province, re-sent details counted once."""
+    return name_provinces(province_order_sums(details, size, tie, ttl_seconds, cur_date), provinces)
+
+
+REFUND_KEYS = ["trademark_id", "category3_id", "user_id"]
 
 
 def refund_window(
@@ -203,8 +223,25 @@ def refund_window(
     ids = {"trademark_id": "tm_id", "category3_id": "category3_id"}
     rows = J.enrich(refunds.select("user_id", "sku_id", "order_id", "row_time"),
                     dims["dim_sku_info"], "sku_id", ids)
-    keys = ["trademark_id", "category3_id", "user_id"]
-    sums = A.stamp_window(A.window_distinct(rows, size, keys, "order_id", "refund_count"), cur_date=cur_date)
+    sums = A.window_distinct(rows, size, REFUND_KEYS, "order_id", "refund_count")
+    return _name_refund_counts(A.stamp_window(sums, cur_date=cur_date), dims)
+
+
+def refund_orders(refunds: DataFrame, size: str = SIZE) -> DataFrame:
+    """Each refunded order once per window, product and user, for `count_refunds`."""
+    return refunds.groupBy(A.tumble(size), "sku_id", "user_id", "order_id").agg(F.count(F.lit(1)).alias("refunds"))
+
+
+def count_refunds(orders: DataFrame, dims: Mapping[str, DataFrame], cur_date: str = "processing") -> DataFrame:
+    """`refund_window` from `refund_orders` of whole windows, as a stream emits them."""
+    ids = {"trademark_id": "tm_id", "category3_id": "category3_id"}
+    rows = J.enrich(orders, dims["dim_sku_info"], "sku_id", ids)
+    sums = rows.select("window", *REFUND_KEYS, "order_id").distinct().groupBy("window", *REFUND_KEYS).agg(
+        F.count("order_id").alias("refund_count"))
+    return _name_refund_counts(A.stamp_window(sums, cur_date=cur_date), dims)
+
+
+def _name_refund_counts(sums: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     named = J.enrich(sums, dims["dim_base_trademark"], "trademark_id", {"trademark_name": "tm_name"})
     category = J.enrich(
         J.enrich(
@@ -218,13 +255,24 @@ def refund_window(
     return J.enrich(named, category, "category3_id", {f: f for f in fields})
 
 
-def shop_window(
-    details: DataFrame, shops: DataFrame, key: str, size: str = "10 seconds",
-    cur_date: str = "processing",
+def shop_sums(
+    details: DataFrame, key: str, size: str = "10 seconds", cur_date: str = "processing",
 ) -> DataFrame:
     """Amount per shop; `key` is the number shops are assigned by."""
     rows = C.assign_shop(details, key).select(
         "shop_id", "row_time", money("split_total_amount").alias("total")
     )
     sums = A.window_sum_by_key(rows, size, ["shop_id"], {"amount": "total"})
-    return J.enrich(A.stamp_window(sums, cur_date=cur_date), shops, "shop_id", {"shop_name": "name"})
+    return A.stamp_window(sums, cur_date=cur_date)
+
+
+def name_shops(sums: DataFrame, shops: DataFrame) -> DataFrame:
+    return J.enrich(sums, shops, "shop_id", {"shop_name": "name"})
+
+
+def shop_window(
+    details: DataFrame, shops: DataFrame, key: str, size: str = "10 seconds",
+    cur_date: str = "processing",
+) -> DataFrame:
+    """`shop_sums` with the shops' names."""
+    return name_shops(shop_sums(details, key, size, cur_date), shops)

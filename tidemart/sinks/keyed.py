@@ -34,7 +34,8 @@ def upsert_writer(keys, order, path, partition_by=()) -> Callable[[DataFrame, in
     return lambda df, batch_id: upsert(df, keys, order, path, batch_id, partition_by)
 
 
-def _committed(spark: SparkSession, path: str) -> DataFrame:
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """All committed rows with the `batch` they came in."""
     found = versioned.read_version(spark, path, versioned.current_version(spark, path))
     if found is None:
         raise ValueError(f"nothing was committed to {path}")
@@ -45,7 +46,7 @@ def read_upserts(
     spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The latest row per key over all batches; among equal `order`, the later batch wins."""
-    return latest_per_key(_committed(spark, path), keys, [*order, "batch"]).drop("batch")
+    return latest_per_key(read_committed(spark, path), keys, [*order, "batch"]).drop("batch")
 
 
 def compact_upserts(
@@ -86,7 +87,7 @@ def write_changelog_flat(df: DataFrame, path: str, batch_id: int = 0) -> None:
 
 def read_changelog_flat(spark: SparkSession, path: str) -> DataFrame:
     """The flat change rows, of each id the last to arrive."""
-    rows = _committed(spark, path)
+    rows = read_committed(spark, path)
     return latest_per_key(rows, ["id"], ["ts", *placed(rows), "batch"]).drop("batch", *placed(rows))
 
 
