@@ -70,7 +70,7 @@ def test_stages_equal_brute_force(spark, corpus, tmp_path, monkeypatch):
 
 def test_registered_names():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)]
     assert {*names, "pipeline"} <= set(entry.queries()) and set(queries.oracle_sql()) <= set(names)
 
 
