@@ -281,3 +281,17 @@ def test_flat_changes_of_one_moment_keep_the_last_to_arrive(spark, tmp_path):
     assert len(found.columns) == 7 and [(r.op, json.loads(r.log_after)["v"]) for r in found.collect()] == [("UPDATE", "2")]
     keyed.compact_changelog_flat(spark, str(tmp_path / "flat"))
     assert rows(keyed.read_changelog_flat(spark, str(tmp_path / "flat"))) == rows(found)
+
+
+def test_a_stream_of_files_keeps_the_order_of_its_lines(spark, tmp_path):
+    from tidemart.streaming.job import run_to_end
+    folder, path = tmp_path / "in", str(tmp_path / "dims")
+    folder.mkdir()
+    record = lambda v, type_="update": json.dumps(
+        {"database": "shop", "table": "t1", "type": type_, "ts": 5, "data": {"id": "1", "v": v}})
+    (folder / "0.txt").write_text("\n".join([record("a"), record("b"), record("", "delete"), record("c"), record("d")]))
+    (folder / "1.txt").write_text("\n".join([record("e"), record("", "delete"), record("f")]))
+    config = spark.createDataFrame([("t1", "dim_a", "id,v", "id", "r")], "source_table string, sink_table string, sink_columns string, sink_row_key string, op string")
+    log = S.change_stream(S.read_messages(spark, str(folder), "text", position=True, maxFilesPerTrigger="1"))
+    run_to_end(routes.dim_rows(log, config, "shop"), checkpoint=str(tmp_path / "at"), sink=keyed.dim_writer(path))
+    assert rows(keyed.read_dim(spark, path, "dim_a", ["v"])) == [("1", "f")]

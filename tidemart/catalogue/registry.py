@@ -13,7 +13,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
 
 _MODULES = (
-    "sources_sinks", "changes", "logs", "joining", "aggregation", "keyed", "streams", "scalars", "jobs", "live",
+    "sources_sinks", "changes", "logs", "joining", "aggregation", "keyed", "streams", "scalars", "jobs", "live", "landed",
 )
 
 
@@ -42,6 +42,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def sql_of(name: str) -> str:
+    """The SQL of a query registered before."""
+    return _SQL[name]
+
+
 def _load() -> None:
     for module in _MODULES:
         import_module(f"tidemart.catalogue.{module}")

@@ -51,6 +51,20 @@ def parse_split(
     return good, rows.where(is_bad).select(F.col(value).alias("value"))
 
 
+def parse_tagged(
+    df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = (), out: str = "unreadable"
+) -> DataFrame:
+    """Both halves of `parse_split` in one scan and one parse.
+
+    The typed columns, null for unreadable messages, and `out`: the raw text of those, null for the others (a null
+    message is an empty text there).
+    """
+    rows, is_bad = _parsed(df, schema, value)
+    raw = F.when(is_bad, F.coalesce(F.col(value), F.lit("")))
+    fields = (F.when(~is_bad, F.col(f"r.{f}")).alias(f) for f in schema.fieldNames())
+    return rows.select(*fields, raw.alias(out), *keep)
+
+
 def require_fields(
     df: DataFrame, columns: Sequence[str], ts: str | None = "ts", strict: bool = False
 ) -> DataFrame:

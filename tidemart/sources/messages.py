@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemart.functions.scalar import epoch_to_timestamp, processing_time
@@ -37,6 +40,10 @@ def read_messages(
         of_file = F.col("_metadata")
         place = (F.format_string("%015d %s", F.unix_millis(of_file["file_modification_time"]), of_file["file_path"]),
                  of_file["file_block_start"], F.monotonically_increasing_id())
+        if stream and position:  # Spark numbers no rows of a stream
+            raw = raw.select("value", place[0].alias("log"), place[1].alias("block")).mapInArrow(
+                _numbered, "value string, log string, block long, line long")
+            place = F.col("log"), F.col("block"), F.col("line")
     if fmt in ("kafka", "text"):
         log, block, line = place
         return raw.select(value, *([F.struct(
@@ -44,6 +51,15 @@ def read_messages(
     raise ValueError(f"unknown message format {fmt!r}")
 
 
+def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add a number that rises with the rows of a partition."""
+    first = 0
+    for batch in batches:
+        end = first + batch.num_rows
+        yield batch.append_column("line", pa.array(range(first, end), pa.int64()))
+        first = end
+
+
 def log_files(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """Lines of the log files in a folder; the query's checkpoint is the read position."""
     return read_messages(spark, folder, "text", stream=True, **options)
