@@ -67,3 +67,17 @@ def test_a_repeated_micro_batch_keeps_what_was_committed(spark, tmp_path):
     assert rows(keyed.read_upserts(spark, out, ["id"], []).select("name")) == [("one",)]
     write(batch, 1)
     assert rows(keyed.read_upserts(spark, out, ["id"], []).select("name")) == [("new",)]
+
+
+def test_config_changes_between_micro_batches_take_effect(spark, tmp_path):
+    path = str(tmp_path / "config")
+    schema = "source_table string, sink_table string, op string, ts bigint"
+    put = lambda batch, *items: keyed.upsert(spark.createDataFrame(list(items), schema), ["source_table"], ["ts"], path, batch)
+    config = live.LiveConfig(path, ["source_table"])
+    tables = lambda: rows(config(spark).select("source_table", "sink_table"))
+    put(0, ("a", "dim_a", "r", 1))
+    assert tables() == [("a", "dim_a")]
+    put(1, ("b", "dim_b", "c", 2), ("a", "dim_a2", "u", 2))
+    assert tables() == [("a", "dim_a2"), ("b", "dim_b")]
+    put(2, ("a", "dim_a2", "d", 3))
+    assert tables() == [("b", "dim_b")] and config(spark) is config(spark)

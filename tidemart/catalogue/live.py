@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemart.catalogue.jobs import DIC
+from tidemart.catalogue.jobs import DIC, ORDER_DIM_SQL
 from tidemart.catalogue.registry import query
 from tidemart.catalogue.stand_ins import DB, PRODUCT, stamped, text
 from tidemart.catalogue.streams import HOUR, ended, stamp
 from tidemart.functions.scalar import money
 from tidemart.operators import aggregates as A
-from tidemart.plans import facts, summaries as S
+from tidemart.plans import facts, routes, summaries as S
 from tidemart.session import scratch_dir
 from tidemart.sinks import keyed
 from tidemart.sources.tables import as_dim
@@ -126,3 +126,28 @@ def _(t):
     early = F.xxhash64("sink_table", "rowkey") % 2 == 0
     return run_with_commits(t, S.refund_orders(rows, "1 day"), lambda orders, found: S.count_refunds(orders, found, cur_date="window"),
                             DIMENSIONS, [dims.where(early), dims.where(~early)], "j9l", None)
+
+
+@query("q1_live_config_stream", f"""WITH d AS ({ORDER_DIM_SQL})
+SELECT rowkey, CASE WHEN CAST(rowkey AS BIGINT) % 3 < 2 THEN user_id END AS user_id,
+  CASE WHEN CAST(rowkey AS BIGINT) % 3 = 1 THEN order_status END AS order_status FROM d WHERE CAST(rowkey AS BIGINT) % 3 < 2""")
+def _(t):
+    """Three micro-batches of a dimension load: after the first the config gets a column more, after the second it is deleted."""
+    part = F.coalesce(F.col("data")["id"].cast("bigint") % 3, F.lit(0))
+    stream = in_batches(t, "q1l-in", *(t.order_changes.where(part == k) for k in range(3)))
+    config_at, out = scratch_dir(t.spark, "q1l-config"), scratch_dir(t.spark, "q1l")
+    entry = lambda columns, op, ts: t.spark.createDataFrame(
+        [("order_info", "dim_order", columns, "id", op, ts)],
+        "source_table string, sink_table string, sink_columns string, sink_row_key string, op string, ts bigint")
+    commits = [entry("id,user_id", "c", 1), entry("id,user_id,order_status", "u", 2), entry("id,user_id,order_status", "d", 3)]
+    commit = lambda i: keyed.upsert(commits[i], ["source_table"], ["ts"], config_at, i)
+    commit(0)
+
+    def sink(df, batch_id):
+        keyed.dim_upsert(df, out, batch_id)
+        if batch_id + 1 < len(commits):
+            commit(batch_id + 1)
+
+    live.run_live(stream, lambda rows, config: routes.dim_rows(rows, config, DB), live.LiveConfig(config_at, ["source_table"]), sink,
+                  scratch_dir(t.spark, "q1l-at")).awaitTermination()
+    return keyed.read_dim(t.spark, out, "dim_order", ["user_id", "order_status"])

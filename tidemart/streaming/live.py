@@ -1,4 +1,4 @@
-"""Streams that see dimensions as they are now.
+"""Streams that see dimensions and routing config as they are now.
 
 A lookup inside a streaming plan reads the files that the dimension had when the stream started.  Here a job has two
 parts: the stream proper, up to its last stateful step, and what is done with the rows of each micro-batch, after the
@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemart.operators.routing import config_state
 from tidemart.session import scratch_dir
 from tidemart.sinks import keyed, versioned
 from tidemart.streaming.job import run_job
@@ -64,3 +65,24 @@ def run_live(
 ) -> StreamingQuery:
     """`run_job` over `stream`, with `finish` applied to each micro-batch and the dimensions of its moment."""
     return run_job(stream, checkpoint=checkpoint, sink=live_writer(finish, dims, sink), **options)
+
+
+class LiveConfig:
+    """The routing config in force, from committed config changes (`keyed.upsert`), as of their last commit.
+
+    Added, changed and deleted rows take effect with the next micro-batch, for all rows that arrive in it.
+    """
+
+    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str] = ("ts",)):
+        self.path, self.keys, self.order = path, list(keys), list(order)
+        self.batch: int | None = None
+        self.found: DataFrame | None = None
+
+    def __call__(self, spark: SparkSession) -> DataFrame:
+        version = versioned.current_version(spark, self.path)
+        if self.found is None or version.last != self.batch:
+            rows = keyed.read_upserts(spark, self.path, self.keys, self.order)
+            where = scratch_dir(spark, "live-config")
+            config_state(rows, self.keys, self.order[0]).write.parquet(where)
+            self.batch, self.found = version.last, spark.read.schema(rows.schema).parquet(where)
+        return self.found
