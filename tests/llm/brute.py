@@ -125,24 +125,31 @@ def signals(text):
     return counts, len(own) < 20 or 100 * len(covered) > 30 * len(own), len(rows)
 
 
-def quality_kept(rows, floors, reach):
-    """Verdicts of (text, lang, source) rows; quartiles as the smallest value with so much at or below it."""
+def quality_kept(rows, reach=4.0, tail=0.9, prior=50, errors=3.0):
+    """Verdicts of (text, lang, source) rows; quantiles as the smallest value with so much at or below it."""
     measured, groups = [], defaultdict(list)
     for text, lang, source in rows:
         (n, chars, symbols, dup, repeated), failed, n_lines = signals(text)
         rates = {"symbol_share": symbols / max(chars, 1), "long_words": chars / max(n, 1),
                  "dup_line_share": dup / max(n_lines, 1), "repeat_share": repeated / max(n, 1)}
-        measured.append((failed, rates))
-        groups[lang, source].append(rates)
+        events = {"symbol_share": (symbols, chars), "dup_line_share": (dup, n_lines), "repeat_share": (repeated / 8, n / 8)}
+        measured.append((failed, rates, events))
+        for group in ((lang, source), (lang,), ()):
+            groups[group].append(rates)
     quantile = lambda values, q: sorted(values)[max(math.ceil(q * len(values)) - 1, 0)]
     fence = {}
-    for group, members in groups.items():
-        for name, floor in floors.items():
-            values = [m[name] for m in members]
+    for group in sorted(groups, key=len):
+        for name in groups[group][0]:
+            values = [m[name] for m in groups[group]]
             low, high = quantile(values, 0.25), quantile(values, 0.75)
-            fence[group, name] = max(high + reach * (high - low), floor)
-    return [not failed and all(rates[n] <= fence[(lang, source), n] for n in floors)
-            for (failed, rates), (_, lang, source) in zip(measured, rows)]
+            own = max(high + reach * (high - low), quantile(values, tail), sum(int(v * 10**6) for v in values) / len(values) / 10**6)
+            larger = fence[group[:-1], name] if group else own
+            fence[group, name] = (own * len(values) + prior * larger) / (len(values) + prior) if group else own
+    out = []
+    for (failed, rates, events), (_, *group) in zip(measured, rows):
+        beyond = [k - fence[tuple(group), n] * of > errors * math.sqrt(k) for n, (k, of) in events.items()]
+        out.append(not failed and not any(beyond) and rates["long_words"] <= fence[tuple(group), "long_words"])
+    return out
 
 
 def fingerprint(text, shingle=3):

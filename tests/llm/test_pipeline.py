@@ -11,7 +11,7 @@ from test_table_operators import WEIGHTS, check_shards
 import __spark_entry__ as entry
 import corpus_pipeline
 from check import compare, connect
-from tidemart.llm import quality, queries
+from tidemart.llm import queries
 from tidemart.llm.text import stored
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -33,7 +33,7 @@ def test_stages_equal_brute_force(spark, corpus, tmp_path, monkeypatch):
         assert name == "sharding" or out.columns == columns
         return out
 
-    kept = brute.quality_kept([(t, lang, s) for _, t, lang, s in rows], quality.FLOORS, quality.REACH)
+    kept = brute.quality_kept([(t, lang, s) for _, t, lang, s in rows])
     rows = [r for r, k in zip(rows, kept) if k]
     docs = run("quality")
     assert seen(docs) == sorted((str(i), str(t)) for i, t, *_ in rows)

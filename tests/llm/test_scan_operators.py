@@ -1,6 +1,7 @@
 """Operators that judge rows: URL filter, decontamination, token counts, quality, line dedup."""
 
 import math
+import os
 import random
 
 import brute
@@ -122,7 +123,7 @@ def test_signals_and_verdicts_equal_brute_force(docs, no_docs, corpus):
     key = lambda row: sorted(map(str, row))
     assert sorted(((str(r.doc_id), *(r[c] for c in quality.COUNTS), r.base_failed) for r in got)) == sorted(
         (str(i), *counts, failed) for i, t, *_ in corpus for counts, failed, _ in [brute.signals(t)])
-    kept = brute.quality_kept([(t, lang, s) for _, t, lang, s in corpus], quality.FLOORS, quality.REACH)
+    kept = brute.quality_kept([(t, lang, s) for _, t, lang, s in corpus])
     out = quality.filter_documents(docs)
     assert out.columns == docs.columns
     assert key([(r.doc_id, r.text) for r in out.collect()]) == key([(i, t) for (i, t, *_), k in zip(corpus, kept) if k])
@@ -165,14 +166,49 @@ def test_repeats_below_the_base_rule_and_short_documents(spark):
     rng = random.Random(8)
     line = lambda n: " ".join("".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(2)) + str(rng.randrange(100)) for _ in range(n))
     rows = [(i, "\n".join(line(12) for _ in range(8)), "en", "s") for i in range(100)]
+    again = line(80)
+    rows += [(1000, f"{line(520)} {again} {again}", "en", "s")]  # 160 of 680 words repeated: 20 windows
     again = line(12)
-    rows += [(1000, f"{line(72)} {again} {again}", "en", "s")]  # 24 or 25 of 96 words repeated
+    rows += [(1001, f"{line(72)} {again} {again}", "en", "s")]  # as large a share of a short document: 3 windows
     short = line(4)
-    rows += [(1001, f"{short}\n{short}\n{line(25)}", "en", "s")]  # one repeated line of three
-    rows += [(1002, "\n".join([*(line(10) for _ in range(6)), *[line(4)] * 4]), "en", "s")]  # three of ten
+    rows += [(1002, f"{short}\n{short}\n{line(25)}", "en", "s")]  # one repeated line of three
+    rows += [(1003, "\n".join([*(line(10) for _ in range(30)), *[line(4)] * 20]), "en", "s")]  # 19 of 50
     docs = spark.createDataFrame(rows, QUALITY_ROWS)
-    assert not [r for r in quality.with_signals(docs).collect() if r.base_failed]
-    assert {r.doc_id for r in quality.filter_documents(docs).collect()} == {*range(100), 1001}
+    signals = quality.with_signals(docs)
+    assert not [r for r in signals.collect() if r.base_failed]
+    assert {r.doc_id for r in quality.filter_documents(docs).collect()} == {*range(100), 1001, 1002}
+    why = {r.doc_id: r.reasons for r in quality.judge(signals).where("not kept").collect()}
+    # lines of four words in a row make repeated windows too
+    assert why == {1000: "repeat_share", 1003: "dup_line_share,repeat_share"}
+
+
+def test_small_groups_lean_on_their_language(spark):
+    rng = random.Random(9)
+    stem = lambda n: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(n))
+    prose = lambda symbols=0: " ".join(stem(2) + "|" * (i < symbols) for i in range(60))
+    rows = [(i, prose(), "en", "large") for i in range(200)] + [(1000 + i, prose(60), "en", "small") for i in range(3)]
+    # many documents with symbols are the custom of their source
+    rows += [(2000 + i, prose(60 if i % 2 else 0), "en", "tables") for i in range(300)]
+    # a language that has one document leans on all of them, nulls are a group
+    rows += [(3000, prose(), "xx", None), (3001, prose(), None, None), (3002, None, None, "s")]
+    docs = spark.createDataFrame(rows, QUALITY_ROWS)
+    want = brute.quality_kept([(t, lang, s) for _, t, lang, s in rows])
+    kept = {r.doc_id for r in quality.filter_documents(docs).collect()}
+    assert kept == {r[0] for r, k in zip(rows, want) if k}
+    assert kept >= {2000 + i for i in range(300)} | {3000, 3001} and 3002 not in kept
+
+
+LABELLED = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(LABELLED), reason="generated tables are missing")
+def test_each_reason_hits_bad_documents_not_good_ones(spark):
+    docs = spark.read.parquet(f"{LABELLED}/documents.parquet")
+    judged = quality.judge(quality.with_signals(docs)).join(spark.read.parquet(f"{LABELLED}/labels.parquet"), "doc_id")
+    seen = {(r.reasons, r.quality): r["count"] for r in judged.groupBy("reasons", "quality").count().collect()}
+    without_base = lambda quality: {why: n for (why, q), n in seen.items() if q == quality and why and "base" not in why}
+    assert not without_base(1) and sum(without_base(0).values()) > 10
+    assert seen.get(("", 0), 0) <= 0.05 * sum(n for (_, q), n in seen.items() if q == 0)
 
 
 def test_lines_equal_brute_force(docs, no_docs, corpus):

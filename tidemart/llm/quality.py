@@ -2,8 +2,8 @@
 
 Each document gets a few signals.  Per language and source, mergeable quantile sketches of the
 signals (Spark's quantile summaries, merged from partial ones) give the fences beyond which a
-document is an outlier; documents and fences are then joined and filtered.  Where most documents have
-none of a signal, quartiles are 0 and say nothing, so the upper decile has a say too.
+document is an outlier; documents and fences are then joined and filtered.  A small group knows little
+of its tail, so its fences lean on those of its language, and these on those of all documents.
 """
 
 from __future__ import annotations
@@ -17,17 +17,16 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 SYMBOLS = r"[^#*$%&|<>]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-#: No fence cuts below these values, so groups without any spread keep ordinary documents.
-FLOORS = {"symbol_share": 0.05, "long_words": 6.0, "dup_line_share": 0.15, "repeat_share": 0.2}
-#: A single repeated line, which is a large share of a short document, is no fault.
-MIN_DUP_LINES = 2
 #: A fence lies this many interquartile ranges above the upper quartile, and not below the upper tail's start.
 REACH = 4.0
 TAIL = 0.9
-#: The tail lifts no fence above these values, so a group does not hide its junk by having much of it.
-TAIL_LIMITS = {"symbol_share": 0.2, "long_words": 15.0, "dup_line_share": 0.5, "repeat_share": 0.3}
-#: Groups of fewer rows have no tail to speak of.
-TAIL_ROWS = 20
+#: The fences of the next larger group count like so many rows of the group's own.
+PRIOR_ROWS = 50
+#: Symbols, repeated lines and repeated windows are rare events: their number must exceed what the fence
+#: allows by so many of its standard errors, so a single repeated line of a short document is no fault.
+ERRORS = 3.0
+#: Means are sums of whole numbers, rates times this, so that they do not depend on the order of rows.
+SCALE = 10**6
 #: Rank error of a sketch is 1 / ACCURACY of the group's rows.
 ACCURACY = 10_000
 
@@ -93,37 +92,65 @@ def _rates() -> dict[str, Column]:
     }
 
 
+def _events() -> dict[str, tuple[Column, Column]]:
+    """Numbers of events and of chances for the rates that count rare events."""
+    return {
+        "symbol_share": (F.col("n_symbols"), F.col("word_chars")),
+        "dup_line_share": (F.col("n_dup_lines"), F.col("_q_n_lines")),
+        "repeat_share": (F.col("n_repeat_words") / WINDOW, F.col("n_words") / WINDOW),
+    }
+
+
 def fences(signals: DataFrame, keys: tuple[str, str], reach: float = REACH, accuracy: int = ACCURACY) -> DataFrame:
-    """One row per language and source with the upper fence of each rate."""
-    quantiles = signals.groupBy(*(F.col(k).alias(f"_f_{k}") for k in keys)).agg(
-        F.count(F.lit(1)).alias("_f_rows"), *(
-            F.percentile_approx(rate, [0.25, 0.75, TAIL], accuracy).alias(f"_f_{name}") for name, rate in _rates().items()
-        ))
-    low, high, tail = (lambda n: F.col(f"_f_{n}")[0]), (lambda n: F.col(f"_f_{n}")[1]), (lambda n: F.col(f"_f_{n}")[2])
-    # greatest() skips the null that small groups have instead of a tail
-    limited = lambda n: F.when(F.col("_f_rows") >= TAIL_ROWS, F.least(tail(n), F.lit(TAIL_LIMITS[n])))
-    return quantiles.select(*(f"_f_{k}" for k in keys), *(
-        F.greatest(high(n) + reach * (high(n) - low(n)), limited(n), F.lit(floor)).alias(f"_f_{n}") for n, floor in FLOORS.items()
-    ))
+    """One row per pair of keys with the upper fence of each rate.
+
+    A fence is the largest of: `reach` interquartile ranges above the upper quartile, the quantile `TAIL`, and the mean
+    (where most documents have none of a signal, quantiles are 0 and say nothing).  Group, first key and all documents
+    have fences of their own; the first leans on the second and that on the third as if these were `PRIOR_ROWS` rows more.
+    The three come from one scan.  Only the fences of all documents, one row, come to the driver.
+    """
+    outer, inner = keys
+    rates = signals.select(
+        F.col(outer).alias(f"_f_{outer}"), F.col(inner).alias(f"_f_{inner}"), *(r.alias(n) for n, r in _rates().items()))
+    low, high, tail = (lambda q: q[0]), (lambda q: q[1]), (lambda q: q[2])
+
+    def own(name: str) -> Column:
+        q = F.percentile_approx(name, [0.25, 0.75, TAIL], accuracy)
+        mean = F.sum((F.col(name) * SCALE).cast("long")) / F.count(F.lit(1)) / SCALE
+        return F.greatest(high(q) + reach * (high(q) - low(q)), tail(q), mean)
+
+    def lean(name: str, on: Column) -> Column:
+        return (F.col(f"_f_{name}") * F.col("_f_rows") + PRIOR_ROWS * on) / (F.col("_f_rows") + PRIOR_ROWS)
+
+    # levels: 0 has both keys, 1 the first, 3 none
+    levels = stored(rates.rollup(f"_f_{outer}", f"_f_{inner}").agg(
+        F.grouping_id().alias("_f_level"), F.count(F.lit(1)).alias("_f_rows"), *(own(n).alias(f"_f_{n}") for n in _rates())), "levels")
+    whole = levels.where("_f_level = 3").first()
+    middle = levels.where("_f_level = 1").select(F.col(f"_f_{outer}").alias("_f_on"), *(
+        lean(n, F.lit(whole[f"_f_{n}"] if whole else None).cast("double")).alias(f"_f_on_{n}") for n in _rates()))
+    groups = levels.where("_f_level = 0")
+    return groups.join(middle, F.col(f"_f_{outer}").eqNullSafe(F.col("_f_on"))).select(
+        f"_f_{outer}", f"_f_{inner}", *(lean(n, F.col(f"_f_on_{n}")).alias(f"_f_{n}") for n in _rates()))
 
 
 def verdicts(
     signals: DataFrame, bounds: DataFrame, keys: tuple[str, str] = ("lang", "source")
 ) -> DataFrame:
-    """Add `kept` to rows that carry signals: false if `base_failed` or a rate lies beyond its group's fence."""
+    """Add `kept` and `reasons` to rows that carry signals.
+
+    `reasons` names what speaks against a row, comma-joined: `base` for the base rule, else rates beyond
+    their group's fence; `kept` is true if there is none.  Columns of these names are replaced.
+    """
     on = F.lit(True)
     for k in keys:
         on = on & signals[k].eqNullSafe(F.col(f"_f_{k}"))
-    beyond = F.lit(False)
+    events, found = _events(), [F.when(F.col("base_failed"), F.lit("base"))]
     for name, rate in _rates().items():
-        over = rate > F.col(f"_f_{name}")
-        beyond = beyond | (over & (F.col("n_dup_lines") >= MIN_DUP_LINES) if name == "dup_line_share" else over)
-    joined = signals.join(bounds, on, "left")
-    # one null-safe sum of both verdicts: a filter on a conjunction, or the null check that goes with a plain sum,
-    # would be pushed below the signals and make them anew
-    faults = F.coalesce(F.col("base_failed").cast("int"), F.lit(0)) + F.coalesce(beyond, F.lit(False)).cast("int")
-    return joined.withColumn("kept", faults == 0).drop(
-        *bounds.columns, "_q_n_lines")
+        fence, (seen, chances) = F.col(f"_f_{name}"), events.get(name, (None, None))
+        beyond = rate > fence if seen is None else seen - fence * chances > ERRORS * F.sqrt(seen)
+        found.append(F.when(beyond, F.lit(name)))
+    joined = signals.join(bounds, on, "left").withColumn("reasons", F.concat_ws(",", *found))
+    return joined.withColumn("kept", F.col("reasons") == "").drop(*bounds.columns, "_q_n_lines")
 
 
 def judge(signals: DataFrame, keys: tuple[str, str] = ("lang", "source")) -> DataFrame:
@@ -135,11 +162,10 @@ def filter_documents(docs: DataFrame, text: str = "text", keys: tuple[str, str]
     """The documents that pass, with the columns they came with.
 
     Sketches cover all documents, those that fail the fixed rules too.  A null language or source is
-    a group of its own.  A group of one or of equal documents has no spread, so only the floors bind.
+    a group of its own.  Documents that are all alike pass, if they pass the base rule: nothing lies beyond its own fence.
     Repeated rows share one verdict; empty in, empty out.  Texts are scanned twice, once for the
-    sketches and once to filter, instead of being stored in between.  The fences, one row per language
-    and source, are stored, so that Spark knows their size: it broadcasts them if they are small,
-    else it splits skewed groups.
+    sketches and once to filter, instead of being stored in between.  The fences, one row per language and source, are stored, so that Spark knows their
+    size: it broadcasts them if they are small, else it splits skewed groups.
     """
     bounds = stored(fences(with_signals(docs.select(*dict.fromkeys([text, *keys])), text), keys), "fences")
     inner = docs.select(F.struct(*docs.columns).alias("_q_row"), text, *(k for k in keys if k != text))

@@ -109,7 +109,7 @@ FROM placed
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
     signals = stored(quality.with_signals(docs).drop("text"), "signals")
-    return quality.judge(signals).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+    return quality.judge(signals).select("doc_id", *quality.COUNTS, "base_failed", "kept", "reasons")
 
 
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
