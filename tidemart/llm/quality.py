@@ -163,11 +163,13 @@ def filter_documents(docs: DataFrame, text: str = "text", keys: tuple[str, str]
 
     Sketches cover all documents, those that fail the fixed rules too.  A null language or source is
     a group of its own.  Documents that are all alike pass, if they pass the base rule: nothing lies beyond its own fence.
-    Repeated rows share one verdict; empty in, empty out.  Texts are scanned twice, once for the
-    sketches and once to filter, instead of being stored in between.  The fences, one row per language and source, are stored, so that Spark knows their
+    Repeated rows share one verdict; empty in, empty out.  Rows are stored with their signals, so each text is
+    measured once.  The fences, one row per language and source, are stored, so that Spark knows their
     size: it broadcasts them if they are small, else it splits skewed groups.
     """
-    bounds = stored(fences(with_signals(docs.select(*dict.fromkeys([text, *keys])), text), keys), "fences")
-    inner = docs.select(F.struct(*docs.columns).alias("_q_row"), text, *(k for k in keys if k != text))
-    out = verdicts(with_signals(inner, text), bounds, keys)
+    kept_keys = {k: F.col(k).alias(f"_q_key_{i}") for i, k in enumerate(keys)}
+    inner = docs.select(F.struct(*docs.columns).alias("_q_row"), F.col(text).alias("_q_text"), *kept_keys.values())
+    signals = stored(with_signals(inner, "_q_text").drop("_q_text"), "signals")
+    names = ("_q_key_0", "_q_key_1")
+    out = verdicts(signals, stored(fences(signals, names), "fences"), names)
     return out.where("kept").select(*(F.col("_q_row")[c].alias(c) for c in docs.columns))
