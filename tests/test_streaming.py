@@ -157,6 +157,35 @@ def test_page_stream_equals_batch(spark, page_log, name):
     assert closed(finish(spark, PAGE_JOBS[name](stream)), column) == want and want
 
 
+def test_traffic_stream_reads_its_input_once_and_forgets_sessions(spark, page_log):
+    """One scan gives visitors, sessions and views; days later only the last rows have state."""
+    stream = S.traffic_window(page_frames(spark, page_log)[1], HOUR, "window")
+    assert stream._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+    job.stream_settings(spark)
+    query = job.run_job(stream, checkpoint=scratch_dir(spark, "at"), path=scratch_dir(spark, "out"))
+    query.awaitTermination()
+    held = [max(o["numRowsTotal"] for o in p["stateOperators"] if o["operatorName"].startswith("transformWithState"))
+            for p in query.recentProgress if p["stateOperators"]]
+    assert held[-1] < max(held)
+
+
+def test_traffic_stream_counts_null_sessions_durations_and_dims(spark):
+    start = dt.datetime(2024, 3, 1, 10)
+    at = lambda hours: start + dt.timedelta(hours=hours)
+    items = [("m1", "s1", "a", at(0), 5, 0), ("m1", "s1", "a", at(0.1), None, 0), ("m2", None, None, at(0.2), 7, 0), (None, "s9", "a", at(0.2), 1, 0),
+             ("m1", "s1", "a", at(1), 2, 1), ("m1", "s1", "a", at(60), 3, 2), ("m1", "s2", "a", at(60), 3, 2), ("end", None, "a", SENTINEL, 0, 2)]
+    df = spark.createDataFrame(items, "mid string, sid string, vc string, row_time timestamp, spent long, _part int")
+    folder = scratch_dir(spark, "traffic")
+    write_in_order(spark, df, folder, 3, ["row_time"])
+    stream = job.watermark(read_stream(spark, folder, df.drop("_part").schema))
+    parts = state.traffic(stream, "mid", "sid", ["vc"], "spent", HOUR, ttl_seconds=86_400)
+    got = finish(spark, A.stamp_window(A.window_sum_by_key(parts, HOUR, ["vc"], {m: m for m in state.TRAFFIC}), cur_date="none"))
+    # the session s1 was silent for longer than its state lasts, so it counts again
+    assert closed(got.select("stt", "vc", *state.TRAFFIC)) == rows(spark.createDataFrame([
+        ("2024-03-01 10:00:00", "a", 1, 2, 3, 6), ("2024-03-01 10:00:00", None, 1, 0, 1, 7), ("2024-03-01 11:00:00", "a", 0, 0, 1, 2),
+        ("2024-03-03 22:00:00", "a", 1, 2, 2, 6)], "stt string, vc string, a long, b long, c long, d long"))
+
+
 def test_log_split_stream_equals_batch(spark, page_log):
     want = rows(routes.log_split(spark.read.text(page_log)))
     out = scratch_dir(spark, "topics")

@@ -53,33 +53,35 @@ def traffic_window(
 ) -> DataFrame:
     """Visitors, sessions, views and duration per version, channel, area and new flag.
 
-    Views, first-of-day rows and first-of-session rows are counted side by side and meet in
-    one windowed sum, so no row is shuffled by visitor or session before it is reduced.  On a stream,
-    a visitor's state expires `retain` seconds after the last visit.  A null session is none.
+    In batch, views, first-of-day rows and first-of-session rows are counted side by side and meet in
+    one windowed sum, so no row is shuffled by visitor or session before it is reduced.  On a stream one
+    operator makes all three from one reading; state expires `retain` seconds after a visitor's last
+    day began or a session's last row.  A null session is none.
     """
     rows = _flat_pages(pages, "mid", "sid", *DIMS, "during_time").where(F.col("mid") != "")
-    in_session = rows.where(F.col("sid").isNotNull())
     if rows.isStreaming:
-        visits = state.active_days(rows, ["mid"], keep=DIMS, ttl_seconds=retain)
-        sessions = state.first_ever(in_session, ["sid"], keep=DIMS)
+        parts = state.traffic(rows, "mid", "sid", DIMS, "during_time", size, ttl_seconds=retain)
     else:
-        visits = flags.active_days(rows, ["mid"], "row_time", keep=DIMS)
-        sessions = A.first_per_key(in_session, ["sid"], ["row_time"], DIMS)
-    measures = ("uv_ct", "sv_ct", "pv_ct", "dur_sum")
+        parts = _traffic_parts(rows)
+    sums = A.window_sum_by_key(parts, size, DIMS, {m: m for m in state.TRAFFIC})
+    return A.stamp_window(sums, cur_date=cur_date)
+
+
+def _traffic_parts(rows: DataFrame) -> DataFrame:
+    visits = flags.active_days(rows, ["mid"], "row_time", keep=DIMS)
+    sessions = A.first_per_key(rows.where(F.col("sid").isNotNull()), ["sid"], ["row_time"], DIMS)
 
     def measured(df: DataFrame, **values) -> DataFrame:
         return df.select("row_time", *DIMS, *(
-            values.get(m, F.lit(0)).cast("bigint").alias(m) for m in measures
+            values.get(m, F.lit(0)).cast("bigint").alias(m) for m in state.TRAFFIC
         ))
 
     one = F.lit(1)
-    parts = (
+    return (
         measured(rows, pv_ct=one, dur_sum=or_zero("during_time"))
         .unionByName(measured(visits, uv_ct=one))
         .unionByName(measured(sessions, sv_ct=one))
     )
-    sums = A.window_sum_by_key(parts, size, DIMS, {m: m for m in measures})
-    return A.stamp_window(sums, cur_date=cur_date)
 
 
 def page_visitor_window(

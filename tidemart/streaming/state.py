@@ -10,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -119,6 +121,47 @@ class _FirstEver(_Timed):
         yield self.named(*(first[c] for c in self.columns))
 
 
+VISIT, SESSION, VIEW = "visit", "session", "view"
+KIND, KEY, LAST = "_kind", "_key", "_last"
+TRAFFIC = ("uv_ct", "sv_ct", "pv_ct", "dur_sum")
+
+
+class _Traffic(_FirstOfDay):
+    """What visitors, sessions and views add to a summary; the first key column tells them apart.
+
+    A visitor counts once a day, a session once while its state lives (its last row refreshes it), and
+    views need no state: their sums, made per Arrow batch, are only added up.
+    """
+
+    def __init__(self, columns: Sequence[str], ttl_ms: int | None):
+        super().__init__(columns, 0, ttl_ms)
+        self.out = Row(*columns, *TRAFFIC)
+
+    def _as(self, row, *values) -> Row:
+        return self.out(*(row[c] for c in self.columns), *values)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[0] == VISIT:
+            for row in super().handleInputRows(key, rows, timerValues):
+                yield self._as(row, 1, 0, 0, 0)
+        elif key[0] == SESSION:
+            first, last = None, None
+            for row in rows:
+                first = row if first is None or row[MS] < first[MS] else first
+                last = row[LAST] if last is None else max(last, row[LAST])
+            state = self.load()
+            if state is None or self.expired(state, first[MS]):
+                yield self._as(first, 0, 1, 0, 0)
+                self.store((last, None, None))
+            elif self.ttl_ms is not None and last > state[0]:
+                self.store((last, None, None))
+        else:
+            views, duration = 0, 0
+            for row in rows:
+                views, duration = views + row["pv_ct"], duration + row["dur_sum"]
+            yield self._as(row, 0, 0, views, duration)
+
+
 class _Fold(_Timed):
     """User code per row: `step(state, row) -> (state, values)`; `None` state stores nothing."""
 
@@ -193,6 +236,63 @@ def first_ever(
     return _apply(rows, keys, _FirstEver(columns, _ms(ttl_seconds)), output, ts)
 
 
+def _reduced_traffic(schema: T.StructType, visitor: str, session: str, dims: Sequence[str], ts: str) -> Callable:
+    """Per Arrow batch: the earliest row per visitor and day and per session, and the views' sums per window and dims."""
+    names = schema.fieldNames()
+
+    def firsts(rows: pa.Table, kind: str, key: str, *more: str) -> pa.Table:
+        rows = rows.filter(pc.is_valid(rows[key])).sort_by(MS)
+        rows = rows.append_column("_i", pa.array(range(len(rows)), pa.int64()))
+        groups = rows.group_by([key, *more]).aggregate([("_i", "min"), (MS, "max")])
+        none = pa.array([0] * len(groups), pa.int64())
+        first = rows.take(groups["_i_min"])
+        return pa.table({KIND: pa.array([kind] * len(groups)), KEY: first[key], LAST: groups[f"{MS}_max"], "pv_ct": none, "dur_sum": none,
+                         **{c: first[c] for c in (ts, MS, DAY, *dims)}}).select(names)
+
+    def views(rows: pa.Table) -> pa.Table:
+        group = [*dims, "_end"]
+        sums = rows.group_by(group).aggregate([("dur_sum", "sum"), (MS, "count"), (MS, "max"), (DAY, "max")])
+        key = pa.array([repr(tuple(r.values())) for r in sums.select(group).to_pylist()], pa.string())
+        return pa.table({KIND: pa.array([VIEW] * len(sums)), KEY: key, LAST: sums[f"{MS}_max"], "pv_ct": sums[f"{MS}_count"],
+                         "dur_sum": sums["dur_sum_sum"], ts: sums["_end"], MS: sums[f"{MS}_max"], DAY: sums[f"{DAY}_max"],
+                         **{c: sums[c] for c in dims}}).select(names)
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            for part in (firsts(rows, VISIT, visitor, DAY), firsts(rows, SESSION, session), views(rows)):
+                yield from part.to_batches()
+
+    return reduce
+
+
+def traffic(
+    df: DataFrame, visitor: str, session: str, dims: Sequence[str], duration: str, size: str,
+    ts: str = "row_time", ttl_seconds: int | None = None,
+) -> DataFrame:
+    """What rows add to windows of `size`: `uv_ct`, `sv_ct`, `pv_ct` and `dur_sum`, with time and `dims`.
+
+    A visitor's first row of a day gives 1 to `uv_ct`, a session's first to `sv_ct`; views and their durations come
+    as sums per window, stamped with its last microsecond.  Input is read once, and one operator holds both
+    kinds of state, reduced per Arrow batch before the shuffle.  A null visitor or session counts as none, a
+    null duration as 0.  State expires `ttl_seconds` after the visitor's last counted day began or the
+    session's last row.
+    """
+    last = F.window(F.col(ts), size)["end"] - F.expr("INTERVAL '0.000001' SECOND")
+    rows = _timed(df, ts).select(
+        F.col(visitor).cast("string").alias(visitor), F.col(session).cast("string").alias(session), *dims, ts, MS, DAY,
+        F.coalesce(F.col(duration).cast("long"), F.lit(0).cast("long")).alias("dur_sum"), last.alias("_end"))
+    long = T.LongType()
+    schema = T.StructType([
+        T.StructField(KIND, T.StringType()), T.StructField(KEY, T.StringType()), *_fields(rows, dims), rows.schema[ts],
+        T.StructField(MS, long), T.StructField(DAY, T.IntegerType()), T.StructField(LAST, long),
+        T.StructField("pv_ct", long), T.StructField("dur_sum", long)])
+    reduced = rows.mapInArrow(_reduced_traffic(schema, visitor, session, dims, ts), schema)
+    columns = [ts, *dims]
+    output = T.StructType([*_fields(rows, columns), *(T.StructField(m, long) for m in TRAFFIC)])
+    return _apply(reduced, [KIND, KEY], _Traffic(columns, _ms(ttl_seconds)), output, ts)
+
+
 def keyed_process(
     df: DataFrame, keys: Sequence[str], step: Callable, state: T.StructType, added: T.StructType,
     ts: str = "row_time", tie: Sequence[str] = (), ttl_seconds: int | None = None,
