@@ -17,7 +17,7 @@ from tidemart.operators import aggregates as A, joins as J
 from tidemart.plans import summaries as S
 from tidemart.session import scratch_dir
 from tidemart.sinks import keyed
-from tidemart.streaming import job, state
+from tidemart.streaming import idle, job, state
 
 HOUR = "1 hour"
 
@@ -70,24 +70,52 @@ def _(t):
     return finish(t, stamp(A.window_sum_global(busy.unionByName(idle), HOUR, {"n": F.lit(1)})), "w2", ignore_idle=True)
 
 
-@query("w2_lagging_input", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events
-WHERE time_bucket(INTERVAL '{HOUR}', ts, TIMESTAMP '1970-01-01') + INTERVAL '{HOUR}' <= (SELECT least(
-  max(ts) FILTER (event_id % 2 = 0), max(ts) FILTER (event_id % 2 = 1)) FROM events) - INTERVAL 5 SECOND GROUP BY ALL""")
-def _(t):
-    """Two inputs over several micro-batches, one twice as far behind with each: none of its rows is lost."""
+def event_inputs(t, *files):
+    """Events dealt over streams by their ids, each stream with so many micro-batches, in time order."""
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
     first, last = t.events.agg(F.min(at), F.max(at)).first()
     inputs = []
-    for rest, files in ((0, 3), (1, 6)):
+    for rest, n in enumerate(files):
         folder = scratch_dir(t.spark, f"w2-in{rest}")
-        for k in range(files):
-            slice_ = F.least(F.floor((at - first) * files / (last - first)), F.lit(files - 1)) == k
-            t.events.where((F.col("event_id") % 2 == rest) & slice_).coalesce(1).write.mode("append").parquet(folder)
+        for k in range(n):
+            slice_ = F.least(F.floor((at - first) * n / (last - first)), F.lit(n - 1)) == k
+            t.events.where((F.col("event_id") % len(files) == rest) & slice_).coalesce(1).write.mode("append").parquet(folder)
         rows = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-        inputs.append(job.watermark(rows.withColumn("row_time", F.col("ts").cast("timestamp"))))
+        inputs.append(rows.withColumn("row_time", F.col("ts").cast("timestamp")))
+    return inputs
+
+
+@query("w2_lagging_input", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events
+WHERE time_bucket(INTERVAL '{HOUR}', ts, TIMESTAMP '1970-01-01') + INTERVAL '{HOUR}' <= (SELECT least(
+  max(ts) FILTER (event_id % 2 = 0), max(ts) FILTER (event_id % 2 = 1)) FROM events) - INTERVAL 5 SECOND GROUP BY ALL""")
+def _(t):
+    """Two inputs over several micro-batches, one twice as far behind with each: none of its rows is lost."""
+    inputs = [job.watermark(rows) for rows in event_inputs(t, 3, 6)]
     return finish(t, stamp(A.window_sum_global(inputs[0].unionByName(inputs[1]), HOUR, {"n": F.lit(1)})), "w2-lag")
 
 
+@query("w2_idle_timeout", f"""SELECT {stamped(HOUR)}, count(*) AS n FROM events WHERE {ended(HOUR)} GROUP BY ALL""")
+def _(t):
+    """Three inputs: one busy, one that lags behind it and loses no row, one silent, for which no window waits."""
+    busy, lagging = event_inputs(t, 3, 6)
+    silent = scratch_dir(t.spark, "w2-silent")
+    t.events.limit(0).write.parquet(silent)
+    none = t.spark.readStream.schema(t.events.schema).parquet(silent).withColumn("row_time", F.col("ts").cast("timestamp"))
+    inputs = idle.IdleInputs(t.spark, scratch_dir(t.spark, "w2-beats"), timeout=1)
+    rows = [inputs.add(name, df) for name, df in (("busy", busy), ("lagging", lagging), ("silent", none))]
+    out = scratch_dir(t.spark, "w2-idle")
+    job.stream_settings(t.spark)
+    inputs.start()
+    counts = stamp(A.window_sum_global(rows[0].unionByName(rows[1]).unionByName(rows[2]), HOUR, {"n": F.lit(1)}))
+    running = job.run_job(counts, checkpoint=scratch_dir(t.spark, "w2-idle-at"), path=out, available_now=False, state_partitions=2)
+    try:
+        inputs.await_quiet(running, 600)
+    finally:
+        running.stop()
+        inputs.stop()
+    return t.spark.read.schema(counts.schema).parquet(out)
+
+
 @query("w3_tumble", f"""SELECT {stamped('5 seconds')}, event_type, count(*) AS n FROM events WHERE {ended('5 seconds')} GROUP BY ALL""")
 def _(t):
     return finish(t, stamp(A.window_sum_by_key(events_stream(t), "5 seconds", ["event_type"], {"n": F.lit(1)})), "w3")

@@ -23,8 +23,8 @@ def stream_settings(spark: SparkSession, ignore_idle: bool = False) -> None:
     """Settings keyed state needs.
 
     By default the slowest input sets the watermark, so rows of an input that lags are kept, and an
-    input without any rows holds windows open.  Spark has no time-out after which a silent input
-    no longer counts.  `ignore_idle` lets the fastest input set the watermark instead, which LOSES the
+    input without any rows holds windows open; `streaming.idle.IdleInputs` gives silent inputs a
+    time-out.  `ignore_idle` lets the fastest input set the watermark instead, which LOSES the
     rows of slower ones as late; `run_job` refuses it for joins of streams.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
