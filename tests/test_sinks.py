@@ -295,3 +295,25 @@ def test_a_stream_of_files_keeps_the_order_of_its_lines(spark, tmp_path):
     log = S.change_stream(S.read_messages(spark, str(folder), "text", position=True, maxFilesPerTrigger="1"))
     run_to_end(routes.dim_rows(log, config, "shop"), checkpoint=str(tmp_path / "at"), sink=keyed.dim_writer(path))
     assert rows(keyed.read_dim(spark, path, "dim_a", ["v"])) == [("1", "f")]
+
+
+def test_a_repeated_batch_gives_its_messages_the_same_ids(spark):
+    """Ids do not depend on order or tasks; equal messages differ, and so do null, empty and other topics' ones."""
+    sent = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x"), ("a", ""), ("a", None), (None, "x")], "topic string, value string")
+    first = M.identified(sent, "job", 3).collect()
+    again = M.identified(sent.repartition(5).orderBy(F.desc("value")), "job", 3).collect()
+    assert len(first) == 6 and len({r[S.MESSAGE_ID] for r in first}) == 6
+    assert set(first) == set(again)
+    for other in (M.identified(sent, "job", 4), M.identified(sent, "other", 3)):
+        assert not {r[S.MESSAGE_ID] for r in first} & {r[S.MESSAGE_ID] for r in other.collect()}
+
+
+def test_messages_are_read_once_whatever_they_hold(spark, tmp_path):
+    sent = spark.createDataFrame([("t", "tab\there"), ("t", ""), ("t", "x"), ("t", "x")], "topic string, value string")
+    write = M.once_writer(str(tmp_path), "job", fmt="text")
+    for rows_ in (sent, sent.repartition(3)):
+        write(rows_, 0)
+    read = S.read_messages(spark, f"{tmp_path}/topic=t", "text", stream=False, message_id=True)
+    assert read.count() == 8
+    once = S.drop_repeats(read)
+    assert once.columns == ["value"] and sorted(r.value for r in once.collect()) == ["", "tab\there", "x", "x"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tidemart.catalogue.registry import query
 from tidemart.catalogue.stand_ins import CARTS, DB, DETAILS, FLAT_CARTS, ORDER_CHANGES
@@ -15,7 +15,7 @@ from tidemart.session import scratch_dir
 from tidemart.sinks import keyed, messages as M
 from tidemart.sources import messages as S
 from tidemart.sources.tables import config_table, dim_table
-from tidemart.streaming.job import run_to_end
+from tidemart.streaming.job import run_to_end, stream_settings
 
 EVENT_JSON = """'{"event_id":' || event_id || ',"user_id":' || user_id || ',"event_type":"' || event_type || '"}'"""
 
@@ -109,6 +109,30 @@ def _(t):
     return back.select(row.alias("r")).select("r.*")
 
 
+@query("k2_exactly_once", """SELECT 'users_' || user_id % 2 AS topic, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS ts, event_type, count(*) AS n
+FROM events GROUP BY ALL""")
+def _(t):
+    """A micro-batch is delivered twice, in another order the second time; equal messages that were sent are all read, each once."""
+    hour = F.unix_seconds(F.date_trunc("hour", F.col("ts")).cast("timestamp"))
+    sent = t.events.select(hour.alias("ts"), "event_type", F.concat(F.lit("users_"), F.col("user_id") % 2).alias("topic"))
+    half = sent.agg(F.percentile_approx("ts", 0.5)).first()[0]
+    routed = sent.select("ts", "topic", F.to_json(F.struct("ts", "event_type")).alias("value"))
+    early, late = routed.where(F.col("ts") <= half), routed.where(F.col("ts") > half)
+    where, at, out = (scratch_dir(t.spark, n) for n in ("k2-once", "k2-once-at", "k2-once-read"))
+    write = M.once_writer(where, "k2", fmt="text")
+    stream_settings(t.spark)
+    for batch_id, rows in ((0, early), (1, late), (1, late.repartition(3, F.rand(1)))):
+        write(rows, batch_id)
+        topics = []
+        for topic in ("users_0", "users_1"):
+            messages = S.read_messages(t.spark, f"{where}/topic={topic}", "text", message_id=True)
+            facts = S.fact_stream(messages, T.StructType().add("ts", "long").add("event_type", "string"))
+            topics.append(S.drop_repeats(facts).select(F.lit(topic).alias("topic"), "ts", "event_type"))
+        run_to_end(topics[0].unionByName(topics[1]), checkpoint=at, path=out, state_partitions=2)
+    return t.spark.read.schema("topic string, ts long, event_type string").parquet(out).groupBy("topic", "ts", "event_type").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @query("k2_write_routed", "SELECT 'dwd_' || event_type AS topic, event_id, value FROM events")
 def _(t):
     where = scratch_dir(t.spark, "k2")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +14,9 @@ from tidemart.session import STATE_STORE
 SUMMARY_DELAY = "5 seconds"
 RAW_LOG_DELAY = "20 seconds"
 
+#: One job at a time changes the session's settings while it starts.
+_STARTING = Lock()
+
 
 def watermark(df: DataFrame, ts: str = "row_time", delay: str = SUMMARY_DELAY) -> DataFrame:
     """Bounded out-of-orderness; rows behind it are dropped by stateful operators."""
@@ -69,13 +73,14 @@ def run_job(
     conf = df.sparkSession.conf
     if conf.get("spark.sql.streaming.multipleWatermarkPolicy", "min") == "max" and _joins_streams(df):
         raise ValueError("ignore_idle would drop matches of a join of streams: its slower side counts as late")
-    before = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    try:
-        # a query copies the session's settings when it starts
-        conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
-        return writer.start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", before)
+    with _STARTING:
+        before = conf.get("spark.sql.shuffle.partitions")
+        try:
+            # a query copies the session's settings when it starts
+            conf.set("spark.sql.shuffle.partitions", str(state_partitions or before))
+            return writer.start()
+        finally:
+            conf.set("spark.sql.shuffle.partitions", before)
 
 
 def run_to_end(*args, **kwargs) -> None:
