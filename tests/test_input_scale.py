@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import glob
 
 from pyspark.sql import functions as F
 
+from tidemart.catalogue.sources_sinks import round_trip
 from tidemart.catalogue.stand_ins import Tables
 from tidemart.operators import routing as R
+from tidemart.sinks import messages as M
 from tests.test_joins import plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -25,3 +28,14 @@ def test_changes_are_not_shuffled_for_a_small_config_of_unknown_size(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert R.route_dim(changes, config).count() == t.order_changes.count()
+
+
+def test_text_logs_are_compressed_files_of_bounded_length(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(M.TEXT_LOG, "maxRecordsPerFile", "40")
+    rows = spark.range(0, 100, 1, 1).select(F.concat(F.lit("message "), "id").alias("value"), F.lit("t").alias("topic"))
+    M.write_routed(rows, "topic", str(tmp_path / "log"))
+    assert len(glob.glob(f"{tmp_path}/log/topic=t/*.gz")) == 3
+    read = round_trip(Tables(spark, FOLDER), rows, "scale", position=True)
+    assert len(read.inputFiles()) == 3 and all(f.endswith(".gz") for f in read.inputFiles())
+    # the place in the log is still the order of the lines
+    assert [r.value for r in read.orderBy("position").collect()] == [f"message {i}" for i in range(100)]

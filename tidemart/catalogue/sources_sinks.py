@@ -31,7 +31,7 @@ def time_text(c: str):
 def round_trip(t, df, name, position=False):
     """Write message values as text files and read them as a batch of messages."""
     where = scratch_dir(t.spark, name)
-    df.select("value").write.text(where)
+    df.select("value").write.options(**M.TEXT_LOG).text(where)
     return S.read_messages(t.spark, where, "text", stream=False, position=position)
 
 

@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemart.sources.messages import MESSAGE_ID
 
+#: Messages of one file of a text log.  A compressed file is read by one task.
+FILE_ROWS = 1_000_000
+#: How text logs are written: messages repeat their field names, so they shrink to a tenth.
+TEXT_LOG = {"compression": "gzip", "maxRecordsPerFile": str(FILE_ROWS)}
+
 
 def as_messages(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
@@ -25,7 +30,8 @@ def write_routed(
 ) -> None:
     """Append each row's `value` to the topic named by the row.
 
-    A `message_id` goes along: as a header to Kafka, before a tab in text.
+    A `message_id` goes along: as a header to Kafka, before a tab in text.  Files of text are compressed and of
+    at most `FILE_ROWS` messages, so that a log is read by many tasks; options say otherwise.
     """
     value, known = F.col("value"), []
     if MESSAGE_ID in df.columns and fmt == "kafka":
@@ -37,6 +43,7 @@ def write_routed(
         options = {"kafka.bootstrap.servers": location, **options}
         rows.write.format("kafka").options(**options).save()
     else:
+        options = {**(TEXT_LOG if fmt == "text" else {}), **options}
         rows.write.mode(mode).options(**options).partitionBy("topic").format(fmt).save(location)
 
 
