@@ -39,3 +39,20 @@ def test_text_logs_are_compressed_files_of_bounded_length(spark, tmp_path, monke
     assert len(read.inputFiles()) == 3 and all(f.endswith(".gz") for f in read.inputFiles())
     # the place in the log is still the order of the lines
     assert [r.value for r in read.orderBy("position").collect()] == [f"message {i}" for i in range(100)]
+
+
+def test_carts_are_placed_by_several_tasks_and_a_row_by_one(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = Tables(spark, FOLDER).placed_carts.select(
+            F.coalesce("after", "before").alias("image"), F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at"))
+        rows = placed.select(F.col("image")["id"].alias("id"), F.col("image")["sku_num"].cast("int").alias("num"), "task", "at").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(rows) == Tables(spark, FOLDER).lineitem.count() and len({r.task for r in rows}) > 1
+    numbers = {}
+    for r in sorted(rows, key=lambda r: r["at"]):
+        numbers.setdefault(r.id, []).append((r.task, r.num))
+    assert all(len({task for task, _ in seen}) == 1 and [n for _, n in seen] == sorted((n for _, n in seen), reverse=True)
+               for seen in numbers.values())

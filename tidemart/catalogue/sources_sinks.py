@@ -259,7 +259,8 @@ SELECT c.rowkey, arg_max(quantity, (ts, line)) FILTER (WHERE quantity IS NOT NUL
   arg_max(flag, (ts, line)) FILTER (WHERE flag IS NOT NULL) AS flag
 FROM c LEFT JOIN gone ON gone.rowkey = c.rowkey WHERE NOT deleted AND (gone IS NULL OR (ts, line) > gone) GROUP BY c.rowkey""")
 def _(t):
-    """Many puts and deletes of a key in one second, in the order of the log; merged between two batches, one of which is repeated."""
+    """Many puts and deletes of a key in one second, in the order of the log, which keeps the changes of a key in one place;
+    merged between two batches, one of which is repeated."""
     where = scratch_dir(t.spark, "k4-order")
     deleted = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F") & (F.col("l_suppkey") % 3 == 0)
     key, number = F.col("l_partkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string")
@@ -267,7 +268,7 @@ def _(t):
         F.lit("id"), key, F.lit("quantity"), F.when(F.col("l_quantity") != 7, number),
         F.lit("flag"), F.when(F.col("l_linestatus") == "O", F.concat("l_returnflag", F.col("l_linenumber").cast("string"))))
     month = F.unix_seconds(F.date_trunc("month", F.col("l_shipdate").cast("timestamp")))
-    lines = t.lineitem.coalesce(1).sortWithinPartitions(
+    lines = t.lineitem.repartition("l_partkey").sortWithinPartitions(
         "l_quantity", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     values = lines.select(F.to_json(F.struct(
         F.lit(DB).alias("database"), F.lit("part_info").alias("table"), F.when(deleted, "delete").otherwise("update").alias("type"),

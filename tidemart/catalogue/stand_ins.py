@@ -246,26 +246,36 @@ class Tables:
             F.col("l_linestatus") == "F", "bootstrap-insert").otherwise("delete")
         return as_changes(self.carts, "cart_info", self.CART_PAYLOAD, type_, F.col("ts"), self._old_num())
 
-    @cached_property
-    def cart_debezium(self) -> DataFrame:
+    def _cart_images(self) -> tuple[Column, Column, Column]:
+        """Operation, old and new image of a cart change."""
         op = F.when(F.col("l_returnflag") == "A", "c").when(F.col("l_returnflag") == "N", "u").when(
             F.col("l_linestatus") == "F", "r").otherwise("d")
         image = F.create_map(*[x for c in self.CART_PAYLOAD for x in (F.lit(c), text(c))])
-        rows = self.carts.withColumn("op", op)
-        before = F.when(F.col("op") == "d", image).when(F.col("op") == "u", self._old_num())
-        return rows.select(
-            "op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"),
+        return op, F.when(op == "d", image).when(op == "u", self._old_num()), F.when(op != "d", image)
+
+    @cached_property
+    def cart_debezium(self) -> DataFrame:
+        op, before, after = self._cart_images()
+        return self.carts.select(
+            op.alias("op"), before.alias("before"), after.alias("after"),
             F.create_map(F.lit("db"), F.lit(DB), F.lit("table"), F.lit("cart_info")).alias("source"),
             (F.col("ts") * 1000).alias("ts_ms"),
         )
 
     @cached_property
     def placed_carts(self) -> DataFrame:
-        """The cart changes in the order in which they are written to the log, in one file."""
-        image = F.coalesce("after", "before")
-        return self.cart_debezium.coalesce(1).sortWithinPartitions(
-            image["sku_num"].cast("bigint").desc(), image["user_id"], image["sku_id"], image["cart_price"],
-            op_name(F.col("op")), F.to_json("before").asc_nulls_first())
+        """The cart changes in the order in which they are written to the log.
+
+        As in a topic, the changes of a cart row share a partition, and that is the order they have.  Lines are dealt and
+        sorted before their images are made.
+        """
+        dealt = type(self)(self.spark, self.folder)
+        dealt.__dict__["lineitem"] = self.lineitem.repartition("l_orderkey", "l_linenumber")
+        op, before, _ = self._cart_images()
+        dealt.__dict__["carts"] = dealt.carts.sortWithinPartitions(
+            F.col("sku_num").cast("bigint").desc(), "user_id", "sku_id", "cart_price",
+            op_name(op), F.to_json(before).asc_nulls_first())
+        return dealt.cart_debezium
 
     @cached_property
     def comment_changes(self) -> DataFrame:
