@@ -6,10 +6,12 @@ import glob
 
 from pyspark.sql import functions as F
 
+from tidemart.catalogue.live import in_batches
 from tidemart.catalogue.sources_sinks import round_trip
 from tidemart.catalogue.stand_ins import Tables
 from tidemart.operators import routing as R
 from tidemart.sinks import messages as M
+from tidemart.streaming.job import run_to_end
 from tests.test_joins import plan
 
 FOLDER = "/root/testdata/sf0.001"
@@ -56,3 +58,17 @@ def test_carts_are_placed_by_several_tasks_and_a_row_by_one(spark):
         numbers.setdefault(r.id, []).append((r.task, r.num))
     assert all(len({task for task, _ in seen}) == 1 and [n for _, n in seen] == sorted((n for _, n in seen), reverse=True)
                for seen in numbers.values())
+
+
+def test_a_micro_batch_is_a_whole_table_of_several_files(spark, tmp_path):
+    rows = spark.range(0, 100, 1, 4)
+    # one of the tables has rows in a single task, one has none
+    parts = [rows.where("id < 75"), rows.where("id >= 90"), rows.where("id < 0"), rows.where("id >= 75 and id < 90")]
+    stream = in_batches(Tables(spark, FOLDER), "scale-in", *parts)
+    assert stream._jdf.isStreaming()
+    seen = {}
+    run_to_end(stream, checkpoint=str(tmp_path / "at"), sink=lambda df, k: seen.update({k: (df.rdd.getNumPartitions(), sorted(r.id for r in df.collect()))}))
+    found = [ids for _, (_, ids) in sorted(seen.items())]
+    assert found == [list(range(75)), list(range(90, 100)), [], list(range(75, 90))]
+    files = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/scale-in-*/0/*.parquet")
+    assert len(files) == 4

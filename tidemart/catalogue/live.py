@@ -22,11 +22,19 @@ from tidemart.streaming import job, live
 
 
 def in_batches(t, name, *parts):
-    """Tables as one file stream that gives one of them per micro-batch."""
+    """Tables as one file stream that gives one of them per micro-batch.
+
+    Each is written by as many tasks as read it.  Tasks without rows write no file; empty files make up for them, so that
+    all tables have the same number, which a micro-batch takes.
+    """
     folder = scratch_dir(t.spark, name)
-    for part in parts:
-        part.coalesce(1).write.mode("append").parquet(folder)
-    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    files = max(part.rdd.getNumPartitions() for part in parts)
+    for k, part in enumerate(parts):
+        where = f"{folder}/{k}"
+        part.write.parquet(where)
+        for _ in range(files - len(t.spark.read.schema(part.schema).parquet(where).inputFiles())):
+            t.spark.createDataFrame([], part.schema).coalesce(1).write.mode("append").parquet(where)
+    return t.spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/*")
 
 
 def puts(table: str, rows, key: str = "id", ts: int = 1):
