@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.catalogue.live import in_batches
 from tidemart.catalogue.sources_sinks import round_trip
 from tidemart.catalogue.stand_ins import Tables
-from tidemart.operators import routing as R
+from tidemart.operators import flags, routing as R
 from tidemart.sinks import messages as M
 from tidemart.streaming.job import run_to_end
 from tests.test_joins import plan
@@ -72,3 +72,15 @@ def test_a_micro_batch_is_a_whole_table_of_several_files(spark, tmp_path):
     assert found == [list(range(75)), list(range(90, 100)), [], list(range(75, 90))]
     files = glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/scale-in-*/0/*.parquet")
     assert len(files) == 4
+
+
+def test_the_second_shuffle_of_deltas_carries_no_tie_columns(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, 2, 5), ("a", 0, 1, 3), ("a", 0, 3, 4), ("a", 700, 1, 9), ("a", 699, 1, 10), ("b", 5, 1, 7)],
+        "id string, secs long, tie_column int, m int").withColumn("at", F.timestamp_seconds("secs")).drop("secs")
+    deltas = flags.delta_by_key(rows, ["id"], {"d": "m"}, "at", ["tie_column"]).select("id", "at", "m", "d")
+    assert sorted((r.id, r.m, r.d) for r in deltas.collect()) == [
+        ("a", 3, 3), ("a", 4, -1), ("a", 5, 2), ("a", 9, -1), ("a", 10, 6), ("b", 7, 7)]
+    # what follows the first window, from the top down to it
+    second = plan(deltas).split("row_number")[0]
+    assert "_inner" in second and "tie_column" not in second

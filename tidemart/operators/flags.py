@@ -167,9 +167,10 @@ def delta_by_key(
         "_last": F.lead(F.lit(1)).over(w).isNull(),
         **{f"{k}_prev": F.lag(c).over(w) for k, c in kept.items()},
     })
-    # the edge rows of all slots of a key form one short group, other rows stay in their slot
+    # the edge rows of all slots of a key form one short group, other rows stay in their slot; slots are in time
+    # order and have one first and one last row, so the tie columns need not be shuffled again
     inner = F.when(~(F.col("_first") | F.col("_last")), F.col("_slot"))
-    edges = Window.partitionBy(*keys, "_inner").orderBy(ts, *tie)
+    edges = Window.partitionBy(*keys, "_inner").orderBy("_slot", F.col("_first").desc())
     chained = local.withColumn("_inner", inner).withColumns(
         {f"{k}_carry": F.lag(c).over(edges) for k, c in kept.items()}
     )
