@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemart.catalogue.live import in_batches
 from tidemart.catalogue.sources_sinks import round_trip
 from tidemart.catalogue.stand_ins import Tables
-from tidemart.operators import flags, routing as R
+from tidemart.operators import flags, joins as J, routing as R
 from tidemart.sinks import messages as M
 from tidemart.streaming.job import run_to_end
 from tests.test_joins import plan
@@ -84,3 +84,20 @@ def test_the_second_shuffle_of_deltas_carries_no_tie_columns(spark):
     # what follows the first window, from the top down to it
     second = plan(deltas).split("row_number")[0]
     assert "_inner" in second and "tie_column" not in second
+
+
+def test_details_are_dealt_by_order_once_for_what_joins_them_by_order(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        detail = spark.createDataFrame([("d1", "o1", 1), ("d2", "o1", 2), ("d3", "o2", 3)], "id string, order_id string, ts long")
+        orders = spark.createDataFrame([("o1", "u1")], "id string, user_id string")
+        activity = spark.createDataFrame([("d1", "a1")], "id string, activity_id string")
+        coupon = spark.createDataFrame([("d2", "c1")], "id string, coupon_id string")
+        gone = spark.createDataFrame([("o1", 9)], "id string, ts long")
+        cancelled = J.cancel_join(J.order_wide(detail, orders, activity, coupon), gone)
+        assert plan(cancelled).count("hashpartitioning(order_id") == 1
+        found = cancelled.select("id", "user_id", "activity_id", "coupon_id", "ts").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(tuple, found)) == [("d1", "u1", "a1", None, 9), ("d2", "u1", None, "c1", 9)]

@@ -41,13 +41,18 @@ def order_wide(
     detail: DataFrame, orders: DataFrame, activity: DataFrame | None = None,
     coupon: DataFrame | None = None, within: int | None = None,
 ) -> DataFrame:
-    """Order detail with its order, and with activity and coupon where there are any."""
-    wide = join_changes(detail, orders, "order_id", "id", "inner", within)
+    """Order detail with its order, and with activity and coupon where there are any.
+
+    In batch the order comes last, so that the result is dealt by order and what joins it by order next, such as
+    cancellations, need not shuffle it again.  On streams it comes first, as rows of outer joins are late for a join after them.
+    """
+    order_last = within is None
+    wide = detail if order_last else join_changes(detail, orders, "order_id", "id", "inner", within)
     if activity is not None:
         wide = join_changes(wide, activity, "id", "id", "left", within)
     if coupon is not None:
         wide = join_changes(wide, coupon, "id", "id", "left", within)
-    return wide
+    return join_changes(wide, orders, "order_id", "id", "inner") if order_last else wide
 
 
 def cancel_join(detail: DataFrame, cancelled: DataFrame, within: int | None = None) -> DataFrame:
