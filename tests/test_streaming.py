@@ -2,7 +2,9 @@
 
 import datetime as dt
 import random
+from unittest import mock
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -186,6 +188,62 @@ def test_traffic_stream_counts_null_sessions_durations_and_dims(spark):
         ("2024-03-03 22:00:00", "a", 1, 2, 2, 6)], "stt string, vc string, a long, b long, c long, d long"))
 
 
+def test_traffic_state_has_buckets_not_keys(spark):
+    """Three thousand visitors and as many sessions, seen twice: every one counts once, and state rows are bounded by the buckets."""
+    start = dt.datetime(2024, 3, 1, 10)
+    items = [(f"m{i}", f"s{i}", "a", start + dt.timedelta(seconds=i % 600 + 900 * part), 1, part) for i in range(3000) for part in (0, 1)]
+    items.append(("end", None, "a", SENTINEL, 0, 2))
+    df = spark.createDataFrame(items, "mid string, sid string, vc string, row_time timestamp, spent long, _part int")
+    folder = scratch_dir(spark, "traffic")
+    write_in_order(spark, df, folder, 3, ["row_time"])
+    stream = job.watermark(read_stream(spark, folder, df.drop("_part").schema))
+    parts = state.traffic(stream, "mid", "sid", ["vc"], "spent", HOUR, ttl_seconds=86_400)
+    sums = A.stamp_window(A.window_sum_by_key(parts, HOUR, ["vc"], {m: m for m in state.TRAFFIC}), cur_date="none")
+    job.stream_settings(spark)
+    out = scratch_dir(spark, "out")
+    query = job.run_job(sums, checkpoint=scratch_dir(spark, "at"), path=out)
+    query.awaitTermination()
+    held = max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"] if o["operatorName"].startswith("transformWithState"))
+    assert 0 < held <= 2 * state.BUCKETS < 6000
+    got = spark.read.schema(sums.schema).parquet(out)
+    assert closed(got.select("stt", *state.TRAFFIC)) == [("2024-03-01 10:00:00", 3000, 3000, 6000, 6000)]
+
+
+class FakeList:
+    """A list state in memory that also stands for the handle."""
+
+    def __init__(self):
+        self.items, self.timers = [], []
+
+    getListState = lambda self, *_: self
+    get = lambda self: iter(list(self.items))
+    put = lambda self, values: self.items.__setitem__(slice(None), values)
+    appendValue = lambda self, value: self.items.append(value)
+    clear = lambda self: self.items.clear()
+    registerTimer = lambda self, at: self.timers.append(at)
+
+
+def test_traffic_changes_are_merged_and_expire():
+    """Fifty micro-batches on one bucket: long lists are merged, sessions count once, and silent ones are forgotten."""
+    inputs = [state.KIND, state.BUCKET, state.KEY, "vc", "row_time", state.US, state.DAY, state.LAST, "pv_ct", "dur_sum"]
+    hour = 3_600_000
+    processor, store = state._Traffic(inputs, "row_time", ["vc"], 24 * hour), FakeList()
+    processor.init(store)
+    times = lambda now: mock.Mock(getCurrentWatermarkInMs=lambda: now)
+    counted = 0
+    for i in range(50):
+        at = i * 60_000
+        frame = pd.DataFrame([(state.SESSION, 0, k, "a", None, at * 1000, 0, at, 0, 0) for k in ("old", f"new{i}")])
+        counted += sum(int(f["sv_ct"].sum()) for f in processor.handleInputRows((state.SESSION, 0), iter([frame]), times(0)))
+        assert 0 < len(store.items) <= state.CHANGES + 1
+    assert counted == 51 and len(store.timers) == 1 and len(processor.load()[0]) == 51
+    watermark = 24 * hour + 30 * 60_000
+    list(processor.handleExpiredTimer((state.SESSION, 0), times(watermark), None))
+    assert set(processor.load()[0]) == {"old", *(f"new{i}" for i in range(31, 50))} and len(store.timers) == 2
+    list(processor.handleExpiredTimer((state.SESSION, 0), times(48 * hour), None))
+    assert not store.items and len(store.timers) == 2
+
+
 def test_log_split_stream_equals_batch(spark, page_log):
     want = rows(routes.log_split(spark.read.text(page_log)))
     out = scratch_dir(spark, "topics")

@@ -122,44 +122,121 @@ class _FirstEver(_Timed):
 
 
 VISIT, SESSION, VIEW = "visit", "session", "view"
-KIND, KEY, LAST = "_kind", "_key", "_last"
+KIND, BUCKET, KEY, US, LAST = "_kind", "_bucket", "_key", "_us", "_last"
 TRAFFIC = ("uv_ct", "sv_ct", "pv_ct", "dur_sum")
+#: Groups that visitors, and sessions, are dealt over by hash; a checkpoint keeps the number it began with.
+BUCKETS = 1024
+#: Lists of changes a bucket may have before they are merged.
+CHANGES = 16
 
 
-class _Traffic(_FirstOfDay):
+class _Traffic(StatefulProcessor):
     """What visitors, sessions and views add to a summary; the first key column tells them apart.
 
     A visitor counts once a day, a session once while its state lives (its last row refreshes it), and
-    views need no state: their sums, made per Arrow batch, are only added up.
+    views need no state: their sums are only added up.  A group is a bucket of many visitors or sessions, so calls of the state
+    store grow with the buckets, not with the keys.  The state is a list of changes: a micro-batch reads
+    its buckets' lists and appends what it changed; a long list is merged.  A bucket has one timer while it has state.
     """
 
-    def __init__(self, columns: Sequence[str], ttl_ms: int | None):
-        super().__init__(columns, 0, ttl_ms)
-        self.out = Row(*columns, *TRAFFIC)
-
-    def _as(self, row, *values) -> Row:
-        return self.out(*(row[c] for c in self.columns), *values)
+    def __init__(self, inputs: Sequence[str], ts: str, dims: Sequence[str], ttl_ms: int | None):
+        self.inputs, self.ts, self.dims, self.ttl_ms = inputs, ts, list(dims), ttl_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[0] == VISIT:
-            for row in super().handleInputRows(key, rows, timerValues):
-                yield self._as(row, 1, 0, 0, 0)
-        elif key[0] == SESSION:
-            first, last = None, None
-            for row in rows:
-                first = row if first is None or row[MS] < first[MS] else first
-                last = row[LAST] if last is None else max(last, row[LAST])
-            state = self.load()
-            if state is None or self.expired(state, first[MS]):
-                yield self._as(first, 0, 1, 0, 0)
-                self.store((last, None, None))
-            elif self.ttl_ms is not None and last > state[0]:
-                self.store((last, None, None))
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.changes = handle.getListState("changes", T.StructType([
+            T.StructField("key", T.ArrayType(T.StringType())), T.StructField("at", T.ArrayType(T.LongType())),
+            T.StructField("day", T.ArrayType(T.IntegerType())), T.StructField("before", T.ArrayType(T.IntegerType()))]))
+
+    def load(self) -> tuple[dict[str, tuple], int]:
+        """State by key, and the length of the stored list."""
+        held, n = {}, 0
+        for keys, *values in self.changes.get():
+            held.update(zip(keys, zip(*values)))
+            n += 1
+        return held, n
+
+    @staticmethod
+    def packed(states: Mapping[str, tuple]) -> tuple:
+        return (list(states), *map(list, zip(*states.values())))
+
+    def live(self, state: tuple | None, now: int) -> tuple | None:
+        return None if state is None or self.ttl_ms is not None and now - state[0] >= self.ttl_ms else state
+
+    def set_timer(self, states: Mapping[str, tuple], watermark: int) -> None:
+        """For when the oldest state expires, in steps of an eighth of the lifetime."""
+        if self.ttl_ms is not None and states:
+            step = max(self.ttl_ms // 8, 1)
+            at = max(min(state[0] for state in states.values()) + self.ttl_ms, watermark + 1)
+            self.handle.registerTimer(-(-at // step) * step)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        states = {k: state for k, state in self.load()[0].items() if self.live(state, watermark)}
+        if states:
+            self.changes.put([self.packed(states)])
+            self.set_timer(states, watermark)
         else:
-            views, duration = 0, 0
-            for row in rows:
-                views, duration = views + row["pv_ct"], duration + row["dur_sum"]
-            yield self._as(row, 0, 0, views, duration)
+            self.changes.clear()
+        return iter(())
+
+    def handleInputRows(self, key, frames, timerValues) -> Iterator[pd.DataFrame]:
+        # named tuples on the way here lose names that begin with an underscore
+        frames = (frame.set_axis(self.inputs, axis=1) for frame in frames)
+        if key[0] == VIEW:
+            rows = pd.concat(frames)
+            sums = rows.groupby([US, *self.dims], dropna=False, sort=False)[["pv_ct", "dur_sum"]].sum().reset_index()
+            yield self.result(sums, 0, 0)
+            return
+        group = [KEY, DAY] if key[0] == VISIT else [KEY]
+        rows = self.firsts(pd.concat([self.firsts(frame, group) for frame in frames]), group)
+        states, n = self.load()
+        changed, counted = {}, []
+        for name, us, day, last in zip(*(rows[c].tolist() for c in (KEY, US, DAY, LAST))):
+            now, before = us // 1000, states.get(name)
+            state = self.live(before, now)
+            new = self.visit(state, now, day) if key[0] == VISIT else self.session(state, last)
+            counted.append(new is not None and (key[0] == VISIT or state is None))
+            if new is not None:
+                states[name] = changed[name] = new
+        if changed:
+            if n == 0:
+                self.set_timer(states, timerValues.getCurrentWatermarkInMs())
+            if n < CHANGES:
+                self.changes.appendValue(self.packed(changed))
+            else:
+                self.changes.put([self.packed(states)])
+            yield self.result(rows[counted], int(key[0] == VISIT), int(key[0] == SESSION))
+
+    @staticmethod
+    def firsts(rows: pd.DataFrame, group: list[str]) -> pd.DataFrame:
+        """The earliest row of each group, with the time of its last; in the order of time."""
+        rows = rows.sort_values(US, kind="stable")
+        return rows.assign(**{LAST: rows.groupby(group)[LAST].transform("max")}).drop_duplicates(group)
+
+    @staticmethod
+    def visit(state: tuple | None, now: int, day: int) -> tuple | None:
+        """The new state if the row is the first of its day; the last two active days are remembered."""
+        if state is None:
+            return now, day, None
+        at, newest, before = state
+        if day in (newest, before):
+            return None
+        if day > newest:
+            return now, day, newest
+        return at, newest, day if before is None else max(day, before)
+
+    def session(self, state: tuple | None, last: int) -> tuple | None:
+        """The new state if there was none, or if it lives longer by these rows."""
+        return (last, None, None) if state is None or self.ttl_ms is not None and last > state[0] else None
+
+    def result(self, rows: pd.DataFrame, visitors: int, sessions: int) -> pd.DataFrame:
+        return pd.DataFrame({
+            self.ts: pd.to_datetime(rows[US], unit="us", utc=True), **{c: rows[c].astype(object) for c in self.dims},
+            "uv_ct": visitors, "sv_ct": sessions, "pv_ct": rows["pv_ct"], "dur_sum": rows["dur_sum"]})
+
+    def close(self) -> None:
+        pass
 
 
 class _Fold(_Timed):
@@ -236,61 +313,85 @@ def first_ever(
     return _apply(rows, keys, _FirstEver(columns, _ms(ttl_seconds)), output, ts)
 
 
+#: Sums of views a task holds before it passes them on.
+VIEW_SUMS = 1 << 18
+
+
 def _reduced_traffic(schema: T.StructType, visitor: str, session: str, dims: Sequence[str], ts: str) -> Callable:
-    """Per Arrow batch: the earliest row per visitor and day and per session, and the views' sums per window and dims."""
+    """Per Arrow batch the earliest row per visitor and day and per session; the views' sums per window and dims.
+
+    Sums are stamped with the end of their window, so a task may gather them over many batches; a row of a
+    visitor that is late must not stand for others, so those are not gathered.
+    """
     names = schema.fieldNames()
+    group = [*dims, "_end", "_at_view"]
 
-    def firsts(rows: pa.Table, kind: str, key: str, *more: str) -> pa.Table:
-        rows = rows.filter(pc.is_valid(rows[key])).sort_by(MS)
+    def firsts(rows: pa.Table, kind: str, key: str, bucket: str, *more: str) -> pa.Table:
+        rows = rows.filter(pc.is_valid(rows[key])).sort_by(US)
         rows = rows.append_column("_i", pa.array(range(len(rows)), pa.int64()))
         groups = rows.group_by([key, *more]).aggregate([("_i", "min"), (MS, "max")])
         none = pa.array([0] * len(groups), pa.int64())
         first = rows.take(groups["_i_min"])
-        return pa.table({KIND: pa.array([kind] * len(groups)), KEY: first[key], LAST: groups[f"{MS}_max"], "pv_ct": none, "dur_sum": none,
-                         **{c: first[c] for c in (ts, MS, DAY, *dims)}}).select(names)
+        return pa.table({KIND: pa.array([kind] * len(groups)), BUCKET: first[bucket], KEY: first[key], LAST: groups[f"{MS}_max"],
+                         "pv_ct": none, "dur_sum": none, **{c: first[c] for c in (ts, US, DAY, *dims)}}).select(names)
+
+    def sums(rows: pa.Table) -> pa.Table:
+        found = rows.group_by(group).aggregate([("pv_ct", "sum"), ("dur_sum", "sum")])
+        return pa.table({**{c: found[c] for c in group}, "pv_ct": found["pv_ct_sum"], "dur_sum": found["dur_sum_sum"]})
 
-    def views(rows: pa.Table) -> pa.Table:
-        group = [*dims, "_end"]
-        sums = rows.group_by(group).aggregate([("dur_sum", "sum"), (MS, "count"), (MS, "max"), (DAY, "max")])
-        key = pa.array([repr(tuple(r.values())) for r in sums.select(group).to_pylist()], pa.string())
-        return pa.table({KIND: pa.array([VIEW] * len(sums)), KEY: key, LAST: sums[f"{MS}_max"], "pv_ct": sums[f"{MS}_count"],
-                         "dur_sum": sums["dur_sum_sum"], ts: sums["_end"], MS: sums[f"{MS}_max"], DAY: sums[f"{DAY}_max"],
-                         **{c: sums[c] for c in dims}}).select(names)
+    def views(found: pa.Table) -> pa.Table:
+        none = pa.array([0] * len(found), pa.int64())
+        return pa.table({KIND: pa.array([VIEW] * len(found)), BUCKET: found["_at_view"], KEY: pa.array([""] * len(found)), LAST: none,
+                         "pv_ct": found["pv_ct"], "dur_sum": found["dur_sum"], ts: found["_end"], US: found["_end"].cast(pa.int64()),
+                         DAY: none.cast(pa.int32()), **{c: found[c] for c in dims}}).select(names)
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for batch in batches:
             rows = pa.Table.from_batches([batch])
-            for part in (firsts(rows, VISIT, visitor, DAY), firsts(rows, SESSION, session), views(rows)):
+            for part in (firsts(rows, VISIT, visitor, "_at_visitor", DAY), firsts(rows, SESSION, session, "_at_session")):
                 yield from part.to_batches()
+            held.append(sums(rows.append_column("pv_ct", pa.array([1] * len(rows), pa.int64()))))
+            if sum(map(len, held)) > VIEW_SUMS:
+                held = [sums(pa.concat_tables(held))]
+                if len(held[0]) > VIEW_SUMS // 2:
+                    yield from views(held.pop()).to_batches()
+        if held:
+            yield from views(sums(pa.concat_tables(held))).to_batches()
 
     return reduce
 
 
 def traffic(
     df: DataFrame, visitor: str, session: str, dims: Sequence[str], duration: str, size: str,
-    ts: str = "row_time", ttl_seconds: int | None = None,
+    ts: str = "row_time", ttl_seconds: int | None = None, buckets: int = BUCKETS,
 ) -> DataFrame:
     """What rows add to windows of `size`: `uv_ct`, `sv_ct`, `pv_ct` and `dur_sum`, with time and `dims`.
 
     A visitor's first row of a day gives 1 to `uv_ct`, a session's first to `sv_ct`; views and their durations come
     as sums per window, stamped with its last microsecond.  Input is read once, and one operator holds both
-    kinds of state, reduced per Arrow batch before the shuffle.  A null visitor or session counts as none, a
-    null duration as 0.  State expires `ttl_seconds` after the visitor's last counted day began or the
-    session's last row.
+    kinds of state, in `buckets` groups each, reduced per Arrow batch before the shuffle.  A null visitor or session counts
+    as none, a null duration as 0.  State expires `ttl_seconds` after the visitor's last counted day began or the
+    session's last row.  A task holds the keys of one bucket at a time: more live keys than some 100 million want more buckets.
     """
     last = F.window(F.col(ts), size)["end"] - F.expr("INTERVAL '0.000001' SECOND")
+    bucket = lambda *columns: F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
     rows = _timed(df, ts).select(
         F.col(visitor).cast("string").alias(visitor), F.col(session).cast("string").alias(session), *dims, ts, MS, DAY,
-        F.coalesce(F.col(duration).cast("long"), F.lit(0).cast("long")).alias("dur_sum"), last.alias("_end"))
+        F.unix_micros(F.col(ts).cast("timestamp")).alias(US),
+        F.coalesce(F.col(duration).cast("long"), F.lit(0).cast("long")).alias("dur_sum"), last.alias("_end"),
+    ).withColumns({"_at_visitor": bucket(visitor), "_at_session": bucket(session), "_at_view": bucket(*dims, "_end")})
     long = T.LongType()
     schema = T.StructType([
-        T.StructField(KIND, T.StringType()), T.StructField(KEY, T.StringType()), *_fields(rows, dims), rows.schema[ts],
-        T.StructField(MS, long), T.StructField(DAY, T.IntegerType()), T.StructField(LAST, long),
+        T.StructField(KIND, T.StringType()), T.StructField(BUCKET, T.IntegerType()), T.StructField(KEY, T.StringType()),
+        *_fields(rows, dims), rows.schema[ts],
+        T.StructField(US, long), T.StructField(DAY, T.IntegerType()), T.StructField(LAST, long),
         T.StructField("pv_ct", long), T.StructField("dur_sum", long)])
     reduced = rows.mapInArrow(_reduced_traffic(schema, visitor, session, dims, ts), schema)
-    columns = [ts, *dims]
-    output = T.StructType([*_fields(rows, columns), *(T.StructField(m, long) for m in TRAFFIC)])
-    return _apply(reduced, [KIND, KEY], _Traffic(columns, _ms(ttl_seconds)), output, ts)
+    output = T.StructType([*_fields(rows, [ts, *dims]), *(T.StructField(m, long) for m in TRAFFIC)])
+    processor = _Traffic(schema.fieldNames(), ts, dims, _ms(ttl_seconds))
+    return reduced.groupBy(KIND, BUCKET).transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType=output, outputMode="append", timeMode="EventTime", eventTimeColumnName=ts)
 
 
 def keyed_process(
