@@ -50,17 +50,18 @@ def keyword_window(page_log: DataFrame, size: str = SIZE, cur_date: str = "proce
 
 def traffic_window(
     pages: DataFrame, size: str = SIZE, cur_date: str = "processing", retain: int | None = DAY_SECONDS,
+    buckets: int = state.BUCKETS,
 ) -> DataFrame:
     """Visitors, sessions, views and duration per version, channel, area and new flag.
 
     In batch, views, first-of-day rows and first-of-session rows are counted side by side and meet in
     one windowed sum, so no row is shuffled by visitor or session before it is reduced.  On a stream one
     operator makes all three from one reading; state expires `retain` seconds after a visitor's last
-    day began or a session's last row.  A null session is none.
+    day began or a session's last row, in `buckets` groups (see `state.traffic`).  A null session is none.
     """
     rows = _flat_pages(pages, "mid", "sid", *DIMS, "during_time").where(F.col("mid") != "")
     if rows.isStreaming:
-        parts = state.traffic(rows, "mid", "sid", DIMS, "during_time", size, ttl_seconds=retain)
+        parts = state.traffic(rows, "mid", "sid", DIMS, "during_time", size, ttl_seconds=retain, buckets=buckets)
     else:
         parts = _traffic_parts(rows)
     sums = A.window_sum_by_key(parts, size, DIMS, {m: m for m in state.TRAFFIC})

@@ -125,7 +125,9 @@ VISIT, SESSION, VIEW = "visit", "session", "view"
 KIND, BUCKET, KEY, US, LAST = "_kind", "_bucket", "_key", "_us", "_last"
 TRAFFIC = ("uv_ct", "sv_ct", "pv_ct", "dur_sum")
 #: Groups that visitors, and sessions, are dealt over by hash; a checkpoint keeps the number it began with.
-BUCKETS = 1024
+BUCKETS = 256
+#: Views have no state and need fewer.
+VIEW_BUCKETS = 64
 #: Lists of changes a bucket may have before they are merged.
 CHANGES = 16
 
@@ -188,17 +190,18 @@ class _Traffic(StatefulProcessor):
             sums = rows.groupby([US, *self.dims], dropna=False, sort=False)[["pv_ct", "dur_sum"]].sum().reset_index()
             yield self.result(sums, 0, 0)
             return
-        group = [KEY, DAY] if key[0] == VISIT else [KEY]
-        rows = self.firsts(pd.concat([self.firsts(frame, group) for frame in frames]), group)
+        frames = list(frames)
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
+        firsts = self.firsts(zip(*(rows[c].tolist() for c in (KEY, US, DAY, LAST))), daily=key[0] == VISIT)
         states, n = self.load()
         changed, counted = {}, []
-        for name, us, day, last in zip(*(rows[c].tolist() for c in (KEY, US, DAY, LAST))):
-            now, before = us // 1000, states.get(name)
-            state = self.live(before, now)
-            new = self.visit(state, now, day) if key[0] == VISIT else self.session(state, last)
-            counted.append(new is not None and (key[0] == VISIT or state is None))
+        for (name, day), (us, place, last) in sorted(firsts.items(), key=lambda item: item[1]):
+            state = self.live(states.get(name), us // 1000)
+            new = self.visit(state, us // 1000, day) if key[0] == VISIT else self.session(state, last)
             if new is not None:
                 states[name] = changed[name] = new
+                if key[0] == VISIT or state is None:
+                    counted.append(place)
         if changed:
             if n == 0:
                 self.set_timer(states, timerValues.getCurrentWatermarkInMs())
@@ -206,13 +209,21 @@ class _Traffic(StatefulProcessor):
                 self.changes.appendValue(self.packed(changed))
             else:
                 self.changes.put([self.packed(states)])
-            yield self.result(rows[counted], int(key[0] == VISIT), int(key[0] == SESSION))
+            if counted:
+                yield self.result(rows.iloc[counted], int(key[0] == VISIT), int(key[0] == SESSION))
 
     @staticmethod
-    def firsts(rows: pd.DataFrame, group: list[str]) -> pd.DataFrame:
-        """The earliest row of each group, with the time of its last; in the order of time."""
-        rows = rows.sort_values(US, kind="stable")
-        return rows.assign(**{LAST: rows.groupby(group)[LAST].transform("max")}).drop_duplicates(group)
+    def firsts(rows: Iterator[tuple], daily: bool) -> dict[tuple, tuple]:
+        """Time and place of the earliest row of each key, or key and day, with the time of its last."""
+        found = {}
+        for place, (name, us, day, last) in enumerate(rows):
+            slot = name, day if daily else None
+            kept = found.get(slot)
+            if kept is None:
+                found[slot] = us, place, last
+            elif us < kept[0] or last > kept[2]:
+                found[slot] = *min(kept[:2], (us, place)), max(kept[2], last)
+        return found
 
     @staticmethod
     def visit(state: tuple | None, now: int, day: int) -> tuple | None:
@@ -372,7 +383,8 @@ def traffic(
     as sums per window, stamped with its last microsecond.  Input is read once, and one operator holds both
     kinds of state, in `buckets` groups each, reduced per Arrow batch before the shuffle.  A null visitor or session counts
     as none, a null duration as 0.  State expires `ttl_seconds` after the visitor's last counted day began or the
-    session's last row.  A task holds the keys of one bucket at a time: more live keys than some 100 million want more buckets.
+    session's last row.  A task holds the keys of one bucket at a time
+    and a bucket is the least a task can get: take some ten buckets per state partition, more for billions of keys.
     """
     last = F.window(F.col(ts), size)["end"] - F.expr("INTERVAL '0.000001' SECOND")
     bucket = lambda *columns: F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
@@ -380,7 +392,7 @@ def traffic(
         F.col(visitor).cast("string").alias(visitor), F.col(session).cast("string").alias(session), *dims, ts, MS, DAY,
         F.unix_micros(F.col(ts).cast("timestamp")).alias(US),
         F.coalesce(F.col(duration).cast("long"), F.lit(0).cast("long")).alias("dur_sum"), last.alias("_end"),
-    ).withColumns({"_at_visitor": bucket(visitor), "_at_session": bucket(session), "_at_view": bucket(*dims, "_end")})
+    ).withColumns({"_at_visitor": bucket(visitor), "_at_session": bucket(session), "_at_view": bucket(*dims, "_end") % VIEW_BUCKETS})
     long = T.LongType()
     schema = T.StructType([
         T.StructField(KIND, T.StringType()), T.StructField(BUCKET, T.IntegerType()), T.StructField(KEY, T.StringType()),
