@@ -11,7 +11,7 @@ from tidemart.catalogue.stand_ins import CARTS, DB, DETAILS, FLAT_CARTS, ORDER_C
 from tidemart.functions.scalar import DATETIME
 from tidemart.plans.routes import dim_rows, flat_changes
 from tidemart.schemas import CHANGE, DEBEZIUM, ORDER_DETAIL
-from tidemart.session import scratch_dir
+from tidemart.session import scratch_dir, shuffles_freed
 from tidemart.sinks import keyed, messages as M
 from tidemart.sources import messages as S
 from tidemart.sources.tables import config_table, dim_table
@@ -31,7 +31,8 @@ def time_text(c: str):
 def round_trip(t, df, name, position=False):
     """Write message values as text files and read them as a batch of messages."""
     where = scratch_dir(t.spark, name)
-    df.select("value").write.options(**M.TEXT_LOG).text(where)
+    with shuffles_freed(t.spark):
+        df.select("value").write.options(**M.TEXT_LOG).text(where)
     return S.read_messages(t.spark, where, "text", stream=False, position=position)
 
 

@@ -4,22 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemart.functions.scalar import DATE, DATETIME, as_column, prefix
 
 Keys = Sequence[str | Column]
 
 
+def _has_order(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_order(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType, T.CalendarIntervalType))
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """The row with the greatest `order` per key.
 
     An aggregate, so each task first reduces its own rows and a hot key costs one row per
-    task.  `order` should be total: equal rows in it are taken as equal.
+    task.  `order` should be total: equal rows in it are taken as equal.  Columns of `order` are shuffled once, not beside
+    the row they are in; only rows with maps, which have no order, need them twice.
     """
-    rest = [c for c in df.columns if c not in keys]
-    by = F.struct(*(as_column(o) for o in order))
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_row"))
+    named = {}  # columns of the order with their first place in it
+    for i, o in enumerate(order):
+        if isinstance(o, str) and o in df.columns and o not in keys:
+            named.setdefault(o, i)
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    if named and all(_has_order(df.schema[c].dataType) for c in rest):
+        by = (as_column(o).alias(o if isinstance(o, str) and named.get(o) == i else f"_by{i}") for i, o in enumerate(order))
+        best = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias("_row"))
+    else:
+        rest = [c for c in df.columns if c not in keys]
+        by = F.struct(*(as_column(o) for o in order))
+        best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("_row"))
     return best.select(*keys, "_row.*").select(*df.columns)
 
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
@@ -29,6 +32,21 @@ def build_session(app: str = "tidemart", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of the queries that run within go when each has ended.
+
+    Else they stay on the executors' disks until the driver happens to collect its garbage.  For writes, whose
+    rows stand elsewhere afterwards.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path below the folder named by `spark.checkpoint.dir`.
 

@@ -81,8 +81,9 @@ def write_changelog_flat(df: DataFrame, path: str, batch_id: int = 0) -> None:
     """Seven-column flat change rows keyed by id; partitions (source tables) appear as needed.
 
     The id holds the change's time, so of changes of one row in one moment the last to arrive stays, by `position`.
+    Batches are dealt by id, so that the wide rows are shuffled here and no more by `read_changelog_flat` and `compact_changelog_flat`.
     """
-    upsert(df, ["id"], ["ts", *placed(df)], path, batch_id, partition_by=["t_name"])
+    versioned.commit(latest_per_key(df, ["id"], ["ts", *placed(df)]), path, batch_id, ["t_name"], dealt_by=["id"])
 
 
 def read_changelog_flat(spark: SparkSession, path: str) -> DataFrame:
