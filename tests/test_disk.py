@@ -57,6 +57,17 @@ def test_flat_changes_are_shuffled_once_when_they_are_written(spark, tmp_path):
     assert values(read()) == sorted(want.items()) and "hashpartitioning" not in plan(read())
 
 
+def test_dealt_batches_are_merged_without_a_shuffle_of_their_rows(spark, tmp_path, monkeypatch):
+    path, seen, write = str(tmp_path / "flat"), [], versioned._write
+    monkeypatch.setattr(versioned, "_write", lambda rows, *a: (seen.append(plan(rows)), write(rows, *a)))
+    keyed.write_changelog_flat(flat(spark, *((str(i), "old", 5, i) for i in range(20))), path, 0)
+    keyed.compact_changelog_flat(spark, path)
+    keyed.write_changelog_flat(flat(spark, ("3", "new", 5, 200), ("4", "late", 5, -5)), path, 1)
+    keyed.compact_changelog_flat(spark, path)
+    assert ["hashpartitioning" in p for p in seen] == [True, False, True, False]
+    assert values(keyed.read_changelog_flat(spark, path)) == sorted({**{f"{i}_5": "old" for i in range(20)}, "3_5": "new"}.items())
+
+
 def test_a_log_of_older_batches_that_are_not_dealt_is_read_and_merged(spark, tmp_path):
     path = str(tmp_path / "flat")
     keyed.upsert(flat(spark, ("1", "a", 5, 1), ("2", "b", 5, 2)), ["id"], ["ts", "position"], path, 0, ["t_name"])

@@ -180,7 +180,8 @@ def compact(
     touched = sorted(r["_bucket"] for r in _deltas(spark, path, version).select(bucket.alias("_bucket")).distinct().collect())
     rows = resolve(read_version(spark, path, version, touched)).drop("batch").withColumn("_bucket", bucket)
     folder = f"merged/_run={uuid.uuid4().hex}"
-    _write(rows.repartition("_bucket"), f"{path}/{folder}", ["_bucket", *partition_by], deal)
+    # rows of batches that are dealt like the base lie by buckets already
+    _write(rows if deal and version.dealt == deal else rows.repartition("_bucket"), f"{path}/{folder}", ["_bucket", *partition_by], deal)
     filled = {r["_bucket"] for r in spark.read.parquet(f"{path}/{folder}").select("_bucket").distinct().collect()}
     kept = {**{b: f for b, f in version.base.items() if b not in touched},
             **{b: f"{folder}/_bucket={b}" for b in touched if b in filled}}
