@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import aggregates as A
+from tidemart.operators import aggregates as A, joins as J
 from tidemart.plans import routes
 from tidemart.session import FREE_SHUFFLES, shuffles_freed
 from tidemart.sinks import keyed, versioned
@@ -113,3 +114,48 @@ def test_latest_rows_carry_their_order_once(spark):
     assert A.latest_per_key(df, ["k"], []).count() == 2
     maps = df.withColumn("m", F.create_map("k", "v"))
     assert rows(A.latest_per_key(maps, ["k"], ["ts", "n"]).select("k", "n", F.col("m")["a"])) == [("a", 4, None), ("b", 1, None)]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def shuffles_of(df, column):
+    """How many shuffles carry the column."""
+    def below(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return below(node.initialPlan())
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        return (node.nodeName() == "Exchange" and column in names) + sum(
+            below(node.children().apply(i)) for i in range(node.children().size()))
+    return below(df._jdf.queryExecution().executedPlan())
+
+
+def sales(spark):
+    """Details sent again, of one order, of unknown orders or without id; orders, activities and coupons of several rows."""
+    r = random.Random(5)
+    some = lambda n: None if r.random() < 0.08 else str(r.randrange(n))
+    orders = spark.createDataFrame([(some(12), f"u{i}", f"p{i % 3}") for i in range(14)], "id string, user_id string, province_id string")
+    detail = spark.createDataFrame(
+        [(some(40), "3" if i % 3 == 0 else some(15), f"payload {i}", i) for i in range(120)] + [("7", "3", "payload 0", 0)] * 2,
+        "id string, order_id string, payload string, ts long")
+    activity = spark.createDataFrame([(some(60), f"a{i % 4}", some(5)) for i in range(50)], "id string, activity_id string, rule_id string")
+    coupon = spark.createDataFrame([(some(60), f"c{i}", f"rule {i}") for i in range(40)], "id string, coupon_id string, rule_id string")
+    return detail, orders, activity, coupon
+
+
+def test_order_wide_shuffles_a_detail_once_and_is_the_joins_one_by_one(spark, no_broadcast):
+    detail, orders, activity, coupon = sales(spark)
+    for more in ([], [activity], [None, coupon], [activity, coupon]):
+        by_one = detail
+        for part in filter(None, more):
+            by_one = J.join_changes(by_one, part, "id", "id", "left")
+        by_one = J.join_changes(by_one, orders, "order_id", "id")
+        got = J.order_wide(detail, orders, *more)
+        assert got.columns == by_one.columns and rows(got) == rows(by_one) and got.count() > 100
+        assert shuffles_of(got, "payload") == 1
+    assert shuffles_of(by_one, "payload") == 2  # by id, and by order

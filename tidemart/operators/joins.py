@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def _within(left: Column, right: Column, seconds: int) -> Column:
@@ -43,16 +43,42 @@ def order_wide(
 ) -> DataFrame:
     """Order detail with its order, and with activity and coupon where there are any.
 
-    In batch the order comes last, so that the result is dealt by order and what joins it by order next, such as
-    cancellations, need not shuffle it again.  On streams it comes first, as rows of outer joins are late for a join after them.
+    In batch a detail is shuffled once, by order, and the result is dealt by order, so that what joins it by order next, such
+    as cancellations, need not shuffle it again: activities and coupons, which name the detail only, first get
+    its order and then go along with the details.  That reads `detail` twice.  On streams each table is joined in turn.
     """
-    order_last = within is None
-    wide = detail if order_last else join_changes(detail, orders, "order_id", "id", "inner", within)
+    if within is None:
+        return _order_wide(detail, orders, activity, coupon)
+    wide = join_changes(detail, orders, "order_id", "id", "inner", within)
     if activity is not None:
         wide = join_changes(wide, activity, "id", "id", "left", within)
     if coupon is not None:
         wide = join_changes(wide, coupon, "id", "id", "left", within)
-    return join_changes(wide, orders, "order_id", "id", "inner") if order_last else wide
+    return wide
+
+
+def _order_wide(detail: DataFrame, orders: DataFrame, activity: DataFrame | None, coupon: DataFrame | None) -> DataFrame:
+    seen, parts, more = {*detail.columns, "row_time"}, [], []
+    for part in (activity, coupon):
+        if part is not None:
+            kept = [c for c in part.columns if c not in seen]
+            seen, more = seen | {*kept}, more + kept
+            parts.append(part.where(F.col("id").isNotNull()).select(F.col("id").alias("_detail"), *kept))
+    if not parts:
+        return join_changes(detail, orders, "order_id", "id", "inner")
+    both = parts[0] if len(parts) == 1 else parts[0].join(parts[1], "_detail", "full")
+    found = both.groupBy("_detail").agg(F.collect_list(F.struct(F.lit(True).alias("_found"), *more)).alias("_extras"))
+    # what an order's detail has, once however often the detail was sent
+    named = detail.select(F.col("id").alias("_detail"), F.col("order_id").alias("_order")).where("_detail IS NOT NULL AND _order IS NOT NULL")
+    known = named.join(found, "_detail").groupBy("_detail", "_order").agg(F.first("_extras").alias("_extras"))
+    along = known.select(F.col("_detail").alias("id"), F.col("_order").alias("order_id"), "_extras")
+    rows = detail.withColumns({"_extras": F.lit(None), "_sent": F.lit(True)}).unionByName(along, allowMissingColumns=True)
+    rest = [c for c in orders.columns if c not in {*seen, "id"}]
+    wide = join_changes(rows, orders.select("id", *rest), "order_id", "id", "inner")
+    # the rows of an order lie together by now, so those of its details do
+    own = F.first("_extras", ignorenulls=True).over(Window.partitionBy("order_id", "id"))
+    sent = wide.withColumn("_extras", own).where(F.col("_sent")).withColumn("_extra", F.explode_outer("_extras"))
+    return sent.select(*detail.columns, *(F.col("_extra")[c].alias(c) for c in more), *rest)
 
 
 def cancel_join(detail: DataFrame, cancelled: DataFrame, within: int | None = None) -> DataFrame:
