@@ -159,3 +159,12 @@ def test_order_wide_shuffles_a_detail_once_and_is_the_joins_one_by_one(spark, no
         assert got.columns == by_one.columns and rows(got) == rows(by_one) and got.count() > 100
         assert shuffles_of(got, "payload") == 1
     assert shuffles_of(by_one, "payload") == 2  # by id, and by order
+
+
+def test_cancellations_meet_wide_details_where_they_lie(spark, no_broadcast):
+    detail, orders, activity, coupon = sales(spark)
+    wide = J.order_wide(detail, orders, activity, coupon)
+    cancelled = J.cancel_join(wide, spark.createDataFrame([("3", 9), ("4", 8), ("none", 7)], "id string, ts long"))
+    assert shuffles_of(cancelled, "payload") == 1
+    want = [(*r, 9 if r.order_id == "3" else 8) for r in wide.drop("ts").collect() if r.order_id in ("3", "4")]
+    assert rows(cancelled) == sorted(want, key=lambda t: [(x is not None, str(x)) for x in t]) and len(want) > 40
