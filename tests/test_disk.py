@@ -168,3 +168,23 @@ def test_cancellations_meet_wide_details_where_they_lie(spark, no_broadcast):
     assert shuffles_of(cancelled, "payload") == 1
     want = [(*r, 9 if r.order_id == "3" else 8) for r in wide.drop("ts").collect() if r.order_id in ("3", "4")]
     assert rows(cancelled) == sorted(want, key=lambda t: [(x is not None, str(x)) for x in t]) and len(want) > 40
+
+
+@pytest.mark.parametrize("dealt", (True, False))
+def test_interval_join_of_dealt_rows_shuffles_them_no_more(spark, no_broadcast, dealt):
+    r = random.Random(6)
+    key = lambda: None if r.random() < 0.05 else "hot" if r.random() < 0.5 else str(r.randrange(6))
+    lefts = [(key(), r.choice([None, *range(200)]), f"l{i}") for i in range(150)]
+    rights = [(key(), r.choice([None, *range(200)]), f"r{i}") for i in range(60)] + [("hot", 50, "twice")] * 2
+    left = spark.createDataFrame(lefts, "k string, s long, payload string").select("k", F.timestamp_seconds("s").alias("lt"), "payload")
+    right = spark.createDataFrame(rights, "k string, s long, j string").select("k", F.timestamp_seconds("s").alias("rt"), "j")
+    if dealt:
+        left = J.join_changes(left, spark.createDataFrame([(str(i),) for i in range(6)] + [("hot",)], "id string"), "k", "id")
+    got = J.interval_join(left, right, "k", "lt", "rt", dealt=True)
+    want = sorted((p, j) for k, s, p in lefts for q, u, j in rights
+                  if k is not None and k == q and s is not None and u is not None and s - 15 <= u <= s + 5)
+    assert sorted(map(tuple, got.select("payload", "j").collect())) == want and len(want) > 100
+    assert got.columns == J.interval_join(left, right, "k", "lt", "rt").columns == ["k", "lt", "payload", "rt", "j"]
+    assert shuffles_of(got, "payload") == 1
+    if dealt:
+        assert shuffles_of(J.interval_join(left, right, "k", "lt", "rt"), "payload") == 2

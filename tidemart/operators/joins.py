@@ -97,7 +97,7 @@ def composite_key_join(
 
 def interval_join(
     left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
-    lower: int = -15, upper: int | None = 5,
+    lower: int = -15, upper: int | None = 5, dealt: bool = False,
 ) -> DataFrame:
     """Rows with equal keys and `left_ts + lower <= right_ts <= left_ts + upper` (seconds).
 
@@ -105,27 +105,34 @@ def interval_join(
     spread over its slots and only neighbours in time meet.  `upper=None` leaves the
     upper end open; no slot can bound that form, which is a plain equi-join with a filter.
     Columns of the right side that the left side has too are dropped.
+
+    `dealt` is for left rows that come from a join by the same key, in batch: they stay where that has dealt them, and
+    only the right rows are shuffled to them, as a join by key and slot cannot.  Rows that do not lie so are shuffled as well.
     """
     from_ = F.expr(f"INTERVAL '{lower}' SECOND")
-    l, r = left, right
-    on_slot = F.lit(True)
-    if upper is not None:
-        width = max(upper - lower, 1) * 1_000_000
-        slot = lambda micros: F.floor(micros / F.lit(width))
-        at = lambda ts: F.unix_micros(F.col(ts).cast("timestamp"))
-        l = l.withColumn("_slot", slot(at(left_ts)))
-        r = r.withColumn("_slot", F.explode(F.sequence(
-            slot(at(right_ts) - F.lit(upper * 1_000_000)),
-            slot(at(right_ts) - F.lit(lower * 1_000_000)),
-        )))
-        on_slot = F.col("l._slot") == F.col("r._slot")
-    on = on_slot & (F.col(f"l.{key}") == F.col(f"r.{key}"))
-    on = on & (F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") + from_)
-    if upper is not None:
-        to = F.expr(f"INTERVAL '{upper}' SECOND")
-        on = on & (F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + to)
-    extra = [f"r.{c}" for c in right.columns if c not in left.columns]
-    return l.alias("l").join(r.alias("r"), on).select(*(f"l.{c}" for c in left.columns), *extra)
+    within = F.col(f"r.{right_ts}") >= F.col(f"l.{left_ts}") + from_
+    extra = [c for c in right.columns if c not in left.columns]
+    if upper is None:
+        on = within & (F.col(f"l.{key}") == F.col(f"r.{key}"))
+        return left.alias("l").join(right.alias("r"), on).select(*(f"l.{c}" for c in left.columns), *(f"r.{c}" for c in extra))
+    within = within & (F.col(f"r.{right_ts}") <= F.col(f"l.{left_ts}") + F.expr(f"INTERVAL '{upper}' SECOND"))
+    width = max(upper - lower, 1) * 1_000_000
+    slot = lambda micros: F.floor(micros / F.lit(width))
+    at = lambda ts: F.unix_micros(F.col(ts).cast("timestamp"))
+    slots = F.explode(F.sequence(slot(at(right_ts) - F.lit(upper * 1_000_000)), slot(at(right_ts) - F.lit(lower * 1_000_000))))
+    l = left.withColumn("_slot", slot(at(left_ts)))
+    if dealt:
+        # both go along as one, so that the rows of a key, which lie together, meet by slot without being dealt again
+        known = right.where(F.col(key).isNotNull()).repartition(key).withColumn("_slot", slots)
+        along = known.select(key, "_slot", F.struct(*right.columns).alias("_r"))
+        rows = l.where(F.col(key).isNotNull()).withColumns({"_r": F.lit(None), "_l": F.lit(True)})
+        both = rows.unionByName(along, allowMissingColumns=True).withColumn(
+            "_near", F.collect_list("_r").over(Window.partitionBy(key, "_slot")))
+        met = both.where(F.col("_l")).withColumn("r", F.explode("_near"))
+        return met.select(F.struct(*left.columns).alias("l"), "r").where(within).select("l.*", *(f"r.{c}" for c in extra))
+    on = (F.col("l._slot") == F.col("r._slot")) & (F.col(f"l.{key}") == F.col(f"r.{key}")) & within
+    r = right.withColumn("_slot", slots)
+    return l.alias("l").join(r.alias("r"), on).select(*(f"l.{c}" for c in left.columns), *(f"r.{c}" for c in extra))
 
 
 def _lookup(

@@ -92,7 +92,7 @@ def paid_details(
         detail = detail.withColumn("row_time", epoch_to_timestamp("ts"))
     return J.interval_join(
         detail.drop("ts", "user_id", "create_time"), paid, "order_id", "row_time", "pay_row_time",
-        lower, upper,
+        lower, upper, dealt=not (detail.isStreaming or paid.isStreaming),
     )
 
 
