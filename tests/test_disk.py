@@ -150,7 +150,7 @@ def sales(spark):
 
 def test_order_wide_shuffles_a_detail_once_and_is_the_joins_one_by_one(spark, no_broadcast):
     detail, orders, activity, coupon = sales(spark)
-    for more in ([], [activity], [None, coupon], [activity, coupon]):
+    for more in ([], [activity], [None, coupon], [activity.select("id"), coupon], [activity, coupon]):
         by_one = detail
         for part in filter(None, more):
             by_one = J.join_changes(by_one, part, "id", "id", "left")

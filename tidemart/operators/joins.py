@@ -8,6 +8,7 @@ run time) and falls back to a shuffle join, whose skewed partitions it splits.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -58,27 +59,31 @@ def order_wide(
 
 
 def _order_wide(detail: DataFrame, orders: DataFrame, activity: DataFrame | None, coupon: DataFrame | None) -> DataFrame:
-    seen, parts, more = {*detail.columns, "row_time"}, [], []
-    for part in (activity, coupon):
+    seen, parts, kept = {*detail.columns, "row_time"}, {}, {}
+    for name, part in (("_activity", activity), ("_coupon", coupon)):
         if part is not None:
-            kept = [c for c in part.columns if c not in seen]
-            seen, more = seen | {*kept}, more + kept
-            parts.append(part.where(F.col("id").isNotNull()).select(F.col("id").alias("_detail"), *kept))
+            kept[name] = [c for c in part.columns if c not in seen]
+            seen |= {*kept[name]}
+            parts[name] = part.where(F.col("id").isNotNull()).select(
+                F.col("id").alias("_detail"), F.struct(*(kept[name] or [F.lit(True).alias("_found")])).alias(name))
     if not parts:
         return join_changes(detail, orders, "order_id", "id", "inner")
-    both = parts[0] if len(parts) == 1 else parts[0].join(parts[1], "_detail", "full")
-    found = both.groupBy("_detail").agg(F.collect_list(F.struct(F.lit(True).alias("_found"), *more)).alias("_extras"))
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts.values())
+    found = found.groupBy("_detail").agg(*(F.collect_list(name).alias(name) for name in parts))
     # what an order's detail has, once however often the detail was sent
     named = detail.select(F.col("id").alias("_detail"), F.col("order_id").alias("_order")).where("_detail IS NOT NULL AND _order IS NOT NULL")
-    known = named.join(found, "_detail").groupBy("_detail", "_order").agg(F.first("_extras").alias("_extras"))
-    along = known.select(F.col("_detail").alias("id"), F.col("_order").alias("order_id"), "_extras")
-    rows = detail.withColumns({"_extras": F.lit(None), "_sent": F.lit(True)}).unionByName(along, allowMissingColumns=True)
+    known = named.join(found, "_detail").groupBy("_detail", "_order").agg(*(F.first(name).alias(name) for name in parts))
+    filled = (F.when(F.size(name) > 0, F.col(name)).alias(name) for name in parts)
+    along = known.select(F.col("_detail").alias("id"), F.col("_order").alias("order_id"), *filled)
+    rows = detail.withColumn("_sent", F.lit(True)).unionByName(along, allowMissingColumns=True)
     rest = [c for c in orders.columns if c not in {*seen, "id"}]
     wide = join_changes(rows, orders.select("id", *rest), "order_id", "id", "inner")
     # the rows of an order lie together by now, so those of its details do
-    own = F.first("_extras", ignorenulls=True).over(Window.partitionBy("order_id", "id"))
-    sent = wide.withColumn("_extras", own).where(F.col("_sent")).withColumn("_extra", F.explode_outer("_extras"))
-    return sent.select(*detail.columns, *(F.col("_extra")[c].alias(c) for c in more), *rest)
+    of_detail = Window.partitionBy("order_id", "id")
+    sent = wide.withColumns({name: F.first(name, ignorenulls=True).over(of_detail) for name in parts}).where(F.col("_sent"))
+    for name in parts:
+        sent = sent.withColumn(name, F.explode_outer(name))
+    return sent.select(*detail.columns, *(F.col(name)[c].alias(c) for name in parts for c in kept[name]), *rest)
 
 
 def cancel_join(detail: DataFrame, cancelled: DataFrame, within: int | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ from tidemart.session import shuffles_freed
 #: Buckets of a base, by a hash of the keys.
 BUCKETS = 64
 #: How files are compressed: texts of changes repeat their field names.
-COMPRESSION = "zstd"
+COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}
 _ENTRY = "kind string, batch bigint, bucket int, buckets int, folder string, keys array<string>"
 #: Keys by whose hash rows are dealt, and into how many files.
 Deal = tuple[tuple[str, ...], int]
@@ -106,7 +106,7 @@ def commit(
 
 def _write(rows: DataFrame, folder: str, partition_by: Sequence[str], deal: Deal | None = None) -> None:
     """Write a folder anew; the shuffles behind the rows end with it."""
-    spark, writer = rows.sparkSession, rows.write.mode("overwrite").option("compression", COMPRESSION).partitionBy(*partition_by)
+    spark, writer = rows.sparkSession, rows.write.mode("overwrite").options(**COMPRESSION).partitionBy(*partition_by)
     with shuffles_freed(spark):
         if deal is None:
             writer.parquet(folder)
