@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import aggregates as A, joins as J
-from tidemart.plans import routes
+from tidemart.plans import landing, routes
 from tidemart.session import FREE_SHUFFLES, shuffles_freed
 from tidemart.sinks import keyed, versioned
-from tests.helpers import debezium, rows
+from tests.helpers import debezium, messages, rows
 from tests.test_joins import plan
 
 
@@ -103,6 +103,21 @@ def test_shuffles_go_with_the_write_they_were_for(spark, tmp_path):
     assert spark.conf.get(FREE_SHUFFLES, "false") == "false"
 
 
+def test_messages_are_landed_without_being_sorted_by_table(spark, tmp_path, monkeypatch):
+    key, seen, named = "spark.sql.maxConcurrentOutputFileWriters", [], versioned._enter
+    # the setting is what keeps Spark from sorting; it is seen by the write and gone when the batch is named
+    free = versioned.held
+    monkeypatch.setattr(versioned, "held", lambda spark, conf: (seen.append(conf), free(spark, conf))[1])
+    monkeypatch.setattr(versioned, "_enter", lambda spark, *a: (seen.append(spark.conf.get(key, "0")), named(spark, *a)))
+    log = messages(spark, *({"database": "shop", "table": f"t{i % (2 * versioned.WRITERS)}", "type": "insert", "ts": 1, "data": {"id": str(i)}}
+                            for i in range(400))).coalesce(1)
+    landing.land_changes(log, str(tmp_path / "landing"))
+    assert seen == [{key: str(versioned.WRITERS)}, "0"]
+    found = landing.landed_changes(spark, str(tmp_path / "landing"))
+    # more tables than are written side by side
+    assert sorted((int(r.data["id"]), r.table) for r in found.collect()) == [(i, f"t{i % (2 * versioned.WRITERS)}") for i in range(400)]
+
+
 def test_latest_rows_carry_their_order_once(spark):
     df = spark.createDataFrame([("a", 1, "x", 5), ("a", 2, None, 4), ("a", 2, "y", 3), ("b", None, "z", 1)], "k string, ts int, v string, n int")
     latest = A.latest_per_key(df, ["k"], ["ts", "n"])

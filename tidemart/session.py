@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,18 +33,25 @@ def build_session(app: str = "tidemart", master: str | None = None, **conf: str)
 
 
 @contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+def held(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Settings of the session for the queries that run within."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def shuffles_freed(spark: SparkSession) -> AbstractContextManager[None]:
     """The shuffle files of the queries that run within go when each has ended.
 
     Else they stay on the executors' disks until the driver happens to collect its garbage.  For writes, whose
     rows stand elsewhere afterwards.
     """
-    before = spark.conf.get(FREE_SHUFFLES, None)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    return held(spark, {FREE_SHUFFLES: "true"})
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -22,12 +22,14 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemart.session import shuffles_freed
+from tidemart.session import held, shuffles_freed
 
 #: Buckets of a base, by a hash of the keys.
 BUCKETS = 64
 #: How files are compressed: texts of changes repeat their field names.
 COMPRESSION = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}
+#: Partitions, such as source tables, that a task writes side by side; a task with more sorts its rows, which are wide, by them.
+WRITERS = 32
 _ENTRY = "kind string, batch bigint, bucket int, buckets int, folder string, keys array<string>"
 #: Keys by whose hash rows are dealt, and into how many files.
 Deal = tuple[tuple[str, ...], int]
@@ -109,7 +111,8 @@ def _write(rows: DataFrame, folder: str, partition_by: Sequence[str], deal: Deal
     spark, writer = rows.sparkSession, rows.write.mode("overwrite").options(**COMPRESSION).partitionBy(*partition_by)
     with shuffles_freed(spark):
         if deal is None:
-            writer.parquet(folder)
+            with held(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(WRITERS)}):
+                writer.parquet(folder)
             return
         keys, count = deal
         # only a table can be written in buckets; it is of this folder, and is forgotten when written
